@@ -54,9 +54,7 @@ class Tables:
     dim_location: str = "dim_location"
     dim_date: str = "dim_date"
     fact: str = "fact_trip"
-    gold_daily: str = "gold_daily_provider"
-    gold_location: str = "gold_location"
-    gold_shared: str = "gold_shared_ride"
+    gold_partials: str = "gold_month_partials"
     runs: str = "pipeline_runs"
 
     def path(self, name: str) -> str:

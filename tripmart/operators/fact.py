@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tripmart.config import Settings
 from tripmart.functions.calendar import date_key
-from tripmart.operators.lookup import lookup
+from tripmart.operators.lookup import checked_many, lookup
 from tripmart.schemas import FACT_COLUMNS, TRIP_KEY_COLUMNS
 
 
@@ -37,11 +37,14 @@ def build_fact(silver: DataFrame, provider: DataFrame, location: DataFrame, disp
             }
         )
         return f.select(*FACT_COLUMNS)
-    from tripmart.operators.lookup import checked
-
-    prov = checked(provider.select("provider_code", "provider_key"), "provider_code", lim)
-    loc = checked(location.select("location_id", "location_key"), "location_id", lim)
-    disp = checked(dispatch.select("base_num", "dispatch_key"), "base_num", lim)
+    prov, loc, disp = checked_many(
+        [
+            (provider.select("provider_code", "provider_key"), "provider_code"),
+            (location.select("location_id", "location_key"), "location_id"),
+            (dispatch.select("base_num", "dispatch_key"), "base_num"),
+        ],
+        lim,
+    )
     f = lookup(f, prov, "hvfhs_license_num", "provider_code", {"provider_key": "provider_key"}, lim, verified=True)
     f = lookup(f, loc, "PULocationID", "location_id", {"location_key": "pickup_location_key"}, lim, verified=True)
     f = lookup(f, loc, "DOLocationID", "location_id", {"location_key": "dropoff_location_key"}, lim, verified=True)

@@ -30,6 +30,29 @@ def profile_dimension(dim: DataFrame, key: str) -> tuple[int, int]:
     return int(r["rows"]), int(r["dup"])
 
 
+def checked_many(dims: list[tuple[DataFrame, str]], limit_rows: int) -> list[DataFrame]:
+    """``checked`` for several dimensions with ONE profiling job (keys compared as strings)."""
+    tagged = None
+    for i, (d, key) in enumerate(dims):
+        t = d.select(F.lit(i).alias("__dim"), F.col(key).cast("string").alias("__k"))
+        tagged = t if tagged is None else tagged.unionByName(t)
+    stats = (
+        tagged.groupBy("__dim", "__k")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("__dim")
+        .agg(F.sum("n").alias("rows"), F.max(F.when(F.col("__k").isNotNull(), F.col("n"))).alias("dup"))
+        .collect()
+    )
+    got = {r["__dim"]: (int(r["rows"] or 0), int(r["dup"] or 0)) for r in stats}
+    out = []
+    for i, (d, key) in enumerate(dims):
+        rows, dup = got.get(i, (0, 0))
+        if dup > 1:
+            raise DimensionKeyError(f"dimension key {key!r} repeats (max {dup} rows per key)")
+        out.append(F.broadcast(d) if rows <= limit_rows else d)
+    return out
+
+
 def checked(dim: DataFrame, key: str, limit_rows: int) -> DataFrame:
     """The dimension, broadcast-hinted when its proven size allows it."""
     rows, dup = profile_dimension(dim, key)

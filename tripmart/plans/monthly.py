@@ -22,11 +22,9 @@ from tripmart.operators.fact import build_fact
 from tripmart.operators.silver import to_silver
 from tripmart.sources import readers, sinks
 
-MART_GRAINS = {
-    "gold_daily": ["_source_month", "date_key", "provider_key"],
-    "gold_location": ["_source_month", "pickup_location_key"],
-    "gold_shared": ["_source_month", "provider_key"],
-}
+# One month-additive partial table feeds all three published marts. Its grain
+# is bounded by days x providers x zones per month, independent of trip volume.
+PARTIAL_GRAIN = ["_source_month", "date_key", "provider_key", "pickup_location_key"]
 
 
 @dataclass(frozen=True)
@@ -125,26 +123,26 @@ class MonthRunner:
         return todo
 
     def mart_partials(self, months: list[str]) -> None:
-        """L1/L3/L5 as month partials; the published marts are roll-ups of these."""
-        for name, grain in MART_GRAINS.items():
-            todo = self._todo(name, months)
-            if todo:
-                f = self._read("fact").where(F.col("_source_month").isin(todo))
-                self._loaded(name, todo, marts.partials(f, grain, self.s.duration_col))
+        """L1/L3/L5 as ONE month-partial table (one fact scan, one write); marts roll up from it."""
+        todo = self._todo("gold_partials", months)
+        if todo:
+            f = self._read("fact").where(F.col("_source_month").isin(todo))
+            self._loaded("gold_partials", todo, marts.partials(f, PARTIAL_GRAIN, self.s.duration_col))
 
     # -- published marts (views over partials) -------------------------------
     def gold_daily(self) -> DataFrame:
-        return marts.daily_provider(self._read("gold_daily"), self._read("dim_date"), self._read("dim_provider"))
+        p = marts.rollup(self._read("gold_partials"), marts.DAILY_GRAIN)
+        return marts.daily_provider(p, self._read("dim_date"), self._read("dim_provider"))
 
     def gold_location(self) -> DataFrame:
-        p = marts.rollup(self._read("gold_location"), ["pickup_location_key"])
+        p = marts.rollup(self._read("gold_partials"), ["pickup_location_key"])
         d = self._read("dim_location").select(F.col("location_key").alias("pickup_location_key"), "zone", "borough",
                                               "service_zone")
         return marts.finish(p.join(F.broadcast(d), "pickup_location_key", "left"),
                             ["pickup_location_key", "zone", "borough", "service_zone"], "location")
 
     def gold_shared(self) -> DataFrame:
-        p = marts.rollup(self._read("gold_shared"), ["provider_key"])
+        p = marts.rollup(self._read("gold_partials"), ["provider_key"])
         p = p.join(F.broadcast(self._read("dim_provider").select("provider_key", "provider_name")), "provider_key", "left")
         return marts.finish(p, ["provider_key", "provider_name"], "shared")
 

@@ -119,8 +119,8 @@ def land_months(spark: SparkSession, sf_dir: str, raw_base: str, months: list[st
     (
         landing_trips(spark, sf_dir, months)
         .withColumnRenamed("landing_month", "month")
-        # No repartition by month: a hot month would land in one task. Each task
-        # writes its own files per month instead.
+        # Cluster by month (few files per month); REBALANCE lets AQE split a hot month.
+        .hint("rebalance", "month")
         .write.mode("overwrite")
         .partitionBy("month")
         .parquet(f"{raw_base}/raw")

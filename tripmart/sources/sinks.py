@@ -23,6 +23,10 @@ def write_months(df: DataFrame, path: str, fmt: str = "parquet", target_cols: li
     """B1/B2: write (replace) the frame's months; returns rows written (observed, no second scan)."""
     if target_cols:
         df = df.select(*target_cols)
+    # Cluster rows by month before the partitioned write: few files per month
+    # instead of (tasks x months). REBALANCE lets AQE split a hot month over
+    # several tasks and merge small ones, without a sampling pass.
+    df = df.hint("rebalance", part_col)
     obs = Observation("rows_written")
     df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     (
