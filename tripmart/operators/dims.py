@@ -67,6 +67,19 @@ def dim_date_for(trips: DataFrame, ts_col: str = "pickup_datetime") -> DataFrame
     return days.withColumns(calendar_attributes("date")).select(*DIM_DATE_COLUMNS)
 
 
+def dim_date_extension(trips: DataFrame, existing: DataFrame, ts_col: str = "pickup_datetime") -> DataFrame:
+    """Days to append so the calendar covers min..max of existing AND new dates, without gaps.
+
+    The span is computed from two one-row aggregates; only missing days are returned.
+    """
+    new = trips.agg(F.min(F.to_date(ts_col)).alias("d0"), F.max(F.to_date(ts_col)).alias("d1"))
+    old = existing.agg(F.min("date").alias("d0"), F.max("date").alias("d1"))
+    span = new.unionByName(old).agg(F.min("d0").alias("d0"), F.max("d1").alias("d1"))
+    days = span.select(F.explode(F.sequence("d0", "d1", F.expr("interval 1 day"))).alias("date"))
+    cal = days.withColumns(calendar_attributes("date")).select(*DIM_DATE_COLUMNS)
+    return cal.join(existing.select("date_key"), "date_key", "left_anti").select(*DIM_DATE_COLUMNS)
+
+
 def dispatch_members(trips: DataFrame) -> DataFrame:
     """non-NULL dispatching and originating bases, distinct, from ONE scan (explode of a pair)."""
     return (

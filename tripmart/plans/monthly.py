@@ -102,7 +102,10 @@ class MonthRunner:
         days = dims.dim_date_for(silver)
         for name, new, key in (("dim_provider", prov, "provider_key"), ("dim_date", days, "date_key")):
             if self._exists(name):
-                delta = new.join(self._read(name).select(key), key, "left_anti")
+                if name == "dim_date":
+                    delta = dims.dim_date_extension(silver, self._read(name))
+                else:
+                    delta = new.join(self._read(name).select(key), key, "left_anti")
                 n = sinks.append(delta, self.t.path(name), self.t.fmt)
                 self.results.append(StageResult(",".join(sorted(months)), name, "updated" if n else "unchanged", n))
             else:
