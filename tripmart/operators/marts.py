@@ -5,7 +5,10 @@ exact DECIMAL sums for money and miles) at a fine grain, then re-aggregated
 to the mart grain and finished (averages, per-mile KPIs). Partials can be
 stored per ``_source_month`` and rolled up later, so a new month never needs
 a rebuild of the whole fact. Dimension names are joined AFTER aggregation:
-a few hundred groups are joined, not every trip.
+a few hundred groups are joined, not every trip. Those joins carry no
+broadcast hint: both sides are aggregates whose size is only known at run
+time, so AQE measures them after the aggregate stage and switches to a
+broadcast join only when the measured side is under its threshold.
 """
 
 from __future__ import annotations
@@ -113,8 +116,8 @@ def daily_partials(fact: DataFrame, duration_col: str = "trip_time") -> DataFram
 def daily_provider(parts: DataFrame, dim_date: DataFrame, dim_provider: DataFrame, rounded: bool = False) -> DataFrame:
     """L1 (rounded=False) / L2 (rounded=True): one row per date x provider."""
     g = rollup(parts, DAILY_GRAIN) if "_source_month" in parts.columns else parts
-    g = g.join(F.broadcast(dim_date.select("date_key", "date")), "date_key", "left")
-    g = g.join(F.broadcast(dim_provider.select("provider_key", "provider_name")), "provider_key", "left")
+    g = g.join(dim_date.select("date_key", "date"), "date_key", "left")
+    g = g.join(dim_provider.select("provider_key", "provider_name"), "provider_key", "left")
     return finish(g, ["date_key", "date", "provider_key", "provider_name"], "daily", rounded)
 
 
@@ -126,7 +129,7 @@ def location(fact: DataFrame, dim_location: DataFrame, role: str = "pickup", rou
     k = f"{role}_location_key"
     g = partials(fact, [k], duration_col)
     d = dim_location.select(F.col("location_key").alias(k), "location_id", "zone", "borough", "service_zone")
-    g = g.join(F.broadcast(d), k, "left")
+    g = g.join(d, k, "left")
     keys = [k, "location_id", "borough", "zone", "service_zone"] if rounded else [k, "zone", "borough", "service_zone"]
     return finish(g, keys, "location", rounded)
 
@@ -139,7 +142,7 @@ def shared_ride(fact: DataFrame, dim_provider: DataFrame, rounded: bool = False)
         F.count_if(F.col("shared_request") == F.lit(True)).alias("shared_requests"),
         F.count_if(F.col("shared_match") == F.lit(True)).alias("shared_matches"),
     )
-    g = g.join(F.broadcast(dim_provider.select("provider_key", "provider_name")), "provider_key", "left")
+    g = g.join(dim_provider.select("provider_key", "provider_name"), "provider_key", "left")
     return finish(g, ["provider_key", "provider_name"], "shared", rounded)
 
 

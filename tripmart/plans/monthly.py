@@ -141,12 +141,12 @@ class MonthRunner:
         p = marts.rollup(self._read("gold_partials"), ["pickup_location_key"])
         d = self._read("dim_location").select(F.col("location_key").alias("pickup_location_key"), "zone", "borough",
                                               "service_zone")
-        return marts.finish(p.join(F.broadcast(d), "pickup_location_key", "left"),
+        return marts.finish(p.join(d, "pickup_location_key", "left"),
                             ["pickup_location_key", "zone", "borough", "service_zone"], "location")
 
     def gold_shared(self) -> DataFrame:
         p = marts.rollup(self._read("gold_partials"), ["provider_key"])
-        p = p.join(F.broadcast(self._read("dim_provider").select("provider_key", "provider_name")), "provider_key", "left")
+        p = p.join(self._read("dim_provider").select("provider_key", "provider_name"), "provider_key", "left")
         return marts.finish(p, ["provider_key", "provider_name"], "shared")
 
     def checks(self, months: list[str]) -> DataFrame:
