@@ -41,6 +41,7 @@ class MonthRunner:
         self.spark, self.t, self.raw, self.s = spark, tables, raw_base, settings
         self.lookup_csv = lookup_csv
         self.results: list[StageResult] = []
+        self._ledger: dict[str, set[str]] | None = None
 
     # -- helpers --------------------------------------------------------------
     def _read(self, name: str) -> DataFrame:
@@ -49,17 +50,39 @@ class MonthRunner:
     def _exists(self, name: str) -> bool:
         return readers.table_exists(self.spark, self.t.path(name), self.t.fmt)
 
+    def _done(self) -> dict[str, set[str]]:
+        """Months each stage has committed, from the run ledger (one small read per run)."""
+        if self._ledger is None:
+            self._ledger = {}
+            if readers.table_exists(self.spark, self.t.path("runs"), self.t.fmt):
+                for r in self._read("runs").where(F.col("status") == "loaded").select("stage", "month").distinct().collect():
+                    self._ledger.setdefault(r["stage"], set()).add(r["month"])
+        return self._ledger
+
     def _todo(self, name: str, months: list[str]) -> list[str]:
+        """Months still to (re)build for a stage.
+
+        ``replace``: all of them. ``skip`` (the reference's guard): months the ledger
+        records as committed are skipped. A month whose write failed half-way is
+        not in the ledger and is rebuilt (the write replaces the partition whole).
+        Tables written by other tools (no ledger) fall back to a data probe.
+        """
         if self.s.load_mode == "replace":
             return list(months)
-        present = sinks.months_present(self.spark, self.t.path(name), months, self.t.fmt)
-        for m in sorted(present):
+        done = self._done().get(name)
+        if done is None and not readers.table_exists(self.spark, self.t.path("runs"), self.t.fmt):
+            done = sinks.months_present(self.spark, self.t.path(name), months, self.t.fmt)
+        done = done or set()
+        for m in sorted(done & set(months)):
             self.results.append(StageResult(m, name, "skipped", 0))
-        return [m for m in months if m not in present]
+        return [m for m in months if m not in done]
 
     def _loaded(self, name: str, months: list[str], df: DataFrame) -> None:
         total = sinks.write_months(df, self.t.path(name), self.t.fmt)
-        # one row per stage for the batch; per-month rows come from the read-back report
+        # committed: record every month of the batch in the ledger right away
+        sinks.ledger_append(self.spark, self.t.path("runs"), [(m, name, "loaded", total) for m in sorted(months)],
+                            self.t.fmt)
+        self._done().setdefault(name, set()).update(months)
         self.results.append(StageResult(",".join(sorted(months)), name, "loaded", total))
 
     # -- stages ---------------------------------------------------------------
@@ -166,8 +189,6 @@ class MonthRunner:
         self.dimensions(months)
         self.fact(months)
         self.mart_partials(months)
-        sinks.ledger_append(self.spark, self.t.path("runs"),
-                            [(r.month, r.stage, r.status, r.rows) for r in self.results], self.t.fmt)
         return self.checks(months)
 
     def results_frame(self) -> DataFrame:

@@ -82,11 +82,22 @@ def _orders(spark: SparkSession, sf_dir: str, months: list[str] | None) -> DataF
     return o
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an under-split scan over all cores.
+
+    A single-row-group file is one scan task however large the cluster; when a
+    scan has fewer splits than the cluster has cores, one cheap shuffle lets the
+    rest of the plan run in parallel. Large inputs (many splits) are untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def landing_trips(spark: SparkSession, sf_dir: str, months: list[str] | None = None, with_file: bool = False) -> DataFrame:
     """Raw trips (25 columns, declared types) plus ``landing_month`` ('yyyy-MM' of the order date)."""
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     extra = [F.col("_metadata.file_path").alias("_source_file")] if with_file else []
-    li = li.select(*LINEITEM_COLS, *extra)
+    li = spread(li.select(*LINEITEM_COLS, *extra))
     j = li.join(_orders(spark, sf_dir, months), F.col("l_orderkey") == F.col("o_orderkey"))
     cols = trip_columns()
     out = [cols[f.name].cast(f.dataType).alias(f.name) for f in TRIP_SOURCE.fields]

@@ -72,8 +72,9 @@ def months_present(spark: SparkSession, path: str, months: list[str], fmt: str =
 
 
 def ledger_append(spark: SparkSession, path: str, rows: list[tuple], fmt: str = "parquet") -> None:
-    """Run ledger: (month, stage, status, rows, finished_at) - one small row per stage and month."""
+    """Run ledger: (month, stage, status, batch_rows, finished_at), one row per stage and month,
+    appended right after the stage's write committed."""
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     data = [(m, s, st, int(n), now) for (m, s, st, n) in rows]
-    df = spark.createDataFrame(data, "month string, stage string, status string, rows long, finished_at timestamp_ntz")
+    df = spark.createDataFrame(data, "month string, stage string, status string, batch_rows long, finished_at timestamp_ntz")
     df.write.format(fmt).mode("append").save(path)
