@@ -35,7 +35,7 @@ def test_fact_build_never_shuffles_the_fact_side(inputs):
 
 
 def test_month_slice_is_a_partition_filter(inputs):
-    p = plan(readers.month_slice(inputs.silver_table, "1995-01"))
+    p = plan(readers.month_slice(inputs.silver_by_month, "1995-01"))
     assert "PartitionFilters: [isnotnull(_source_month" in p and "1995-01" in p
 
 
