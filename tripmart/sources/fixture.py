@@ -89,8 +89,12 @@ def spread(df: DataFrame) -> DataFrame:
     scan has fewer splits than the cluster has cores, one cheap shuffle lets the
     rest of the plan run in parallel. Large inputs (many splits) are untouched.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect has no RDD view; leave the plan as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def landing_trips(spark: SparkSession, sf_dir: str, months: list[str] | None = None, with_file: bool = False) -> DataFrame:
