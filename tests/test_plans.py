@@ -59,3 +59,13 @@ def test_surrogate_keys_avoid_single_partition_window(inputs):
     p = plan(dims.dim_dispatch(inputs.silver_table, "surrogate"))
     assert "SinglePartition" not in p.split("BroadcastExchange")[0]
     assert "rangepartitioning" in p
+
+
+def test_cluster_settings_scale_with_input():
+    from tripmart.session import cluster_settings
+
+    small = cluster_settings(10 << 20, cores=8)
+    big = cluster_settings(100 << 40, cores=8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"

@@ -71,5 +71,5 @@ class Settings:
     duration_col: str = "trip_time"  # marts: library uses trip_time, notebooks the computed time
     extreme_miles: float = EXTREME_MILES
     extreme_duration_s: int = EXTREME_DURATION_S
-    broadcast_limit_rows: int = 5_000_000  # dimension sides above this are shuffled, not broadcast
+    broadcast_limit_rows: int = 1_000_000  # dimension sides above this are shuffled (AQE may still broadcast)
     provider_names: dict = field(default_factory=lambda: dict(PROVIDER_NAMES))

@@ -35,6 +35,30 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
     return spark
 
 
+def cluster_settings(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized to the input instead of Spark's fixed defaults.
+
+    Shuffle partitions start at about one per ``target_partition_bytes`` of
+    input (at least 2x the cores) and AQE coalesces them at run time to the
+    same advisory size, so a 100 TB month back-fill gets ~400k initial
+    partitions of 256 MiB, each well inside an executor's memory, while a
+    small month collapses to a few. Skewed partitions (a hot month, base or
+    trip key) are split by AQE's skew handling for joins and REBALANCE writes.
+    """
+    parts = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the settings the results depend on (time zone for second arithmetic)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
