@@ -168,3 +168,21 @@ def test_uncommitted_month_is_rebuilt_not_skipped(spark, landed):
     got = r2._read("bronze").where(F.col("_source_month") == months[1]).count()
     assert got == readers.read_months(spark, root, months[1:2]).count()
     assert r2._read("bronze").where(F.col("_source_file") == "partial").count() == 0
+
+
+def test_drift_in_one_file_of_a_batch_is_caught(spark, landed):
+    """One month landed with an extra column and another retyped: both caught before any row is read."""
+    root, lookup, months = landed
+    mixed = scratch_root(spark, "mixed")
+    raw = readers.read_months(spark, root, months[:3])
+    raw.where(F.col("month") == months[0]).write.partitionBy("month").parquet(f"{mixed}/raw")
+    raw.where(F.col("month") == months[1]).withColumn("surge_fee", F.lit(1.0)).write.mode("append").partitionBy(
+        "month").parquet(f"{mixed}/raw")
+    r = MonthRunner(spark, Tables(root=mixed), mixed, lookup_csv=lookup)
+    with pytest.raises(SchemaDriftError) as e:
+        r.bronze(months[:2])
+    assert ("surge_fee", "new") in {(d[0], d[1]) for d in e.value.diffs}
+    raw.where(F.col("month") == months[2]).withColumn("trip_time", F.col("trip_time").cast("string")).write.mode(
+        "append").partitionBy("month").parquet(f"{mixed}/raw")
+    with pytest.raises(SchemaDriftError):
+        MonthRunner(spark, Tables(root=mixed), mixed, lookup_csv=lookup).bronze([months[0], months[2]])

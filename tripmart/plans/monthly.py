@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmart import schemas
 from tripmart.config import Settings, Tables
@@ -90,10 +91,17 @@ class MonthRunner:
         todo = self._todo("bronze", months)
         if not todo:
             return todo
-        raw = readers.read_months(self.spark, self.raw, todo, schema=None)
-        diffs = schemas.drift(schemas.TRIP_SOURCE, raw.drop("month").schema)
+        # Names AND types of every landed file (merged footers), before any data is read
+        try:
+            landed = readers.read_months(self.spark, self.raw, todo, schema=None, merge_schema=True).schema
+        except Exception as e:  # noqa: BLE001 - files of the batch disagree on a column's type
+            if "MERGE" not in str(e).upper():
+                raise
+            raise schemas.SchemaDriftError([("*", "conflict", None, str(e).splitlines()[0][:200])]) from e
+        diffs = schemas.drift(schemas.TRIP_SOURCE, T.StructType([f for f in landed.fields if f.name != "month"]))
         if diffs:
             raise schemas.SchemaDriftError(diffs)
+        raw = readers.read_months(self.spark, self.raw, todo, schema=schemas.TRIP_SOURCE)
         b = raw.select(
             *[F.col(f.name).cast(f.dataType) for f in schemas.TRIP_SOURCE.fields],
             F.col("month").alias("_source_month"),

@@ -22,18 +22,23 @@ def read_month(spark: SparkSession, raw_base: str, month: str, schema: T.StructT
 
 
 def read_months(spark: SparkSession, raw_base: str, months: list[str] | None = None,
-                schema: T.StructType | None = TRIP_SOURCE) -> DataFrame:
+                schema: T.StructType | None = TRIP_SOURCE, merge_schema: bool = False) -> DataFrame:
     """A1 for many months in ONE scan: the landing root read as a month-partitioned dataset.
 
     ``month`` is a partition column, so the month list is a PartitionFilter.
+    ``merge_schema`` reads every file footer (metadata only) instead of one.
     """
     r = spark.read
     if schema is not None:
         r = r.schema(T.StructType(schema.fields + [T.StructField("month", T.StringType())]))
-    df = r.option("basePath", f"{raw_base}/raw").parquet(f"{raw_base}/raw")
-    if months:
-        df = df.where(F.col("month").isin(sorted(set(months))))
-    return df
+    elif merge_schema:
+        r = r.option("mergeSchema", "true")
+    r = r.option("basePath", f"{raw_base}/raw")
+    if not months:
+        return r.parquet(f"{raw_base}/raw")
+    # List (and, with merge_schema, read footers of) only the batch's month folders.
+    ms = sorted(set(months))
+    return r.parquet(*[f"{raw_base}/raw/month={m}" for m in ms]).where(F.col("month").isin(ms))
 
 
 def read_lookup_csv(spark: SparkSession, path: str, schema: T.StructType = LOCATION_LOOKUP) -> DataFrame:
