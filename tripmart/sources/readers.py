@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 from tripmart.schemas import LOCATION_LOOKUP, TRIP_SOURCE
 
 MONTH_PATH = "{base}/raw/month={month}/"
+# Up to this many months are read as explicit folders (Spark lists more paths with a distributed job).
+EXPLICIT_MONTH_PATHS = 12
 
 
 def read_month(spark: SparkSession, raw_base: str, month: str, schema: T.StructType | None = TRIP_SOURCE,
@@ -36,9 +38,12 @@ def read_months(spark: SparkSession, raw_base: str, months: list[str] | None = N
     r = r.option("basePath", f"{raw_base}/raw")
     if not months:
         return r.parquet(f"{raw_base}/raw")
-    # List (and, with merge_schema, read footers of) only the batch's month folders.
     ms = sorted(set(months))
-    return r.parquet(*[f"{raw_base}/raw/month={m}" for m in ms]).where(F.col("month").isin(ms))
+    if len(ms) <= EXPLICIT_MONTH_PATHS:
+        # Incremental runs: list (and, with merge_schema, read footers of) only the batch's folders.
+        return r.parquet(*[f"{raw_base}/raw/month={m}" for m in ms]).where(F.col("month").isin(ms))
+    # Back-fills: one listing of the root, months pruned as a partition filter.
+    return r.parquet(f"{raw_base}/raw").where(F.col("month").isin(ms))
 
 
 def read_lookup_csv(spark: SparkSession, path: str, schema: T.StructType = LOCATION_LOOKUP) -> DataFrame:
