@@ -68,13 +68,17 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and written intermediate tables."""
-    d = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext, the conf is all there is
+        sc = None
+    d = spark.conf.get(CHECKPOINT_KEY, None) or (sc.getCheckpointDir() if sc else None)
     if not d:
         # Unset: a local run or a test. Only then do we choose a folder ourselves.
         d = tempfile.mkdtemp(prefix="tripmart-ckpt-")
         spark.conf.set(CHECKPOINT_KEY, d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
