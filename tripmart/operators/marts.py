@@ -121,6 +121,23 @@ def daily_provider(parts: DataFrame, dim_date: DataFrame, dim_provider: DataFram
     return finish(g, ["date_key", "date", "provider_key", "provider_name"], "daily", rounded)
 
 
+# One partial table feeds all three published marts. Its grain is bounded by
+# days x providers x zones per month, independent of trip volume.
+PARTIAL_GRAIN = ["_source_month", "date_key", "provider_key", "pickup_location_key"]
+
+
+def published(parts: DataFrame, dim_date: DataFrame, dim_provider: DataFrame, dim_location: DataFrame
+              ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(daily provider, pickup location, shared ride) marts rolled up from PARTIAL_GRAIN partials."""
+    daily = daily_provider(rollup(parts, DAILY_GRAIN), dim_date, dim_provider)
+    d = dim_location.select(F.col("location_key").alias("pickup_location_key"), "zone", "borough", "service_zone")
+    loc = finish(rollup(parts, ["pickup_location_key"]).join(d, "pickup_location_key", "left"),
+                 ["pickup_location_key", "zone", "borough", "service_zone"], "location")
+    sh = rollup(parts, ["provider_key"]).join(dim_provider.select("provider_key", "provider_name"), "provider_key", "left")
+    shared = finish(sh, ["provider_key", "provider_name"], "shared")
+    return daily, loc, shared
+
+
 # -- L3 / L4 / R1 ------------------------------------------------------------
 
 def location(fact: DataFrame, dim_location: DataFrame, role: str = "pickup", rounded: bool = False,

@@ -23,9 +23,7 @@ from tripmart.operators.fact import build_fact
 from tripmart.operators.silver import to_silver
 from tripmart.sources import readers, sinks
 
-# One month-additive partial table feeds all three published marts. Its grain
-# is bounded by days x providers x zones per month, independent of trip volume.
-PARTIAL_GRAIN = ["_source_month", "date_key", "provider_key", "pickup_location_key"]
+PARTIAL_GRAIN = marts.PARTIAL_GRAIN
 
 
 @dataclass(frozen=True)
@@ -164,21 +162,18 @@ class MonthRunner:
             self._loaded("gold_partials", todo, marts.partials(f, PARTIAL_GRAIN, self.s.duration_col))
 
     # -- published marts (views over partials) -------------------------------
+    def _published(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        return marts.published(self._read("gold_partials"), self._read("dim_date"), self._read("dim_provider"),
+                               self._read("dim_location"))
+
     def gold_daily(self) -> DataFrame:
-        p = marts.rollup(self._read("gold_partials"), marts.DAILY_GRAIN)
-        return marts.daily_provider(p, self._read("dim_date"), self._read("dim_provider"))
+        return self._published()[0]
 
     def gold_location(self) -> DataFrame:
-        p = marts.rollup(self._read("gold_partials"), ["pickup_location_key"])
-        d = self._read("dim_location").select(F.col("location_key").alias("pickup_location_key"), "zone", "borough",
-                                              "service_zone")
-        return marts.finish(p.join(d, "pickup_location_key", "left"),
-                            ["pickup_location_key", "zone", "borough", "service_zone"], "location")
+        return self._published()[1]
 
     def gold_shared(self) -> DataFrame:
-        p = marts.rollup(self._read("gold_partials"), ["provider_key"])
-        p = p.join(self._read("dim_provider").select("provider_key", "provider_name"), "provider_key", "left")
-        return marts.finish(p, ["provider_key", "provider_name"], "shared")
+        return self._published()[2]
 
     def checks(self, months: list[str]) -> DataFrame:
         silver = self._read("silver").where(F.col("_source_month").isin(list(months)))
