@@ -199,3 +199,17 @@ def test_table_format_is_a_parameter(spark, landed):
     assert _rows(orc.gold_daily(), ["date_key", "provider_key"]) == _rows(pq.gold_daily(), ["date_key", "provider_key"])
     assert _rows(orc.gold_shared(), ["provider_key"]) == _rows(pq.gold_shared(), ["provider_key"])
     assert spark.read.orc(orc.t.path("fact")).count() == pq._read("fact").count()
+
+
+def test_empty_month_fails_n1_without_crashing(spark, landed):
+    """A landed month with no rows: every stage runs, the report FAILs N1 for it (X10: no crash on empty marts)."""
+    root, lookup, months = landed
+    raw = readers.read_months(spark, root, months[:1])
+    empty_root = scratch_root(spark, "empty")
+    raw.where(F.col("month") == months[0]).write.partitionBy("month").parquet(f"{empty_root}/raw")
+    raw.drop("month").limit(0).write.parquet(f"{empty_root}/raw/month=2099-01")
+    r = MonthRunner(spark, Tables(root=scratch_root(spark, "empty_tables")), empty_root, lookup_csv=lookup)
+    rep = {(x["source_month"], x["check_id"]): x["status"] for x in r.run([months[0], "2099-01"]).collect()}
+    assert rep[("2099-01", "N1")] == "FAIL"
+    assert rep[("2099-01", "N12")] == "FAILED"
+    assert rep[(months[0], "N1")] == "PASS"

@@ -63,13 +63,19 @@ def _pf(ok: Column, bad: str = FAIL) -> Column:
 
 
 def report(silver: DataFrame, fact: DataFrame, daily: DataFrame | None = None, location_trips: int | None = None,
-           shared_trips: int | None = None, total_fact_rows: int | None = None) -> DataFrame:
-    """Verdict rows for every file month present in Silver or the fact.
+           shared_trips: int | None = None, total_fact_rows: int | None = None,
+           months: list[str] | None = None) -> DataFrame:
+    """Verdict rows for every file month present in Silver or the fact, or for exactly ``months``.
 
+    With ``months`` (a run's batch), a requested month without any row still gets
+    its verdicts (N1 FAIL) instead of vanishing from the report.
     ``location_trips`` / ``shared_trips`` are the two mart totals (scalars); a
     missing or empty mart counts as 0 and FAILs (X10) instead of raising.
     """
     m = silver_month_rows(silver).join(fact_month_metrics(fact), "_source_month", "full")
+    if months is not None:
+        wanted = silver.sparkSession.createDataFrame([(x,) for x in sorted(set(months))], "_source_month string")
+        m = wanted.join(m, "_source_month", "left")
     include_gold = daily is not None
     if include_gold:
         m = m.join(daily_calendar_trips(daily), "_source_month", "left")

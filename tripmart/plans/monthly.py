@@ -181,7 +181,8 @@ class MonthRunner:
         fact = fact_all.where(F.col("_source_month").isin(list(months)))
         loc_t, shared_t = quality.mart_totals(self.gold_location(), self.gold_shared())
         # N10/N11 compare with ALL fact rows, not only this batch's months.
-        rows = quality.report(silver, fact, self.gold_daily(), loc_t, shared_t, total_fact_rows=fact_all.count())
+        rows = quality.report(silver, fact, self.gold_daily(), loc_t, shared_t, total_fact_rows=fact_all.count(),
+                              months=list(months))
         return quality.with_overall(rows)
 
     def run(self, months: list[str]) -> DataFrame:
