@@ -213,3 +213,26 @@ def test_empty_month_fails_n1_without_crashing(spark, landed):
     assert rep[("2099-01", "N1")] == "FAIL"
     assert rep[("2099-01", "N12")] == "FAILED"
     assert rep[(months[0], "N1")] == "PASS"
+
+
+def test_exact_quantiles_match_percentile(spark):
+    """Distributed exact quartiles equal Spark's single-buffer percentile on generated data (NULLs included)."""
+    import random
+
+    from tripmart.operators.quantiles import exact_quantiles
+
+    rnd = random.Random(7)
+    for _ in range(3):
+        vals = [rnd.randint(-40, 40) for _ in range(rnd.randint(1, 300))] + [None]
+        df = spark.createDataFrame([(v,) for v in vals], "x long")
+        got = list(exact_quantiles(df, "x", [0.25, 0.5, 0.75]).first())
+        ref = df.agg(F.percentile("x", [0.25, 0.5, 0.75])).first()[0]
+        assert got == ref
+
+
+def test_summary_of_empty_input_has_all_rows(spark):
+    from tripmart.operators.profile import _stats_rows
+
+    df = spark.createDataFrame([(None,)], "x long")
+    rows = {r["statistic"]: r["x"] for r in _stats_rows(df, ["x"]).collect()}
+    assert rows["count"] == 0.0 and rows["50%"] is None and len(rows) == 8

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tripmart import config as C
 from tripmart.functions import rules as R
+from tripmart.operators.quantiles import quantiles_from_counts, value_counts
 from tripmart.schemas import BUSINESS_COLUMNS, TRIP_SOURCE
 
 YN_SOURCE_FLAGS = list(R.YN_FLAGS.values())
@@ -137,43 +138,50 @@ def anomaly_matrix(silver: DataFrame, miles: float = C.EXTREME_MILES, duration_s
     return silver.groupBy(*[v.alias(k) for k, v in flags.items()]).agg(F.count(F.lit(1)).alias("trip_count"))
 
 
+STATS = ["count", "mean", "stddev", "min", "25%", "50%", "75%", "max"]
+
+
 def _stats_rows(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
     """count, mean, stddev, min, 25%, 50%, 75%, max per column as rows (statistic, <col>...).
 
-    Mean and stddev come from exact integer moment sums; percentiles are exact
-    (Spark ``percentile``, linear interpolation). The percentile buffer holds
-    one entry per DISTINCT value, bounded here by the integer-second domain.
+    ONE pass over the data: counts per (column, distinct value), map-side
+    combined and checkpointed to the shared folder. Moments (exact integer
+    sums) and exact, fully distributed quartiles are then derived from those
+    counts; the result is pivoted to one column per input column.
     """
-    aggs = []
-    for c in cols:
-        x = F.col(c)
-        aggs += [
-            F.count(x).alias(f"{c}__count"),
-            F.sum(x).cast("double").alias(f"{c}__s"),
-            F.sum(x.cast("decimal(20,0)") * x.cast("decimal(20,0)")).cast("double").alias(f"{c}__q"),
-            F.min(x).cast("double").alias(f"{c}__min"),
-            F.max(x).cast("double").alias(f"{c}__max"),
-            F.percentile(x, [0.25, 0.5, 0.75]).alias(f"{c}__p"),
-        ]
-    wide = df.agg(*aggs)
-    stats = ["count", "mean", "stddev", "min", "25%", "50%", "75%", "max"]
-
-    def value(c: str, stat: str) -> Column:
-        n = F.col(f"{c}__count").cast("double")
-        s, q = F.col(f"{c}__s"), F.col(f"{c}__q")
-        if stat == "count":
-            return n
-        if stat == "mean":
-            return F.when(n > 0, s / n)
-        if stat == "stddev":
-            return F.round(F.when(n > 1, F.sqrt((q - s * s / n) / (n - 1))), digits)
-        if stat in ("min", "max"):
-            return F.col(f"{c}__{stat}")
-        i = {"25%": 0, "50%": 1, "75%": 2}[stat]
-        return F.col(f"{c}__p")[i]
-
-    rows = [F.struct(F.lit(st).alias("statistic"), *[value(c, st).alias(c) for c in cols]) for st in stats]
-    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    counts = value_counts(df, cols).checkpoint(eager=True)
+    v = F.col("v").cast("decimal(20,0)")
+    n = F.col("n").cast("decimal(20,0)")
+    moments = counts.groupBy("column_name").agg(
+        F.sum("n").cast("double").alias("cnt"),
+        F.sum(v * n).cast("double").alias("s"),
+        F.sum(v * v * n).cast("double").alias("q"),
+        F.min("v").cast("double").alias("mn"),
+        F.max("v").cast("double").alias("mx"),
+    )
+
+    def entry(stat: str, value: Column) -> Column:
+        return F.struct(F.lit(stat).alias("statistic"), value.cast("double").alias("value"))
+
+    c, s_, q = F.col("cnt"), F.col("s"), F.col("q")
+    long = moments.select("column_name", F.explode(F.array(
+        entry("count", c),
+        entry("mean", F.when(c > 0, s_ / c)),
+        entry("stddev", F.round(F.when(c > 1, F.sqrt((q - s_ * s_ / c) / (c - 1))), digits)),
+        entry("min", F.col("mn")),
+        entry("max", F.col("mx")),
+    )).alias("e")).select("column_name", "e.*")
+    quart = quantiles_from_counts(counts, [0.25, 0.5, 0.75]).select(
+        "column_name", F.element_at(F.array(F.lit("25%"), F.lit("50%"), F.lit("75%")), F.col("p_index") + 1).alias(
+            "statistic"), "value")
+    long = long.unionByName(quart)
+    wide = long.groupBy("statistic").pivot("column_name", cols).agg(F.first("value", ignorenulls=True))
+    # statistics of an all-NULL input still get their rows (count 0, the rest NULL)
+    stats = df.sparkSession.createDataFrame([(st, i) for i, st in enumerate(STATS)], "statistic string, __o int")
+    out = stats.join(wide, "statistic", "left").orderBy("__o").drop("__o")
+    is_count = F.col("statistic") == "count"
+    return out.select("statistic", *[F.when(is_count, F.coalesce(F.col(x), F.lit(0.0))).otherwise(F.col(x)).alias(x)
+                                     for x in cols])
 
 
 def summary_timestamp_gap(df: DataFrame) -> DataFrame:
