@@ -117,33 +117,46 @@ class MonthRunner:
         return todo
 
     def dimensions(self, months: list[str]) -> None:
+        """Every dimension grows by an appended delta; existing keys never change."""
         silver = self._read("silver").where(F.col("_source_month").isin(list(months)))
-        # dispatch: append only new members (F6), first build otherwise
-        if self._exists("dim_dispatch"):
-            n = sinks.append(dims.dispatch_delta(silver, self._read("dim_dispatch"), self.s.dispatch_key_mode),
-                             self.t.path("dim_dispatch"), self.t.fmt)
-            self.results.append(StageResult(",".join(sorted(months)), "dim_dispatch", "updated" if n else "unchanged", n))
-        else:
-            n = sinks.rebuild(dims.dim_dispatch(silver, self.s.dispatch_key_mode), self.t.path("dim_dispatch"), self.t.fmt)
-            self.results.append(StageResult(",".join(sorted(months)), "dim_dispatch", "loaded", n))
-        # provider and date members are extended from the same slice (X11)
-        prov = dims.dim_provider(silver, self.s.provider_names)
-        days = dims.dim_date_for(silver)
-        for name, new, key in (("dim_provider", prov, "provider_key"), ("dim_date", days, "date_key")):
-            if self._exists(name):
-                if name == "dim_date":
-                    delta = dims.dim_date_extension(silver, self._read(name))
-                else:
-                    delta = new.join(self._read(name).select(key), key, "left_anti")
-                n = sinks.append(delta, self.t.path(name), self.t.fmt)
-                self.results.append(StageResult(",".join(sorted(months)), name, "updated" if n else "unchanged", n))
-            else:
-                n = sinks.rebuild(new, self.t.path(name), self.t.fmt)
-                self.results.append(StageResult(",".join(sorted(months)), name, "loaded", n))
-        if not self._exists("dim_location") and self.lookup_csv:
+        label = ",".join(sorted(months))
+
+        def dispatch() -> StageResult:
+            if self._exists("dim_dispatch"):  # append only new members
+                n = sinks.append(dims.dispatch_delta(silver, self._read("dim_dispatch"), self.s.dispatch_key_mode),
+                                 self.t.path("dim_dispatch"), self.t.fmt)
+                return StageResult(label, "dim_dispatch", "updated" if n else "unchanged", n)
+            n = sinks.rebuild(dims.dim_dispatch(silver, self.s.dispatch_key_mode), self.t.path("dim_dispatch"),
+                              self.t.fmt)
+            return StageResult(label, "dim_dispatch", "loaded", n)
+
+        def provider() -> StageResult:
+            new = dims.dim_provider(silver, self.s.provider_names)
+            if self._exists("dim_provider"):
+                delta = new.join(self._read("dim_provider").select("provider_key"), "provider_key", "left_anti")
+                n = sinks.append(delta, self.t.path("dim_provider"), self.t.fmt)
+                return StageResult(label, "dim_provider", "updated" if n else "unchanged", n)
+            return StageResult(label, "dim_provider", "loaded", sinks.rebuild(new, self.t.path("dim_provider"), self.t.fmt))
+
+        def calendar() -> StageResult:
+            if self._exists("dim_date"):  # gap-free extension over existing and new dates
+                n = sinks.append(dims.dim_date_extension(silver, self._read("dim_date")), self.t.path("dim_date"),
+                                 self.t.fmt)
+                return StageResult(label, "dim_date", "updated" if n else "unchanged", n)
+            n = sinks.rebuild(dims.dim_date_for(silver), self.t.path("dim_date"), self.t.fmt)
+            return StageResult(label, "dim_date", "loaded", n)
+
+        def location() -> StageResult | None:
+            if self._exists("dim_location") or not self.lookup_csv:
+                return None
             n = sinks.rebuild(dims.dim_location(readers.read_lookup_csv(self.spark, self.lookup_csv)),
                               self.t.path("dim_location"), self.t.fmt)
-            self.results.append(StageResult("*", "dim_location", "loaded", n))
+            return StageResult("*", "dim_location", "loaded", n)
+
+        for step in (dispatch, provider, calendar, location):
+            res = step()
+            if res is not None:
+                self.results.append(res)
 
     def fact(self, months: list[str]) -> list[str]:
         todo = self._todo("fact", months)
