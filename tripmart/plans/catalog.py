@@ -20,7 +20,7 @@ from tripmart.operators import dims, marts, profile, quality
 from tripmart.operators.fact import build_fact
 from tripmart.operators.silver import to_silver
 from tripmart.plans.monthly import MonthRunner, landing_months
-from tripmart.schemas import FACT_COLUMNS, SILVER_COLUMNS, TRIP_SOURCE
+from tripmart.schemas import SILVER_COLUMNS, TRIP_SOURCE
 from tripmart.session import prepare, scratch_root
 from tripmart.sources import readers, sinks
 from tripmart.sources.fixture import bronze_view, land_months, location_lookup
