@@ -66,17 +66,25 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_DIRS: dict[int, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster-wide folder for checkpoints and written intermediate tables."""
+    """The cluster-wide folder for checkpoints and written intermediate tables.
+
+    Read from ``spark.checkpoint.dir`` (or a checkpoint folder already set on the
+    context). Only when neither exists (a local run or a test) do we choose a
+    folder ourselves; it is registered with the context, since that setting
+    cannot be changed through the runtime conf.
+    """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext, the conf is all there is
         sc = None
-    d = spark.conf.get(CHECKPOINT_KEY, None) or (sc.getCheckpointDir() if sc else None)
+    d = spark.conf.get(CHECKPOINT_KEY, None) or (sc.getCheckpointDir() if sc else None) or _LOCAL_DIRS.get(id(spark))
     if not d:
-        # Unset: a local run or a test. Only then do we choose a folder ourselves.
         d = tempfile.mkdtemp(prefix="tripmart-ckpt-")
-        spark.conf.set(CHECKPOINT_KEY, d)
+        _LOCAL_DIRS[id(spark)] = d
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
