@@ -69,17 +69,20 @@ class Inputs:
     def dim_location(self) -> DataFrame:
         return dims.dim_location(location_lookup(self.spark, self.sf))
 
+    # Dimensions derived from Silver are small but cost a Silver column scan to build; a
+    # reliable checkpoint (shared folder) keeps that to ONE scan although the size proof,
+    # the broadcast and the mart joins all read them.
     @cached_property
     def dim_provider(self) -> DataFrame:
-        return dims.dim_provider(self.silver_table, self.s.provider_names)
+        return dims.dim_provider(self.silver_table, self.s.provider_names).checkpoint(eager=True)
 
     @cached_property
     def dim_dispatch(self) -> DataFrame:
-        return dims.dim_dispatch(self.silver_table, self.s.dispatch_key_mode)
+        return dims.dim_dispatch(self.silver_table, self.s.dispatch_key_mode).checkpoint(eager=True)
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return dims.dim_date_for(self.silver_table)
+        return dims.dim_date_for(self.silver_table).checkpoint(eager=True)
 
     @cached_property
     def fact(self) -> DataFrame:
