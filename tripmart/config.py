@@ -55,7 +55,7 @@ class Tables:
     dim_date: str = "dim_date"
     fact: str = "fact_trip"
     gold_partials: str = "gold_month_partials"
-    runs: str = "pipeline_runs"
+    runs: str = "run_ledger"
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{getattr(self, name, name)}"
