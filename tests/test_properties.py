@@ -236,3 +236,21 @@ def test_summary_of_empty_input_has_all_rows(spark):
     df = spark.createDataFrame([(None,)], "x long")
     rows = {r["statistic"]: r["x"] for r in _stats_rows(df, ["x"]).collect()}
     assert rows["count"] == 0.0 and rows["50%"] is None and len(rows) == 8
+
+
+def test_wide_trip_key_keeps_duplicate_semantics(spark, inputs):
+    """With the 128-bit identity the duplicate check still finds real copies, and only them."""
+    from tripmart.operators.fact import build_fact
+    from tripmart.operators.quality import fact_month_metrics
+    from tripmart.schemas import TRIP_KEY_COLUMNS
+
+    s = Settings(wide_trip_key=True)
+    fact = build_fact(inputs.silver_table, inputs.dim_provider, inputs.dim_location, inputs.dim_dispatch, s)
+    assert "trip_key_ext" in fact.columns
+    assert fact.where(F.col("trip_key") == F.col("trip_key_ext")).count() == 0
+    single = fact_month_metrics(fact).agg(F.sum("duplicate_trip_keys")).first()[0]
+    doubled = build_fact(inputs.silver_table.unionByName(inputs.silver_table), inputs.dim_provider,
+                         inputs.dim_location, inputs.dim_dispatch, s)
+    dup = fact_month_metrics(doubled).agg(F.sum("duplicate_trip_keys")).first()[0]
+    natural = inputs.silver_table.select("_source_month", *TRIP_KEY_COLUMNS).distinct().count()
+    assert single == 0 and dup == natural

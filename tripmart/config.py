@@ -71,5 +71,6 @@ class Settings:
     duration_col: str = "trip_time"  # marts: library uses trip_time, notebooks the computed time
     extreme_miles: float = EXTREME_MILES
     extreme_duration_s: int = EXTREME_DURATION_S
+    wide_trip_key: bool = False  # add trip_key_ext: a second, independent 64-bit hash (128-bit identity)
     broadcast_limit_rows: int = 1_000_000  # dimension sides above this are shuffled (AQE may still broadcast)
     provider_names: dict = field(default_factory=lambda: dict(PROVIDER_NAMES))

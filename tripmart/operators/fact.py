@@ -16,6 +16,12 @@ def trip_key() -> F.Column:
     return F.xxhash64(*TRIP_KEY_COLUMNS)
 
 
+def trip_key_ext() -> F.Column:
+    """Second, independent 64-bit hash of the same ten columns (xxhash64 of the columns in reverse order,
+    with a constant prefix so it is not a permutation-free function of the first key)."""
+    return F.xxhash64(F.lit("tripmart-ext"), *reversed(TRIP_KEY_COLUMNS))
+
+
 def build_fact(silver: DataFrame, provider: DataFrame, location: DataFrame, dispatch: DataFrame,
                settings: Settings = Settings()) -> DataFrame:
     """five left lookups (provider, pickup/dropoff location, dispatching/originating base).
@@ -24,6 +30,11 @@ def build_fact(silver: DataFrame, provider: DataFrame, location: DataFrame, disp
     fact side is never shuffled; rows are never dropped or multiplied.
     """
     f = silver.withColumns({"trip_key": trip_key(), "date_key": date_key("pickup_datetime")})
+    cols = FACT_COLUMNS
+    if settings.wide_trip_key:
+        # 64-bit keys collide by the birthday bound at ~1e10 rows; two independent hashes do not
+        f = f.withColumn("trip_key_ext", trip_key_ext())
+        cols = ["trip_key", "trip_key_ext", *FACT_COLUMNS[1:]]
     lim = settings.broadcast_limit_rows
     if settings.fact_key_mode == "copy":
         # direct key copy (raw ids as keys), no lookups.
@@ -36,7 +47,7 @@ def build_fact(silver: DataFrame, provider: DataFrame, location: DataFrame, disp
                 "originating_base_key": F.col("originating_base_num"),
             }
         )
-        return f.select(*FACT_COLUMNS)
+        return f.select(*cols)
     prov, loc, disp = checked_many(
         [
             (provider.select("provider_code", "provider_key"), "provider_code"),
@@ -50,4 +61,4 @@ def build_fact(silver: DataFrame, provider: DataFrame, location: DataFrame, disp
     f = lookup(f, loc, "DOLocationID", "location_id", {"location_key": "dropoff_location_key"}, lim, verified=True)
     f = lookup(f, disp, "dispatching_base_num", "base_num", {"dispatch_key": "dispatching_base_key"}, lim, verified=True)
     f = lookup(f, disp, "originating_base_num", "base_num", {"dispatch_key": "originating_base_key"}, lim, verified=True)
-    return f.select(*FACT_COLUMNS)
+    return f.select(*cols)

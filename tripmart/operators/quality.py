@@ -19,7 +19,8 @@ PASS, FAIL, WARNING = "PASS", "FAIL", "WARNING"
 
 def fact_month_metrics(fact: DataFrame) -> DataFrame:
     """Per file month: rows, duplicate trip keys, NULL keys, issue counts (one shuffle)."""
-    per_key = fact.groupBy("_source_month", "trip_key").agg(
+    key = ["trip_key", "trip_key_ext"] if "trip_key_ext" in fact.columns else ["trip_key"]
+    per_key = fact.groupBy("_source_month", *key).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("provider_key").isNull()).alias("null_provider"),
         F.count_if(F.col("pickup_location_key").isNull()).alias("null_pickup"),
