@@ -30,7 +30,9 @@ HEADLINE = [
 ]
 
 
-def run_once(spark, key: str, sf: str) -> float:
+def run_once(spark, key: str, sf: str, group: str | None = None) -> float:
+    if group:
+        spark.sparkContext.setJobGroup(group, key)
     t0 = time.perf_counter()
     QUERIES[key](spark, sf).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - t0
@@ -45,9 +47,12 @@ def main() -> None:
     for k in keys:  # warm-up: JIT, file listing caches
         run_once(spark, k, sf)
     times = {k: [] for k in keys}
-    for _ in range(runs):
+    jobs = {}
+    for r in range(runs):
         for k in keys:
-            times[k].append(run_once(spark, k, sf))
+            group = f"bench-{r}-{k}"
+            times[k].append(run_once(spark, k, sf, group))
+            jobs[k] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
     med = {k: round(statistics.median(v), 3) for k, v in times.items()}
     sf_label = sf.rstrip("/").rsplit("sf", 1)[-1]
     print(json.dumps({
@@ -55,6 +60,7 @@ def main() -> None:
         "value": round(sum(med.values()), 3),
         "unit": "sec",
         "queries": med,
+        "spark_jobs": jobs,
         "sf": float(sf_label) if sf_label.replace(".", "", 1).isdigit() else sf,
         "cpus": int(cpus),
         "runs": runs,
