@@ -22,8 +22,8 @@ def trip_key_ext() -> F.Column:
     return F.xxhash64(F.lit("tripmart-ext"), *reversed(TRIP_KEY_COLUMNS))
 
 
-def build_fact(silver: DataFrame, provider: DataFrame, location: DataFrame, dispatch: DataFrame,
-               settings: Settings = Settings()) -> DataFrame:
+def build_fact(silver: DataFrame, provider: DataFrame | None, location: DataFrame | None,
+               dispatch: DataFrame | None, settings: Settings = Settings()) -> DataFrame:
     """five left lookups (provider, pickup/dropoff location, dispatching/originating base).
 
     Each dimension is size- and uniqueness-checked once, then broadcast, so the

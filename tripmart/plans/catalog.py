@@ -86,6 +86,8 @@ class Inputs:
 
     @cached_property
     def fact(self) -> DataFrame:
+        if self.s.fact_key_mode == "copy":  # keys are the raw ids: no dimension needed
+            return build_fact(self.silver_table, None, None, None, self.s)
         return build_fact(self.silver_table, self.dim_provider, self.dim_location, self.dim_dispatch, self.s)
 
     @cached_property
