@@ -38,6 +38,21 @@ DIM_DATE_END = "2026-05-31"
 LINEAGE_COLUMNS = ("_source_month", "_source_file", "_ingested_at")
 # Row cap of the reference's anomaly extracts / top lists.
 EXTRACT_ROWS = 20
+# Names of the data-quality checks, in check order.
+CHECK_NAMES = {
+    "N1": "Silver row count",
+    "N2": "Silver to Fact row reconciliation",
+    "N3": "Duplicate trip key check",
+    "N4": "Provider key coverage",
+    "N5": "Location key coverage",
+    "N6": "Dispatching key coverage",
+    "N7": "Timestamp quality check",
+    "N8": "Financial quality check",
+    "N9": "Daily Provider Gold reconciliation",
+    "N10": "Location Gold reconciliation",
+    "N11": "Shared Ride Gold reconciliation",
+    "N12": "Data quality result",
+}
 # ---------------------------------------------------------------------------
 
 

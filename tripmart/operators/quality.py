@@ -49,10 +49,10 @@ def daily_calendar_trips(daily: DataFrame) -> DataFrame:
     )
 
 
-def _check(cid: str, name: str, status: Column, observed: Column, expected: Column) -> Column:
+def _check(cid: str, status: Column, observed: Column, expected: Column) -> Column:
     return F.struct(
         F.lit(cid).alias("check_id"),
-        F.lit(name).alias("check_name"),
+        F.lit(C.CHECK_NAMES[cid]).alias("check_name"),
         status.alias("status"),
         observed.cast("long").alias("observed"),
         expected.cast("long").alias("expected"),
@@ -88,25 +88,25 @@ def report(silver: DataFrame, fact: DataFrame, daily: DataFrame | None = None, l
     else:
         m = m.withColumn("total_fact_rows", F.lit(int(total_fact_rows)))
     checks = [
-        _check("N1", "Silver row count", _pf(F.col("silver_rows") > 0), F.col("silver_rows"), F.lit(1)),
-        _check("N2", "Silver to Fact row reconciliation", _pf(F.col("fact_rows") == F.col("silver_rows")),
+        _check("N1", _pf(F.col("silver_rows") > 0), F.col("silver_rows"), F.lit(1)),
+        _check("N2", _pf(F.col("fact_rows") == F.col("silver_rows")),
                F.col("fact_rows"), F.col("silver_rows")),
-        _check("N3", "Duplicate trip key check", _pf(F.col("duplicate_trip_keys") == 0), F.col("duplicate_trip_keys"), F.lit(0)),
-        _check("N4", "Provider key coverage", _pf(F.col("null_provider") == 0), F.col("null_provider"), F.lit(0)),
-        _check("N5", "Location key coverage", _pf((F.col("null_pickup") == 0) & (F.col("null_dropoff") == 0)),
+        _check("N3", _pf(F.col("duplicate_trip_keys") == 0), F.col("duplicate_trip_keys"), F.lit(0)),
+        _check("N4", _pf(F.col("null_provider") == 0), F.col("null_provider"), F.lit(0)),
+        _check("N5", _pf((F.col("null_pickup") == 0) & (F.col("null_dropoff") == 0)),
                F.col("null_pickup") + F.col("null_dropoff"), F.lit(0)),
-        _check("N6", "Dispatching key coverage", _pf(F.col("null_dispatching") == 0), F.col("null_dispatching"), F.lit(0)),
-        _check("N7", "Timestamp quality check", _pf(F.col("ts_issues") == 0, WARNING), F.col("ts_issues"), F.lit(0)),
-        _check("N8", "Financial quality check", _pf(F.col("fin_issues") == 0, WARNING), F.col("fin_issues"), F.lit(0)),
+        _check("N6", _pf(F.col("null_dispatching") == 0), F.col("null_dispatching"), F.lit(0)),
+        _check("N7", _pf(F.col("ts_issues") == 0, WARNING), F.col("ts_issues"), F.lit(0)),
+        _check("N8", _pf(F.col("fin_issues") == 0, WARNING), F.col("fin_issues"), F.lit(0)),
     ]
     if include_gold:
         lt = F.lit(int(location_trips or 0))
         st = F.lit(int(shared_trips or 0))
         checks += [
-            _check("N9", "Daily Provider Gold reconciliation", _pf(F.col("daily_gold_trips") == F.col("fact_rows")),
+            _check("N9", _pf(F.col("daily_gold_trips") == F.col("fact_rows")),
                    F.col("daily_gold_trips"), F.col("fact_rows")),
-            _check("N10", "Location Gold reconciliation", _pf(lt == F.col("total_fact_rows")), lt, F.col("total_fact_rows")),
-            _check("N11", "Shared Ride Gold reconciliation", _pf(st == F.col("total_fact_rows")), st, F.col("total_fact_rows")),
+            _check("N10", _pf(lt == F.col("total_fact_rows")), lt, F.col("total_fact_rows")),
+            _check("N11", _pf(st == F.col("total_fact_rows")), st, F.col("total_fact_rows")),
         ]
     rows = m.select("_source_month", F.explode(F.array(*checks)).alias("c")).select(
         F.col("_source_month").alias("source_month"), "c.*"
@@ -123,7 +123,7 @@ def with_overall(rows: DataFrame) -> DataFrame:
     overall = summary.select(
         "source_month",
         F.lit("N12").alias("check_id"),
-        F.lit("Data quality result").alias("check_name"),
+        F.lit(C.CHECK_NAMES["N12"]).alias("check_name"),
         F.when(F.col("fails") > 0, F.lit("FAILED")).otherwise(F.lit("PASSED")).alias("status"),
         F.col("fails").cast("long").alias("observed"),
         F.when(F.col("fails") > 0, F.lit(None)).otherwise(F.col("warnings")).cast("long").alias("expected"),
