@@ -76,8 +76,9 @@ class MonthRunner:
             self.results.append(StageResult(m, name, "skipped", 0))
         return [m for m in months if m not in done]
 
-    def _loaded(self, name: str, months: list[str], df: DataFrame) -> None:
-        total = sinks.write_months(df, self.t.path(name), self.t.fmt)
+    def _loaded(self, name: str, months: list[str], df: DataFrame, cluster: bool = False) -> None:
+        # Bronze/Silver/fact read month-partitioned inputs: already clustered, no extra shuffle.
+        total = sinks.write_months(df, self.t.path(name), self.t.fmt, cluster=cluster)
         # committed: record every month of the batch in the ledger right away
         sinks.ledger_append(self.spark, self.t.path("runs"), [(m, name, "loaded", total) for m in sorted(months)],
                             self.t.fmt)
@@ -172,7 +173,8 @@ class MonthRunner:
         todo = self._todo("gold_partials", months)
         if todo:
             f = self._read("fact").where(F.col("_source_month").isin(todo))
-            self._loaded("gold_partials", todo, marts.partials(f, PARTIAL_GRAIN, self.s.duration_col))
+            # aggregate output is hash-partitioned across months: cluster it
+            self._loaded("gold_partials", todo, marts.partials(f, PARTIAL_GRAIN, self.s.duration_col), cluster=True)
 
     # -- published marts (views over partials) -------------------------------
     def _published(self) -> tuple[DataFrame, DataFrame, DataFrame]:

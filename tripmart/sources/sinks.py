@@ -19,14 +19,19 @@ from tripmart.sources.readers import read_table, table_exists
 
 
 def write_months(df: DataFrame, path: str, fmt: str = "parquet", target_cols: list[str] | None = None,
-                 part_col: str = "_source_month") -> int:
-    """B1/B2: write (replace) the frame's months; returns rows written (observed, no second scan)."""
+                 part_col: str = "_source_month", cluster: bool = True) -> int:
+    """B1/B2: write (replace) the frame's months; returns rows written (observed, no second scan).
+
+    ``cluster``: rows not already grouped by month are clustered first, so each
+    month gets few files instead of (tasks x months). REBALANCE lets AQE split a
+    hot month over several tasks and merge small ones, without a sampling pass.
+    Frames read from month-partitioned tables are month-clustered already (a
+    scan split never mixes many months), so their writes skip that shuffle.
+    """
     if target_cols:
         df = df.select(*target_cols)
-    # Cluster rows by month before the partitioned write: few files per month
-    # instead of (tasks x months). REBALANCE lets AQE split a hot month over
-    # several tasks and merge small ones, without a sampling pass.
-    df = df.hint("rebalance", part_col)
+    if cluster:
+        df = df.hint("rebalance", part_col)
     obs = Observation("rows_written")
     df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     (
