@@ -254,3 +254,21 @@ def test_wide_trip_key_keeps_duplicate_semantics(spark, inputs):
     dup = fact_month_metrics(doubled).agg(F.sum("duplicate_trip_keys")).first()[0]
     natural = inputs.silver_table.select("_source_month", *TRIP_KEY_COLUMNS).distinct().count()
     assert single == 0 and dup == natural
+
+
+def test_ledger_compaction_keeps_rows_and_skips(spark, landed):
+    import os
+
+    root, lookup, months = landed
+    t = Tables(root=scratch_root(spark, "compact"))
+    r = MonthRunner(spark, t, root, lookup_csv=lookup)
+    r.run(months[:2])
+    r.run(months[2:4])
+    before = sorted(tuple(x) for x in r._read("runs").select("month", "stage", "status").collect())
+    files = lambda: len([f for f in os.listdir(t.path("runs").replace("file:", "")) if f.endswith(".parquet")])
+    assert files() > 1
+    assert r.compact_ledger() == len(before)
+    assert files() == 1
+    assert sorted(tuple(x) for x in r._read("runs").select("month", "stage", "status").collect()) == before
+    r2 = MonthRunner(spark, t, root, lookup_csv=lookup)
+    assert r2._todo("silver", months[:4]) == []
