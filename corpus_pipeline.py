@@ -1,4 +1,4 @@
-"""Corpus pipeline: quality rules, near-duplicates.
+"""Corpus pipeline: quality rules, near-duplicates, secrets, packing.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows of ``docs``; all but the last
 return the columns of ``documents``. ``run`` applies them to the whole table.
@@ -7,8 +7,9 @@ return the columns of ``documents``. ``run`` applies them to the whole table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripmart.llm import quality_rules, simhash
+from tripmart.llm import packing, quality_rules, secret_scan, simhash
 from tripmart.llm.common import table
 
 
@@ -22,7 +23,17 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash.one_of_each(docs)
 
 
-STAGES = [("quality_rules", keep_good), ("simhash_near_dedup", drop_near_copies)]
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Masks the secrets in the texts; n_chars follows the text."""
+    return secret_scan.mask_documents(docs).withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast("long")))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs the documents into training sequences: one row per piece."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [("quality_rules", keep_good), ("simhash_near_dedup", drop_near_copies), ("secret_scan", mask_secrets), ("packing", pack_sequences)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

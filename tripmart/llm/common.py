@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +17,21 @@ from tripmart.session import shared_dir
 SLICE_BYTES = 8 << 20
 
 
+PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def importable(spark: SparkSession) -> None:
+    """Python workers look for the package where the driver has it, whatever their working directory.
+
+    A cluster whose executors have another path ships it with --py-files, and this changes nothing.
+    """
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if PACKAGE_ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in (*paths, PACKAGE_ROOT) if p)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
