@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality_rules, secret_scan, simhash
+from . import packing, quality_rules, secret_scan, simhash, warc
 from .common import table
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages")).drop("archive", "record_offset", "record_length")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), packing.Packing(with_ids=False))
 
@@ -30,6 +34,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_warc": op3_warc,
     "op4_packing": op4_packing,
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
