@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality_rules, secret_scan, simhash, topk, warc
+from . import packing, pii, quality_rules, secret_scan, simhash, topk, warc
 from .common import table
 
 
@@ -19,6 +19,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), packing.Packing(with_ids=False))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.sanitising_spans(table(spark, sf_dir, "documents")))
+
+
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_products(vectors, vectors.where(F.col("vec_id") % 50 == 0))
@@ -41,6 +45,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": op3_warc,
     "op4_packing": op4_packing,
+    "op6_pii": op6_pii,
     "op7_topk": op7_topk,
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
