@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, pii, quality_rules, secret_scan, simhash, topk, warc
+from . import packing, pii, quality_rules, secret_scan, sharding, simhash, topk, warc
 from .common import table
 
 
@@ -19,6 +19,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), packing.Packing(with_ids=False))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, sf_dir, "documents"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.sanitising_spans(table(spark, sf_dir, "documents")))
 
@@ -45,10 +49,72 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": op3_warc,
     "op4_packing": op4_packing,
+    "op5_sharding": op5_sharding,
     "op6_pii": op6_pii,
     "op7_topk": op7_topk,
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
     "op10_simhash": op10_simhash,
 }
-ORACLE_SQL: dict[str, str] = {}
+
+SHARDING_SQL = f"""
+WITH rows AS (
+  SELECT doc_id, strlen(coalesce(text, '')) AS doc_bytes,
+         ('0x' || substr(md5(concat_ws(':', coalesce(doc_id::VARCHAR, ''), md5(coalesce(text, '')))), 1, 15))::BIGINT AS h
+  FROM documents),
+ways AS (SELECT doc_id, doc_bytes, h, d.range::INT AS depth, h >> (60 - d.range)::INT AS p FROM rows, range(0, 61) d),
+buckets AS (SELECT depth, p, sum(doc_bytes)::BIGINT AS shard_bytes, count(*) AS shard_docs FROM ways GROUP BY ALL),
+leaves AS (
+  SELECT w.doc_id, w.doc_bytes, w.h, min(depth) AS local_depth
+  FROM ways w JOIN buckets b USING (depth, p)
+  WHERE b.shard_bytes <= {sharding.SHARD_BYTES} OR b.shard_docs = 1 GROUP BY ALL)
+SELECT l.doc_id, l.doc_bytes, l.local_depth, CASE WHEN l.local_depth = 0 THEN '' ELSE substr(lpad(bin(l.h), 60, '0'), 1, l.local_depth) END AS shard,
+       b.shard_bytes, b.shard_docs, b.shard_bytes > {sharding.SHARD_BYTES} AS oversized
+FROM leaves l JOIN buckets b ON b.depth = l.local_depth AND b.p = l.h >> (60 - l.local_depth)
+"""
+
+WORD = r"[^\x20\x09-\x0D]"
+QUALITY_SQL = rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, source AS host, coalesce(text, '') AS t FROM documents),
+words AS (SELECT r, unnest(regexp_extract_all(t, '{WORD}+')) AS w, generate_subscripts(regexp_extract_all(t, '{WORD}+'), 1) AS i FROM docs),
+windows AS (
+  SELECT r, i, w, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3 FROM words WINDOW o AS (PARTITION BY r ORDER BY i)),
+again AS (SELECT r, i, count(*) OVER (PARTITION BY r, w, w2, w3) AS n FROM windows WHERE w3 IS NOT NULL),
+covered AS (SELECT r, count(DISTINCT i + k.range) AS n_repeat_words FROM again, range(0, 3) k WHERE n > 1 GROUP BY r),
+lines AS (SELECT r, unnest(string_split(t, chr(10))) AS x FROM docs),
+by_line AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT x) AS n_dup_lines FROM lines WHERE regexp_matches(x, '{WORD}') GROUP BY r),
+by_word AS (SELECT r, count(*) AS n_words, sum(length(w))::BIGINT AS word_chars FROM words GROUP BY r),
+measured AS (
+  SELECT r, doc_id, host, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_lines, 0) AS n_lines,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM docs LEFT JOIN by_word USING (r) LEFT JOIN by_line USING (r) LEFT JOIN covered USING (r)),
+ruled AS (
+  SELECT r, host, unnest([
+    {{'rule': 'symbols', 'broken': n_symbols * 100 > n_words * 10}},
+    {{'rule': 'dup_lines', 'broken': n_dup_lines * 100 > n_lines * 30}},
+    {{'rule': 'word_length', 'broken': word_chars < n_words * 2.0 OR word_chars > n_words * 15.0}},
+    {{'rule': 'repeats', 'broken': n_repeat_words * 100 > n_words * 20}}], recursive := true) FROM measured),
+hosts AS (SELECT host, rule, count(*)::DOUBLE AS docs, count(*) FILTER (broken)::DOUBLE AS fails FROM ruled GROUP BY host, rule),
+moments AS (SELECT rule, sum(docs) AS n, sum(fails) / sum(docs) AS m, sum(fails * fails / docs) AS sq, count(*) AS k FROM hosts GROUP BY rule),
+prior AS (SELECT rule, m, least(greatest(m * (1 - m) / greatest(sq / n - m * m - m * (1 - m) * k / n, 1e-9) - 1, 1.0), 1e6) AS k FROM moments),
+bad AS (
+  SELECT host, rule FROM hosts JOIN prior USING (rule)
+  WHERE (fails + m * k) / (docs + k) >= 0.25 AND (fails + m * k) / (docs + k) >= 2.0 * m),
+out_of_place AS (SELECT DISTINCT ruled.r FROM ruled JOIN bad ON ruled.host IS NOT DISTINCT FROM bad.host AND ruled.rule = bad.rule WHERE broken)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND r NOT IN (SELECT r FROM out_of_place) AS kept
+FROM measured
+"""
+
+TOPK_SQL = """
+WITH whole AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+               WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+           FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+ORACLE_SQL: dict[str, str] = {"op5_sharding": SHARDING_SQL, "op7_topk": TOPK_SQL, "op8_quality_rules": QUALITY_SQL}
