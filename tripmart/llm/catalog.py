@@ -7,10 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, pii, quality_rules, secret_scan, sharding, simhash, topk, warc
+from . import packing, pii, quality_rules, secret_scan, sentencepiece_codec, sharding, simhash, token_counts, topk, warc
 from .common import table
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.encode_documents(table(spark, sf_dir, "documents"))
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = token_counts.count_tokens(table(spark, sf_dir, "documents"))
+    return out.withColumn("n_tokens", F.col("n_tokens").cast("long"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages")).drop("archive", "record_offset", "record_length")
 
@@ -47,6 +56,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
+    "op2_token_counts": op2_token_counts,
     "op3_warc": op3_warc,
     "op4_packing": op4_packing,
     "op5_sharding": op5_sharding,

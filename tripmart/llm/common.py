@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -69,3 +69,23 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = SLICE_BYTES
 
 def total_bytes(df: DataFrame, text: str) -> Column:
     return F.octet_length(F.coalesce(F.col(text), F.lit("")))
+
+
+def gathered(lists: pa.ListArray, lookup: Callable[[list[bytes]], list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all rows and their bounds, for rows that are lists of words.
+
+    ``lookup`` gives each distinct word's ids once, as little-endian unsigned 32-bit integers.
+    """
+    coded = lists.flatten().dictionary_encode()
+    found = lookup(as_binary(coded.dictionary))
+    flat = np.frombuffer(b"".join(found), "<u4")
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    begins = np.cumsum(sizes) - sizes
+    index = coded.indices.to_numpy()
+    counts = sizes[index] if len(sizes) else np.zeros(0, np.int64)
+    ends = np.cumsum(counts)
+    total = int(ends[-1]) if len(ends) else 0
+    ids = flat[np.repeat(begins[index] - (ends - counts), counts) + np.arange(total)] if total else np.zeros(0, "<u4")
+    upto = np.concatenate(([0], ends))
+    bounds = lists.offsets.to_numpy().astype(np.int64)
+    return ids, upto[bounds - bounds[0]]

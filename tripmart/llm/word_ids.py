@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
+from .common import gathered
+
 #: fixed values of the tokenizer file: its split pattern
 PRE_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 PLAIN = regex.compile(r"[!-~¡-ɏ]+")
@@ -57,31 +59,21 @@ class WordIds:
         low = text.lower() if text.isascii() else "".join(c.lower() for c in text)
         return b"".join(map(self._part, PRE_TOKENS.findall(low)))
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all rows, offsets of each row's ids); null is an empty text."""
-        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-        coded = lists.flatten().dictionary_encode()
-        distinct = coded.dictionary.cast(pa.large_binary() if pa.types.is_large_string(coded.dictionary.type) else pa.binary()).to_pylist()
+    def lookup(self, words: list[bytes]) -> list[bytes]:
         if len(self.parts) > CACHED_PARTS:
             self.parts = {}
+        if len(self.words) > CACHED_WORDS:
+            self.words = {}
         known, found = self.words, []
-        for w in distinct:
+        for w in words:
             ids = known.get(w)
             if ids is None:
                 ids = self.word(w)
                 if len(w) <= CACHED_LENGTH:
                     known[w] = ids
             found.append(ids)
-        if len(known) > CACHED_WORDS:
-            self.words = {}
-        flat = np.frombuffer(b"".join(found), "<u4")
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        begins = np.cumsum(sizes) - sizes
-        index = coded.indices.to_numpy()
-        counts = sizes[index] if len(sizes) else np.zeros(0, np.int64)
-        ends = np.cumsum(counts)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = flat[np.repeat(begins[index] - (ends - counts), counts) + np.arange(total)] if total else np.zeros(0, "<u4")
-        upto = np.concatenate(([0], ends))
-        bounds = lists.offsets.to_numpy().astype(np.int64)
-        return ids, upto[bounds - bounds[0]]
+        return found
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all rows, bounds of each row's ids); null is an empty text."""
+        return gathered(pc.ascii_split_whitespace(pc.fill_null(texts, "")), self.lookup)
