@@ -52,6 +52,22 @@ def as_binary(col: pa.Array) -> list[bytes | None]:
     return col.cast(kind).to_pylist()
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``df`` has them (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def thinned(hash_column: str, share: Column) -> Column:
+    """Keeps about the given share of all hashes, whatever their order or place; a share of 1 keeps all."""
+    return F.shiftrightunsigned(hash_column, 33) < share * 2.0**31
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Record batches cut so that the named string column holds about ``most`` bytes, one row at least."""
     for batch in batches:

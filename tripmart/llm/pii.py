@@ -33,7 +33,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, same
+from .common import cut, free, same
 
 #: fixed values: the kinds in order
 KINDS = ("email", "ip", "card", "phone")
@@ -151,9 +151,9 @@ def sanitising_spans(docs: DataFrame, how: Sanitising = Sanitising(), doc_id: st
     told = found.select("doc_id", "row_key", F.explode("terms").alias("t")).select("doc_id", "row_key", "t.*").join(telling, ["entity", "term"])
     once = told.groupBy("doc_id", "row_key", "start", "stop").agg(F.max("remove").alias("remove"))
     of_row = once.groupBy("doc_id", "row_key").agg(F.array_sort(F.collect_list(F.struct("start", "stop", "remove"))).alias("term_spans"))
-    of_row = of_row.select(F.col("doc_id").alias("__id"), F.col("row_key").alias("__key"), "term_spans")
+    of_row = of_row.select(F.col("doc_id").alias("of_id"), F.col("row_key").alias("of_key"), "term_spans")
     none = F.array().cast("array<struct<start:int,stop:int,remove:boolean>>")
-    return found.join(of_row, same(F.col("doc_id"), F.col("__id")) & (F.col("row_key") == F.col("__key")), "left").select("doc_id", "row_key", "spans", F.coalesce("term_spans", none).alias("term_spans"))
+    return found.join(of_row, same(F.col("doc_id"), F.col("of_id")) & (F.col("row_key") == F.col("of_key")), "left").select("doc_id", "row_key", "spans", F.coalesce("term_spans", none).alias("term_spans"))
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -175,7 +175,8 @@ def sanitise(docs: DataFrame, how: Sanitising = Sanitising(), doc_id: str = "doc
     found = sanitising_spans(docs, how, doc_id, text).where((F.size("spans") > 0) | (F.size("term_spans") > 0))
     base = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("by")))
     terms = F.transform("term_spans", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.when(s["remove"], "").otherwise(how.general_word).alias("by")))
-    changes = found.select(F.col("doc_id").alias("__id"), F.col("row_key").alias("__key"), F.array_sort(F.concat(base, terms)).alias("__changes")).dropDuplicates(["__id", "__key"])
+    own_id, own_key, made = free(docs, "found_id", "found_key", "changes")
+    changes = found.select(F.col("doc_id").alias(own_id), F.col("row_key").alias(own_key), F.array_sort(F.concat(base, terms)).alias(made)).dropDuplicates([own_id, own_key])
     whole = F.col(text).cast("string")
 
     def change(acc: Column, c: Column) -> Column:
@@ -183,6 +184,6 @@ def sanitise(docs: DataFrame, how: Sanitising = Sanitising(), doc_id: str = "doc
         return F.struct(F.greatest(acc["at"], c["stop"]).alias("at"), F.when(c["start"] >= acc["at"], F.concat(acc["out"], before, c["by"])).otherwise(acc["out"]).alias("out"))
 
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("__changes", zero, change, lambda acc: F.concat(acc["out"], F.substring(whole, acc["at"] + 1, F.length(whole))))
-    joined = docs.join(changes, same(F.col(doc_id).cast("long"), F.col("__id")) & (row_key(F.coalesce(whole, F.lit(""))) == F.col("__key")), "left")
-    return joined.withColumn(text, F.when(F.col("__changes").isNull(), whole).otherwise(clean)).select(*docs.columns)
+    clean = F.aggregate(made, zero, change, lambda acc: F.concat(acc["out"], F.substring(whole, acc["at"] + 1, F.length(whole))))
+    joined = docs.join(changes, same(F.col(doc_id).cast("long"), F.col(own_id)) & (row_key(F.coalesce(whole, F.lit(""))) == F.col(own_key)), "left")
+    return joined.withColumn(text, F.when(F.col(made).isNull(), whole).otherwise(clean)).select(*docs.columns)

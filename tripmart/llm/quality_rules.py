@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_binary, cut, same, slices
+from .common import as_binary, cut, free, same, slices
 
 WORD_SEPARATORS = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -125,11 +125,11 @@ def apply_rules(docs: DataFrame, rules: QualityRules = QualityRules(), doc_id: s
     verdicts = host_verdicts(measured, rules).groupBy("host").agg(F.collect_set(F.when(F.col("bad"), F.col("rule"))).alias("bad_rules"))
     broken = F.array_compact(F.array(*(F.when(c, F.lit(r)) for r, c in rules.host_rules().items())))
     base = (F.col("n_words") < rules.min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * rules.max_repeat_pct)
-    judged = measured.withColumns({"base_failed": base, "broken": broken}).withColumnRenamed("host", "__host")
-    out = judged.join(verdicts, same(F.col("__host"), F.col("host")), "left")
+    judged = measured.withColumns({"base_failed": base, "broken": broken}).withColumnRenamed("host", "doc_host")
+    out = judged.join(verdicts, same(F.col("doc_host"), F.col("host")), "left")
     bad_host = F.coalesce(F.arrays_overlap("broken", "bad_rules"), F.lit(False))
     return out.select(
-        "doc_id", "row_key", F.col("__host").alias("host"), "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
+        "doc_id", "row_key", F.col("doc_host").alias("host"), "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
         "base_failed", "broken", (~F.col("base_failed") & ~bad_host).alias("kept"),
     )
 
@@ -141,6 +141,7 @@ def kept_documents(docs: DataFrame, rules: QualityRules = QualityRules(), doc_id
     one verdict, so all of them stay or go.
     """
     judged = apply_rules(docs, rules, doc_id, text, host)
-    kept = judged.where("kept").select(F.col("doc_id").alias("__id"), F.col("row_key").alias("__key")).distinct()
+    own_id, own_key = free(docs, "kept_id", "kept_key")
+    kept = judged.where("kept").select(F.col("doc_id").alias(own_id), F.col("row_key").alias(own_key)).distinct()
     key = row_key(F.col(text).cast("string"), F.col(host).cast("string"))
-    return docs.join(kept, same(F.col(doc_id).cast("long"), F.col("__id")) & (key == F.col("__key")), "left_semi")
+    return docs.join(kept, same(F.col(doc_id).cast("long"), F.col(own_id)) & (key == F.col(own_key)), "left_semi")

@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, free
 
 BITS = 60
 SHARD_BYTES = 1 << 20
@@ -37,11 +37,11 @@ def row_hash(doc_id: Column, text: Column) -> Column:
     return prefix_hash(F.coalesce(doc_id.cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit(""))))
 
 
-def sized_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+def sized_rows(docs: DataFrame, doc_id: str, text: str, number: str | None = None) -> DataFrame:
     """(n, doc_id, doc_bytes, h1, h2): narrow and checkpointed, so that the row numbers behind h2 stay."""
     whole = F.col(text).cast("string")
-    number = F.col("__n") if "__n" in docs.columns else F.monotonically_increasing_id()
-    rows = docs.select(number.alias("n"), F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.octet_length(whole), F.lit(0)).cast("long").alias("doc_bytes"), row_hash(F.col(doc_id).cast("long"), whole).alias("h1"))
+    n = F.col(number) if number else F.monotonically_increasing_id()
+    rows = docs.select(n.alias("n"), F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.octet_length(whole), F.lit(0)).cast("long").alias("doc_bytes"), row_hash(F.col(doc_id).cast("long"), whole).alias("h1"))
     return cut(rows).withColumn("h2", prefix_hash(F.col("h1").cast("string"), F.col("n").cast("string")))
 
 
@@ -79,8 +79,8 @@ def _shorter(c1: Column, c2: Column, deep: int) -> list[Column]:
     return [one.alias("p1"), two.alias("p2")]
 
 
-def _assigned(docs: DataFrame, limit: int, doc_id: str, text: str) -> DataFrame:
-    rows = sized_rows(docs, doc_id, text)
+def _assigned(docs: DataFrame, limit: int, doc_id: str, text: str, number: str | None = None) -> DataFrame:
+    rows = sized_rows(docs, doc_id, text, number)
     total = rows.agg(F.sum("doc_bytes")).first()[0] or 0
     above, done = -1, None
     depth = max(1, math.ceil(math.log2(max(1, total / limit))) + 3)
@@ -110,6 +110,7 @@ def _bits() -> Column:
 
 def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES, doc_id: str = "doc_id", text: str = "text", fmt: str = "parquet") -> None:
     """Writes whole rows with one folder per shard; a shard's rows meet in one task, which its byte limit bounds."""
-    numbered = cut(docs.withColumn("__n", F.monotonically_increasing_id()))
-    placed = _assigned(numbered, limit, doc_id, text).select(F.col("n").alias("__n"), F.col("shard").alias("__shard"))
-    numbered.join(placed, "__n").drop("__n").withColumnRenamed("__shard", "shard").repartition("shard").write.format(fmt).partitionBy("shard").save(path)
+    number, shard = free(docs, "row_number", "shard")
+    numbered = cut(docs.withColumn(number, F.monotonically_increasing_id()))
+    placed = _assigned(numbered, limit, doc_id, text, number).select(F.col("n").alias(number), F.col("shard").alias(shard))
+    numbered.join(placed, number).drop(number).repartition(shard).write.format(fmt).partitionBy(shard).save(path)

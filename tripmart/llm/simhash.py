@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_binary, cut, same, slices
+from .common import as_binary, cut, free, same, slices
 from .components import star_components
 
 SHINGLE_WORDS, SEED, RADIUS = 4, 42, 4
@@ -201,8 +201,8 @@ def _marked(docs: DataFrame, doc_id: str, text: str, shingle: int, seed: int, ra
     roots = star_components(links(nodes.select("fp"), radius, tile_rows))
     placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lows = placed.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = placed.join(lows, "root").select(F.col("fp").alias("__fp"), "root", "component_id")
-    return marked.join(named, F.col("fp") == F.col("__fp")).select("doc_id", "row_key", "fp", "root", "component_id")
+    named = placed.join(lows, "root").select(F.col("fp").alias("node_fp"), "root", "component_id")
+    return marked.join(named, F.col("fp") == F.col("node_fp")).select("doc_id", "row_key", "fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE_WORDS, seed: int = SEED, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:
@@ -219,11 +219,12 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     """
     found = _marked(docs, doc_id, text, shingle, seed, radius, tile_rows)
     keepers = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row_key")).alias("k")).select("k.doc_id", "k.row_key")
-    keepers = keepers.select(F.col("doc_id").alias("__id"), F.col("row_key").alias("__key"))
-    rows = found.groupBy("doc_id", "row_key").agg(F.count(F.lit(1)).alias("__n"))
-    keepers = cut(rows.join(keepers, same(F.col("doc_id"), F.col("__id")) & (F.col("row_key") == F.col("__key"))).select("__id", "__key", "__n"))
+    own_id, own_key, copies = free(docs, "kept_id", "kept_key", "kept_rows")
+    keepers = keepers.select(F.col("doc_id").alias(own_id), F.col("row_key").alias(own_key))
+    rows = found.groupBy("doc_id", "row_key").agg(F.count(F.lit(1)).alias(copies))
+    keepers = cut(rows.join(keepers, same(F.col("doc_id"), F.col(own_id)) & (F.col("row_key") == F.col(own_key))).select(own_id, own_key, copies))
     key = row_key(F.col(doc_id).cast("long"), F.col(text).cast("string"))
-    own = docs.join(keepers, same(F.col(doc_id).cast("long"), F.col("__id")) & (key == F.col("__key")))
-    single = own.where(F.col("__n") == 1).select(*docs.columns)
-    repeated = own.where(F.col("__n") > 1).dropDuplicates(["__id", "__key"]).select(*docs.columns)
+    own = docs.join(keepers, same(F.col(doc_id).cast("long"), F.col(own_id)) & (key == F.col(own_key)))
+    single = own.where(F.col(copies) == 1).select(*docs.columns)
+    repeated = own.where(F.col(copies) > 1).dropDuplicates([own_id, own_key]).select(*docs.columns)
     return single.unionByName(repeated)
