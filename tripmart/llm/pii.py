@@ -9,8 +9,8 @@ and ``df(e, t)`` the term within ``reach`` characters of the entity. The term di
 of the entity's information: 1 if it stands in no document without it. Around mentions of an
 entity, terms that disclose ``remove_at`` of it are removed, those from ``generalise_at`` on
 are replaced by a general word; base spans are always replaced by their kind. A pair needs
-``min_windows`` different windows over the corpus: what stands in copies of one passage only
-is no evidence. Documents without an entity are left alone.
+``min_windows`` different windows over the corpus, and its entity as many documents: what
+stands in copies of one passage, or in one document, is no evidence. Documents without an entity are left alone.
 
 Texts are read once for the mentions (checkpointed, narrow: only documents with mentions
 carry more than their counts) and once for the document frequencies of all terms, which are
@@ -46,7 +46,7 @@ PATTERNS = {
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+OCTET = r"(?:0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?)|0++)"
 TERM = r"\p{L}[\p{L}\p{N}]{2,}+"
 SPANS = "array<struct<start:int,stop:int,value:string>>"
 
@@ -138,7 +138,7 @@ def disclosures(docs: DataFrame, found: DataFrame, how: Sanitising = Sanitising(
     of_entity = found.select(F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
     words = F.regexp_extract_all(F.col(text).cast("string"), F.lit(TERM), F.lit(0))
     of_term = docs.select(F.explode(F.array_distinct(F.transform(words, lambda w: F.xxhash64(F.lower(w))))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
-    pairs = cut(of_pair.where(F.col("windows") >= how.min_windows).join(of_entity, "entity"))
+    pairs = cut(of_pair.where(F.col("windows") >= how.min_windows).join(of_entity.where(F.col("with_entity") >= how.min_windows), "entity"))
     pmi = F.log2(F.lit(float(n)) * F.least("both", "with_term", "with_entity") / (F.col("with_entity").cast("double") * F.col("with_term")))
     information = F.log2(F.lit(float(n)) / F.col("with_entity"))
     return pairs.join(of_term, "term").where(F.col("with_entity") < n).select("entity", "term", (pmi / information).alias("disclosure"))
