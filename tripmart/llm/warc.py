@@ -134,7 +134,7 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
 def captures(path: str) -> Iterator[tuple]:
     """A row of CAPTURE for each record of an archive."""
     fs, name = pafs.FileSystem.from_uri(path)
-    with fs.open_input_stream(name) as stream:
+    with fs.open_input_stream(name, compression=None) as stream:
         for offset, size, raw in members(iter(lambda: stream.read(1 << 20), b"")):
             fields, block = parse(raw)
             if fields["WARC-Type"] == "warcinfo":
@@ -204,7 +204,7 @@ def write_archives(pages: DataFrame, root: str, how: WarcOptions = WarcOptions()
             for page, link, payload, first in zip(batch.column("page_id").to_pylist(), batch.column("url").to_pylist(), as_binary(batch.column("html")), batch.column("first").to_pylist()):
                 if sink is None:
                     name = f"pages-{task.partitionId():06d}-{task.taskAttemptId()}-{len(made):04d}.warc.gz"
-                    sink = fs.open_output_stream(f"{base}/{name}")
+                    sink = fs.open_output_stream(f"{base}/{name}", compression=None)
                     made.append([f"{fs_root}/{name}", 0, 0])
                     info = b"software: tripmart\r\nformat: WARC File Format 1.0\r\n"
                     sink.write(squeeze(b"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: %s\r\nContent-Type: application/warc-fields\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (record_id(None, name).encode(), len(info), info), how.gzip_level))
