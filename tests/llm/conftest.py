@@ -18,7 +18,7 @@ ROWS = [
     _row(5, LONG, None),
     _row(6, "Être où ça – naïve 日本語 𝔘nicode <|endoftext|> x@y.org 10.0.0.1 password = hunter22 " * 3, "s2"),
     _row(7, "x" * 50_000, "s2"),
-    _row(8, "1" * 5_000 + " " + "4111 1111 1111 1111", "s2"),
+    _row(8, "1" * 5_000 + " x 4111 1111 1111 1111", "s2"),
 ]
 
 

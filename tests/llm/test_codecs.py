@@ -121,14 +121,14 @@ def check_packing(docs, how):
         assert [p.offset for p in parts] == np.cumsum([0, *(p.length for p in parts)])[:-1].tolist()
         total = sum(p.length for p in parts)
         assert total <= how.max_tokens and total & (total - 1) == 0
-    rows = docs.select("doc_id", "text").collect()
-    assert sum(p.length for p in pieces) == sum(len(tokens.encode(r.text or "", add_special_tokens=False).ids) + 1 for r in rows)
-    for r in rows:
-        ids = [*tokens.encode(r.text or "", add_special_tokens=False).ids, how.close_id]
-        found = [p for starts in of_doc[r.doc_id, len(ids)].values() for p in starts]
-        copies = sum(x == r for x in rows)
-        assert sum(p.length for p in found) >= copies * len(ids)
-        assert all(any(p.ids == ids[p.start : p.start + p.length] for r2 in rows if r2.doc_id == r.doc_id for ids in [[*tokens.encode(r2.text or "", add_special_tokens=False).ids, how.close_id]]) for p in found)
+    by_id = defaultdict(list)
+    for r in docs.select("doc_id", "text").collect():
+        by_id[r.doc_id].append([*tokens.encode(r.text or "", add_special_tokens=False).ids, how.close_id])
+    for key, texts in by_id.items():
+        found = [p for (k, _), starts in of_doc.items() if k == key for x in starts.values() for p in x]
+        assert sum(p.length for p in found) == sum(map(len, texts))
+        assert all(any(p.ids == ids[p.start : p.start + p.length] for ids in texts) for p in found)
+        assert {x for ids in texts for x in range(len(ids))} == {x for p in found for x in range(p.start, p.start + p.length)}
 
 
 def test_packing_edge_cases(edge, nothing):
