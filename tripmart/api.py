@@ -58,18 +58,24 @@ def build_month_to_fact(spark: SparkSession, source_month: str, tables: Tables,
 
 def build_daily_provider_gold(spark: SparkSession, source_month: str, tables: Tables,
                               settings: Settings = Settings()) -> DataFrame:
-    """Stores the month's partial; returns the published daily mart."""
+    """Stores the month's partial and rewrites the mart tables; returns the daily mart."""
     r = _runner(spark, tables, settings=settings)
     r.mart_partials([source_month])
-    return r.gold_daily()
+    r.publish()
+    return r._read("gold_daily")
 
 
 def build_location_gold(spark: SparkSession, tables: Tables) -> DataFrame:
-    return _runner(spark, tables).gold_location()
+    """Rewrites the mart table from the stored partials and returns it."""
+    r = _runner(spark, tables)
+    r.publish()
+    return r._read("gold_location")
 
 
 def build_shared_ride_gold(spark: SparkSession, tables: Tables) -> DataFrame:
-    return _runner(spark, tables).gold_shared()
+    r = _runner(spark, tables)
+    r.publish()
+    return r._read("gold_shared")
 
 
 def run_data_quality_checks(spark: SparkSession, source_month: str, tables: Tables) -> list[tuple[str, str]]:

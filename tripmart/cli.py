@@ -31,7 +31,8 @@ def main(argv: list[str] | None = None) -> None:
     runner = MonthRunner(spark, Tables(root=a.root, fmt=a.format), a.raw,
                          Settings(load_mode=a.mode, dispatch_key_mode=a.dispatch_keys), lookup_csv=a.lookup)
     report = runner.run(months)
-    report.orderBy("source_month", F.length("check_id"), "check_id").show(1000, truncate=False)
+    report = report.orderBy("source_month", F.length("check_id"), "check_id").cache()
+    report.show(max(1, report.count()), truncate=False)  # twelve rows a month
 
 
 if __name__ == "__main__":

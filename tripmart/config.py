@@ -58,9 +58,9 @@ CHECK_NAMES = {
 
 @dataclass(frozen=True)
 class Tables:
-    """Names (paths under ``root``) of every persisted table."""
+    """Names of every persisted table: paths under ``root``, or tables of ``database`` if one is given."""
 
-    root: str
+    root: str = ""
     fmt: str = "parquet"
     bronze: str = "bronze_trips"
     silver: str = "silver_trips"
@@ -70,10 +70,15 @@ class Tables:
     dim_date: str = "dim_date"
     fact: str = "fact_trip"
     gold_partials: str = "gold_month_partials"
+    gold_daily: str = "gold_daily_provider"
+    gold_location: str = "gold_location"
+    gold_shared: str = "gold_shared_ride"
     runs: str = "run_ledger"
+    database: str | None = None
 
     def path(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{getattr(self, name, name)}"
+        own = getattr(self, name, name)
+        return f"{self.database}.{own}" if self.database else f"{self.root.rstrip('/')}/{own}"
 
 
 @dataclass(frozen=True)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripmart import config as C
 from tripmart.functions.calendar import calendar_attributes
+from tripmart.session import shared_dir
 
 DIM_DATE_COLUMNS = [
     "date_key", "date", "year", "quarter", "month", "month_name",
@@ -67,6 +68,36 @@ def dim_date_for(trips: DataFrame, ts_col: str = "pickup_datetime") -> DataFrame
     return days.withColumns(calendar_attributes("date")).select(*DIM_DATE_COLUMNS)
 
 
+def member_values(trips: DataFrame) -> DataFrame:
+    """(kind, value) of every dimension member in ONE scan: provider codes, bases and pickup dates, distinct.
+
+    Bounded by the dimensions, not by the trips; combined per task before it is shuffled.
+    """
+    return trips.select(
+        F.explode(F.array(
+            F.struct(F.lit("provider").alias("kind"), F.col("hvfhs_license_num").alias("value")),
+            F.struct(F.lit("base").alias("kind"), F.col("dispatching_base_num").alias("value")),
+            F.struct(F.lit("base").alias("kind"), F.col("originating_base_num").alias("value")),
+            F.struct(F.lit("date").alias("kind"), F.to_date("pickup_datetime").cast("string").alias("value")),
+        )).alias("m")).select("m.*").distinct()
+
+
+def as_trips(members: DataFrame, kind: str) -> DataFrame:
+    """The members of one kind as a trip-shaped frame that the dimension builders take."""
+    own = members.where(F.col("kind") == kind)
+    if kind == "provider":
+        return own.select(F.col("value").alias("hvfhs_license_num"))
+    if kind == "date":
+        return own.select(F.col("value").cast("timestamp").alias("pickup_datetime"))
+    return own.select(F.col("value").alias("dispatching_base_num"), F.lit(None).cast("string").alias("originating_base_num"))
+
+
+def new_providers(trips: DataFrame, existing: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
+    """Provider members that the dimension does not hold yet; a NULL code counts as one member."""
+    new, held = dim_provider(trips, names), existing.select(F.col("provider_key").alias("__held"))
+    return new.join(held, new["provider_key"].eqNullSafe(held["__held"]), "left_anti")
+
+
 def dim_date_extension(trips: DataFrame, existing: DataFrame, ts_col: str = "pickup_datetime") -> DataFrame:
     """Days to append so the calendar covers min..max of existing AND new dates, without gaps.
 
@@ -96,9 +127,13 @@ def sequence_numbers(df: DataFrame, order_col: str, out_col: str, offset: Column
     Range-partition, number rows inside each partition, then add the running
     total of the sizes of the earlier partitions (one row per partition, so
     that side is tiny and broadcast). ``order_col`` values must be distinct.
+
+    The range-partitioned rows are checkpointed with their partition number: range bounds
+    come from a sample, so evaluating the partitioning twice could give two different ones.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parted = df.repartitionByRange(n, order_col).withColumn("__p", F.spark_partition_id())
+    shared_dir(df.sparkSession)
+    parted = df.repartitionByRange(n, order_col).withColumn("__p", F.spark_partition_id()).checkpoint(eager=True)
     local = parted.withColumn("__r", F.row_number().over(Window.partitionBy("__p").orderBy(order_col)))
     sizes = parted.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
     starts = sizes.select(

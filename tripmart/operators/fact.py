@@ -23,18 +23,21 @@ def trip_key_ext() -> F.Column:
 
 
 def build_fact(silver: DataFrame, provider: DataFrame | None, location: DataFrame | None,
-               dispatch: DataFrame | None, settings: Settings = Settings()) -> DataFrame:
+               dispatch: DataFrame | None, settings: Settings = Settings(), columns: list[str] | None = None) -> DataFrame:
     """five left lookups (provider, pickup/dropoff location, dispatching/originating base).
 
     Each dimension is size- and uniqueness-checked once, then broadcast, so the
-    fact side is never shuffled; rows are never dropped or multiplied.
+    fact side is never shuffled; rows are never dropped or multiplied. A dimension
+    that is not given is not looked up, and its key columns are left out: a mart
+    asks only for the keys it groups by. ``columns`` limits the output (and so what ``silver``
+    must hold) to some fact columns.
     """
     f = silver.withColumns({"trip_key": trip_key(), "date_key": date_key("pickup_datetime")})
-    cols = FACT_COLUMNS
+    cols = columns or FACT_COLUMNS
     if settings.wide_trip_key:
         # 64-bit keys collide by the birthday bound at ~1e10 rows; two independent hashes do not
         f = f.withColumn("trip_key_ext", trip_key_ext())
-        cols = ["trip_key", "trip_key_ext", *FACT_COLUMNS[1:]]
+        cols = ["trip_key", "trip_key_ext", *[c for c in cols if c != "trip_key"]]
     lim = settings.broadcast_limit_rows
     if settings.fact_key_mode == "copy":
         # direct key copy (raw ids as keys), no lookups.
@@ -48,17 +51,16 @@ def build_fact(silver: DataFrame, provider: DataFrame | None, location: DataFram
             }
         )
         return f.select(*cols)
-    prov, loc, disp = checked_many(
-        [
-            (provider.select("provider_code", "provider_key"), "provider_code"),
-            (location.select("location_id", "location_key"), "location_id"),
-            (dispatch.select("base_num", "dispatch_key"), "base_num"),
-        ],
-        lim,
-    )
-    f = lookup(f, prov, "hvfhs_license_num", "provider_code", {"provider_key": "provider_key"}, lim, verified=True)
-    f = lookup(f, loc, "PULocationID", "location_id", {"location_key": "pickup_location_key"}, lim, verified=True)
-    f = lookup(f, loc, "DOLocationID", "location_id", {"location_key": "dropoff_location_key"}, lim, verified=True)
-    f = lookup(f, disp, "dispatching_base_num", "base_num", {"dispatch_key": "dispatching_base_key"}, lim, verified=True)
-    f = lookup(f, disp, "originating_base_num", "base_num", {"dispatch_key": "originating_base_key"}, lim, verified=True)
-    return f.select(*cols)
+    looked_up = [
+        (provider, "provider_code", "provider_key", {"hvfhs_license_num": "provider_key"}),
+        (location, "location_id", "location_key", {"PULocationID": "pickup_location_key", "DOLocationID": "dropoff_location_key"}),
+        (dispatch, "base_num", "dispatch_key",
+         {"dispatching_base_num": "dispatching_base_key", "originating_base_num": "originating_base_key"}),
+    ]
+    given = [x for x in looked_up if x[0] is not None]
+    sides = checked_many([(d.select(code, key), code) for d, code, key, _ in given], lim) if given else []
+    for side, (_, code, key, columns) in zip(sides, given):
+        for fact_col, out in columns.items():
+            f = lookup(f, side, fact_col, code, {key: out}, lim, verified=True)
+    left_out = {out for d, _, _, columns in looked_up if d is None for out in columns.values()}
+    return f.select(*[c for c in cols if c not in left_out])

@@ -191,13 +191,16 @@ def summary_timestamp_gap(df: DataFrame) -> DataFrame:
     return _stats_rows(src, ["seconds_difference"])
 
 
-def summary_trip_time_diff(df: DataFrame) -> DataFrame:
-    """Reported vs computed trip time and their difference."""
+def trip_time_diff(df: DataFrame) -> DataFrame:
+    """The trips with computed trip time and its difference to the reported one."""
     calc = F.unix_timestamp("dropoff_datetime") - F.unix_timestamp("pickup_datetime")
-    src = df.select("trip_time", calc.alias("calculated_trip_time_seconds")).withColumn(
-        "difference_seconds", F.col("trip_time") - F.col("calculated_trip_time_seconds")
-    )
-    return _stats_rows(src, ["trip_time", "calculated_trip_time_seconds", "difference_seconds"])
+    return df.withColumn("calculated_trip_time_seconds", calc).withColumn(
+        "difference_seconds", F.col("trip_time") - F.col("calculated_trip_time_seconds"))
+
+
+def summary_trip_time_diff(df: DataFrame) -> DataFrame:
+    """Statistics of reported and computed trip time and their difference."""
+    return _stats_rows(trip_time_diff(df), ["trip_time", "calculated_trip_time_seconds", "difference_seconds"])
 
 
 def anti_members(values: DataFrame, col: str, members: DataFrame, member_col: str, out: str) -> DataFrame:

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripmart.session import shared_dir
+
 
 def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     """(column_name, v, n) for several same-typed columns from ONE scan (unpivot + map-side combined count)."""
@@ -24,7 +26,9 @@ def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
 def rank_intervals(counts: DataFrame, partitions: int | None = None) -> DataFrame:
     """(column_name, v, n, lo, total) from value counts: first 0-based rank of each value and the column's total."""
     n_parts = partitions or int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parted = counts.repartitionByRange(n_parts, "column_name", "v").withColumn("__p", F.spark_partition_id())
+    shared_dir(counts.sparkSession)
+    # both branches below must see ONE partitioning: its bounds are sampled, so it is evaluated once
+    parted = counts.repartitionByRange(n_parts, "column_name", "v").withColumn("__p", F.spark_partition_id()).checkpoint(eager=True)
     running = parted.withColumn(
         "__cum",
         F.sum("n").over(Window.partitionBy("__p", "column_name").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))

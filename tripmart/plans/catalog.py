@@ -20,8 +20,8 @@ from tripmart.operators import dims, marts, profile, quality
 from tripmart.operators.fact import build_fact
 from tripmart.operators.silver import to_silver
 from tripmart.plans.monthly import MonthRunner, landing_months
-from tripmart.schemas import SILVER_COLUMNS, TRIP_SOURCE
-from tripmart.session import prepare, scratch_root
+from tripmart.schemas import SILVER_COLUMNS, TRIP_KEY_COLUMNS, TRIP_SOURCE
+from tripmart.session import prepare, scratch_root, shared_dir
 from tripmart.sources import readers, sinks
 from tripmart.sources.fixture import bronze_view, land_months, location_lookup
 
@@ -56,8 +56,15 @@ class Inputs:
 
     @cached_property
     def silver_table(self) -> DataFrame:
+        """All of Silver, written: for runs that read most of its columns several times."""
         return self.materialize(self.silver, "silver")
 
+    @cached_property
+    def members(self) -> DataFrame:
+        """Members of all dimensions from ONE scan of four Silver columns, checkpointed (bounded by the dimensions)."""
+        shared_dir(self.spark)
+        return dims.member_values(self.silver).checkpoint(eager=True)
+
     @cached_property
     def silver_by_month(self) -> DataFrame:
         """Silver as a month-partitioned table (month filters become partition filters)."""
@@ -69,30 +76,29 @@ class Inputs:
     def dim_location(self) -> DataFrame:
         return dims.dim_location(location_lookup(self.spark, self.sf))
 
-    # Dimensions derived from Silver are small but cost a Silver column scan to build; a
-    # reliable checkpoint (shared folder) keeps that to ONE scan although the size proof,
-    # the broadcast and the mart joins all read them.
     @cached_property
     def dim_provider(self) -> DataFrame:
-        return dims.dim_provider(self.silver_table, self.s.provider_names).checkpoint(eager=True)
+        return dims.dim_provider(dims.as_trips(self.members, "provider"), self.s.provider_names)
 
     @cached_property
     def dim_dispatch(self) -> DataFrame:
-        return dims.dim_dispatch(self.silver_table, self.s.dispatch_key_mode).checkpoint(eager=True)
+        return dims.dim_dispatch(dims.as_trips(self.members, "base"), self.s.dispatch_key_mode)
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return dims.dim_date_for(self.silver_table).checkpoint(eager=True)
+        return dims.dim_date_for(dims.as_trips(self.members, "date"))
 
     @cached_property
     def fact(self) -> DataFrame:
+        """The whole fact, lazy over Silver: nothing but the members of its dimensions is written."""
         if self.s.fact_key_mode == "copy":  # keys are the raw ids: no dimension needed
-            return build_fact(self.silver_table, None, None, None, self.s)
-        return build_fact(self.silver_table, self.dim_provider, self.dim_location, self.dim_dispatch, self.s)
+            return build_fact(self.silver, None, None, None, self.s)
+        return build_fact(self.silver, self.dim_provider, self.dim_location, self.dim_dispatch, self.s)
 
-    @cached_property
-    def fact_table(self) -> DataFrame:
-        return self.materialize(self.fact, "fact")
+    def fact_of(self, *dimensions: str) -> DataFrame:
+        """The fact with the keys of some dimensions only: a query looks up what it groups by."""
+        got = {d: getattr(self, f"dim_{d}") if d in dimensions else None for d in ("provider", "location", "dispatch")}
+        return build_fact(self.silver, got["provider"], got["location"], got["dispatch"], self.s)
 
 
 # ---------------------------------------------------------------------------
@@ -135,7 +141,9 @@ def q_bronze_ingest(spark, sf):
     t = Tables(root=root)
     r = MonthRunner(spark, t, root)
     r.bronze(landing_months(spark, root))
-    return readers.read_table(spark, t.path("bronze")).drop(*RUN_DEPENDENT)
+    # of the file name, which differs from run to run, the month folder is compared
+    month = F.regexp_extract("_source_file", "month=([0-9]{4}-[0-9]{2})/", 1).alias("source_file_month")
+    return readers.read_table(spark, t.path("bronze")).select("*", month).drop(*RUN_DEPENDENT)
 
 
 def q_scan_csv_lookup(spark, sf):
@@ -152,11 +160,13 @@ def q_month_slice(spark, sf, month: str = "1995-01"):
 
 
 def q_source_inventory(spark, sf):
-    """Landing-folder inventory (file name, size, rows) as a table."""
+    """Landing-folder inventory as a table; file names and sizes differ from run to run, so per month: rows, and
+    whether every file has bytes and rows."""
     i = Inputs(spark, sf)
     root = i.scratch("inventory")
     land_months(spark, sf, root)
-    return readers.inventory(readers.read_months(spark, root))
+    files = readers.inventory(readers.read_months(spark, root), "month")
+    return files.groupBy("month").agg(F.sum("row_count").alias("row_count"), F.min((F.col("file_size") > 0) & (F.col("row_count") > 0)).alias("files_filled"))
 
 
 def q_rows_per_month(spark, sf):
@@ -202,6 +212,18 @@ def q_anomaly_flag_matrix(spark, sf):
     return profile.anomaly_matrix(Inputs(spark, sf).silver, s.extreme_miles, s.extreme_duration_s)
 
 
+def q_anomaly_flag_matrix_lowered(spark, sf):
+    """D9/H13 with thresholds that this fixture's trips exceed."""
+    return profile.anomaly_matrix(Inputs(spark, sf).silver, 100.0, 1800)
+
+
+def q_preview_trip_time_diff(spark, sf, k: int = C.EXTRACT_ROWS):
+    """First trips (in a total order) with reported and computed trip time side by side."""
+    cols = ["hvfhs_license_num", "request_datetime", "pickup_datetime", "dropoff_datetime", "trip_time",
+            "calculated_trip_time_seconds", "difference_seconds"]
+    return marts.top_k(profile.trip_time_diff(Inputs(spark, sf).bronze).select(*cols), _total_order(cols), k)
+
+
 def q_preview_silver(spark, sf, k: int = C.EXTRACT_ROWS):
     i = Inputs(spark, sf)
     return marts.top_k(i.silver.select(*PREVIEW_COLS), _total_order(PREVIEW_COLS), k)
@@ -242,40 +264,35 @@ def q_dim_location(spark, sf):
 
 
 def q_dim_provider(spark, sf):
-    return Inputs(spark, sf).dim_provider
+    return dims.dim_provider(Inputs(spark, sf).silver)
 
 
 def q_dim_date(spark, sf):
-    return Inputs(spark, sf).dim_date
+    return dims.dim_date_for(Inputs(spark, sf).silver)
 
 
 def q_dim_date_weekend_counts(spark, sf):
-    return profile.group_count(Inputs(spark, sf).dim_date, ["is_weekend"], "day_count")
+    return profile.group_count(q_dim_date(spark, sf), ["is_weekend"], "day_count")
 
 
 def q_dim_dispatch(spark, sf):
-    return Inputs(spark, sf).dim_dispatch
+    return dims.dim_dispatch(Inputs(spark, sf).silver)
 
 
 def q_dim_surrogate_key(spark, sf):
-    return dims.dim_dispatch(Inputs(spark, sf).silver_table, "surrogate")
-
-
-def _split_months(spark, silver: DataFrame) -> tuple[list[str], list[str]]:
-    months = sorted(r[0] for r in silver.select("_source_month").distinct().collect())
-    half = len(months) // 2
-    return months[:half], months[half:]
+    return dims.dim_dispatch(Inputs(spark, sf).silver, "surrogate")
 
 
 def _incremental_dispatch(spark, sf, key_mode: str, union_rebuild: bool = False):
-    """Dimension built from the first half of the months, then extended by the second half."""
+    """Dimension built from the first month, then extended by all later months (which bring new bases)."""
     i = Inputs(spark, sf)
-    s = i.silver_table
-    first, second = _split_months(spark, s)
+    # only what both batches read: the distinct bases of each month, in one scan
+    s = i.materialize(i.silver.select("_source_month", "dispatching_base_num", "originating_base_num").distinct(), "month_bases")
+    first = s.agg(F.min("_source_month")).first()[0]
     path = i.scratch("dim_dispatch")
-    sinks.rebuild(dims.dim_dispatch(s.where(F.col("_source_month").isin(first)), key_mode), path)
+    sinks.rebuild(dims.dim_dispatch(s.where(F.col("_source_month") == first), key_mode), path)
     existing = readers.read_table(spark, path)
-    batch2 = s.where(F.col("_source_month").isin(second))
+    batch2 = s.where(F.col("_source_month") > first)
     if union_rebuild:
         out = i.scratch("dim_dispatch_rebuilt")
         sinks.rebuild(dims.dispatch_union_rebuild(batch2, existing), out)
@@ -298,7 +315,7 @@ def q_dim_dispatch_union_rebuild(spark, sf):
 
 def q_trip_key_uniqueness(spark, sf):
     """Duplicate trip-key groups (hash) over the whole fact."""
-    f = Inputs(spark, sf).fact
+    f = Inputs(spark, sf).fact_of()
     g = f.groupBy("trip_key").agg(F.count(F.lit(1)).alias("n"))
     return g.agg(F.sum("n").alias("trip_rows"), F.count_if(F.col("n") > 1).alias("duplicate_key_groups"))
 
@@ -326,6 +343,18 @@ def q_dim_key_uniqueness(spark, sf):
     return out
 
 
+def q_dim_key_uniqueness_with_defects(spark, sf):
+    """H9/N19 FAIL paths: each dimension with its smallest key twice and a NULL member."""
+    i = Inputs(spark, sf)
+    out = None
+    for name, key in (("location", "location_key"), ("provider", "provider_key"), ("date", "date_key"), ("dispatch", "dispatch_key")):
+        keys = getattr(i, f"dim_{name}").select(key)
+        spoilt = keys.unionByName(keys.agg(F.min(key).alias(key))).unionByName(keys.limit(1).select(F.lit(None).cast(keys.schema[0].dataType).alias(key)))
+        part = profile.key_uniqueness(spoilt, key, f"dim_{name}")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # ---------------------------------------------------------------------------
 # 2.6 joins / integrity
 
@@ -339,6 +368,18 @@ def q_invalid_dropoff_ids(spark, sf):
     return profile.anti_members(i.silver, "DOLocationID", location_lookup(spark, sf), "LocationID", "LocationID")
 
 
+def q_invalid_dropoff_ids_short_lookup(spark, sf):
+    """G6 with a lookup that lacks its first zones, so that drop-off ids are invalid."""
+    return profile.anti_members(Inputs(spark, sf).silver, "DOLocationID", location_lookup(spark, sf).where("LocationID >= 3"),
+                                "LocationID", "LocationID")
+
+
+def q_orphan_date_keys_workdays(spark, sf):
+    """G7 with a calendar of workdays: the weekend dates of the fact are orphans."""
+    i = Inputs(spark, sf)
+    return profile.anti_members(i.fact_of(), "date_key", i.dim_date.where(~F.col("is_weekend")), "date_key", "date_key")
+
+
 def _copy_fact(spark, sf) -> DataFrame:
     return Inputs(spark, sf, Settings(fact_key_mode="copy")).fact
 
@@ -363,7 +404,7 @@ def q_orphan_dropoff_keys(spark, sf):
 
 def q_orphan_date_keys(spark, sf):
     i = Inputs(spark, sf)
-    return profile.anti_members(i.fact, "date_key", i.dim_date, "date_key", "date_key")
+    return profile.anti_members(i.fact_of(), "date_key", i.dim_date, "date_key", "date_key")
 
 
 def q_bases_in_both_roles(spark, sf):
@@ -374,7 +415,7 @@ def q_bases_in_both_roles(spark, sf):
 # 2.7 / 2.9 aggregations, sorts
 
 def q_trips_by_provider(spark, sf):
-    return profile.group_count(Inputs(spark, sf).fact, ["provider_key"])
+    return profile.group_count(Inputs(spark, sf).fact_of("provider"), ["provider_key"])
 
 
 def q_trips_by_dispatching_base(spark, sf):
@@ -386,7 +427,7 @@ def q_trips_by_originating_base(spark, sf):
 
 
 def q_trips_by_date_key(spark, sf):
-    return profile.group_count(Inputs(spark, sf).fact, ["date_key"]).orderBy("date_key")
+    return profile.group_count(Inputs(spark, sf).fact_of(), ["date_key"]).orderBy("date_key")
 
 
 def q_profile_ranges(spark, sf):
@@ -413,6 +454,14 @@ def q_duplicate_business_rows(spark, sf):
     return profile.duplicate_groups(Inputs(spark, sf).silver)
 
 
+def q_duplicate_business_rows_seeded(spark, sf):
+    """H9 on Silver with its last month twice."""
+    s = Inputs(spark, sf).silver
+    last = s.agg(F.max("_source_month").alias("last_month"))
+    again = s.join(F.broadcast(last), F.col("_source_month") == F.col("last_month")).drop("last_month")  # one row
+    return profile.duplicate_groups(s.unionByName(again))
+
+
 def q_summary_timestamp_gap(spark, sf):
     return profile.summary_timestamp_gap(Inputs(spark, sf).bronze)
 
@@ -445,38 +494,38 @@ def q_profile_fact_key_nulls(spark, sf):
 
 def q_gold_daily_provider(spark, sf):
     i = Inputs(spark, sf)
-    return marts.daily_provider(marts.partials(i.fact, marts.DAILY_GRAIN), i.dim_date, i.dim_provider)
+    return marts.daily_provider(marts.partials(i.fact_of("provider"), marts.DAILY_GRAIN), i.dim_date, i.dim_provider)
 
 
 def q_gold_daily_provider_rounded(spark, sf):
     i = Inputs(spark, sf)
-    p = marts.partials(i.fact, marts.DAILY_GRAIN, "calculated_trip_time_seconds")
+    p = marts.partials(i.fact_of("provider"), marts.DAILY_GRAIN, "calculated_trip_time_seconds")
     return marts.daily_provider(p, i.dim_date, i.dim_provider, rounded=True)
 
 
 def q_gold_location(spark, sf):
     i = Inputs(spark, sf)
-    return marts.location(i.fact, i.dim_location)
+    return marts.location(i.fact_of("location"), i.dim_location)
 
 
 def q_gold_location_rounded(spark, sf):
     i = Inputs(spark, sf)
-    return marts.location(i.fact, i.dim_location, rounded=True, duration_col="calculated_trip_time_seconds")
+    return marts.location(i.fact_of("location"), i.dim_location, rounded=True, duration_col="calculated_trip_time_seconds")
 
 
 def q_gold_dropoff_location(spark, sf):
     i = Inputs(spark, sf)
-    return marts.location(i.fact, i.dim_location, role="dropoff")
+    return marts.location(i.fact_of("location"), i.dim_location, role="dropoff")
 
 
 def q_gold_shared_ride(spark, sf):
     i = Inputs(spark, sf)
-    return marts.shared_ride(i.fact, i.dim_provider)
+    return marts.shared_ride(i.fact_of("provider"), i.dim_provider)
 
 
 def q_gold_shared_ride_rounded(spark, sf):
     i = Inputs(spark, sf)
-    return marts.shared_ride(i.fact, i.dim_provider, rounded=True)
+    return marts.shared_ride(i.fact_of("provider"), i.dim_provider, rounded=True)
 
 
 def q_shared_request_match_share(spark, sf):
@@ -514,31 +563,73 @@ def q_top_revenue_zones(spark, sf):
 # ---------------------------------------------------------------------------
 # 2.13 quality
 
-def _dq(i: Inputs, silver: DataFrame, fact: DataFrame) -> DataFrame:
+CHECK_MEASURES = ["trip_miles", "trip_time", "base_passenger_fare", "driver_pay", "tips", "customer_wait_seconds",
+                  "overall_quality_status", "timestamp_quality_flag", "financial_quality_flag", "shared_request",
+                  "shared_match", "_source_month"]
+CHECK_KEYS = ["trip_key", "date_key", "provider_key", "pickup_location_key", "dropoff_location_key",
+              "dispatching_base_key"]
+
+
+def _check_silver(i: Inputs) -> DataFrame:
+    """The Silver columns that the checks and marts read, written once: several passes follow."""
+    cols = dict.fromkeys([*TRIP_KEY_COLUMNS, "dispatching_base_num", "originating_base_num", *CHECK_MEASURES])
+    return i.materialize(i.silver.select(*cols), "check_silver")
+
+
+def _check_fact(silver: DataFrame, provider: DataFrame, location: DataFrame, dispatch: DataFrame) -> DataFrame:
+    return build_fact(silver, provider, location, dispatch, columns=[*CHECK_KEYS, *CHECK_MEASURES])
+
+
+def _dq(i: Inputs, silver: DataFrame, fact: DataFrame, spoil: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """N1-N12 for every month. The fact stays lazy over the written Silver (its lookups are
-    broadcast, narrow work); the three marts come from ONE small written partial aggregate."""
+    broadcast, narrow work); the three marts come from ONE small written partial aggregate.
+    ``spoil`` takes rows out of a mart, to seed a defect."""
     parts = i.materialize(marts.partials(fact, marts.PARTIAL_GRAIN), "dq_partials")
     daily, loc, shared = marts.published(parts, i.dim_date, i.dim_provider, i.dim_location)
+    if spoil:
+        loc, shared = spoil(loc, "location"), spoil(shared, "shared")
     lt, st = quality.mart_totals(loc, shared)
     return quality.with_overall(quality.report(silver, fact, daily, lt, st))
 
 
 def q_dq_report(spark, sf):
     i = Inputs(spark, sf)
-    return _dq(i, i.silver_table, i.fact)
+    s = _check_silver(i)
+    return _dq(i, s, _check_fact(s, i.dim_provider, i.dim_location, i.dim_dispatch))
 
 
 def q_dq_report_with_duplicates(spark, sf):
     """N3 FAIL path: every trip loaded twice (Silver and fact both doubled)."""
     i = Inputs(spark, sf)
-    doubled = i.silver_table.unionByName(i.silver_table)
-    fact = build_fact(doubled, i.dim_provider, i.dim_location, i.dim_dispatch, i.s)
-    return _dq(i, doubled, fact)
+    s = _check_silver(i)
+    doubled = s.unionByName(s)
+    return _dq(i, doubled, _check_fact(doubled, i.dim_provider, i.dim_location, i.dim_dispatch))
+
+
+def q_dq_report_with_defects(spark, sf):
+    """FAIL paths of N1-N4, N6, N10 and N11: Silver without its first month, a fact with its last month
+    twice and keys of incomplete dimensions (known providers only, the smallest base missing), and
+    marts without the largest zone and without the unknown provider."""
+    i = Inputs(spark, sf)
+    s = _check_silver(i)
+    ends = s.agg(F.min("_source_month").alias("a"), F.max("_source_month").alias("b")).first()
+    lowest = i.dim_dispatch.agg(F.min("base_num")).first()[0]
+    loaded = s.unionByName(s.where(F.col("_source_month") == ends["b"]))
+    fact = _check_fact(loaded, dims.dim_provider_known(spark), i.dim_location, i.dim_dispatch.where(F.col("base_num") != lowest))
+
+    def spoil(mart: DataFrame, name: str) -> DataFrame:
+        if name == "shared":
+            return mart.where(F.col("provider_key").isNotNull())
+        top = i.dim_location.agg(F.max("location_key")).first()[0]
+        return mart.where(~F.col("pickup_location_key").eqNullSafe(F.lit(top)))
+
+    return _dq(i, s.where(F.col("_source_month") != ends["a"]), fact, spoil)
 
 
 def q_dq_fact_checks(spark, sf):
     i = Inputs(spark, sf)
-    return quality.report(i.silver_table, i.fact)
+    s = _check_silver(i)
+    return quality.report(s, _check_fact(s, i.dim_provider, i.dim_location, i.dim_dispatch))
 
 
 def q_dq_gold_reconciliation(spark, sf):
@@ -575,6 +666,25 @@ def q_incremental_two_months(spark, sf):
     return r.gold_daily()
 
 
+def q_run_stage_results(spark, sf):
+    """What the run did with every month at each month-partitioned stage."""
+    prepare(spark)
+    r, months = _runner(spark, sf, "stage_results")
+    r.run(months)
+    return r.results_frame().where(F.col("stage").isin("bronze", "silver", "fact"))
+
+
+def q_published_gold_location(spark, sf):
+    """The written mart table after a run in two batches and a rebuild of a table of another schema."""
+    prepare(spark)
+    r, months = _runner(spark, sf, "published")
+    spark.range(1).write.parquet(r.t.path("gold_location"))
+    half = len(months) // 2
+    r.run(months[:half])
+    r.run(months[half:])
+    return r._read("gold_location")
+
+
 def q_idempotent_reload(spark, sf):
     """O3: run all months, then run them again; row counts of every table after the replay."""
     prepare(spark)

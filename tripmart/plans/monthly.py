@@ -1,11 +1,12 @@
 """Month runs: Bronze -> Silver -> dimensions -> fact -> mart partials -> checks (O1-O3).
 
 Unlike the reference (one month per call, 29 sequential actions), a run takes a
-LIST of months and processes all of them in one pass per stage: a back-fill of
-five years is the same eight jobs as one month. Every stage replaces exactly
-its months (dynamic partition overwrite), so re-running is idempotent, and
-``load_mode="skip"`` reproduces the reference's "month exists -> skip" guards.
-Dimensions only ever grow by appended deltas; existing keys never change.
+LIST of months and processes all of them in one pass per stage: the number of
+jobs does not depend on the number of months. Every stage replaces exactly its
+months (dynamic partition overwrite; a month that brings no rows loses its old
+ones), so re-running is idempotent, and ``load_mode="skip"`` reproduces the
+reference's "month exists -> skip" guards: a month is skipped only if it has
+rows. Dimensions only ever grow by appended deltas; existing keys never change.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from tripmart.config import Settings, Tables
 from tripmart.operators import dims, marts, quality
 from tripmart.operators.fact import build_fact
 from tripmart.operators.silver import to_silver
+from tripmart.session import shared_dir
 from tripmart.sources import readers, sinks
 
 PARTIAL_GRAIN = marts.PARTIAL_GRAIN
@@ -30,7 +32,7 @@ PARTIAL_GRAIN = marts.PARTIAL_GRAIN
 class StageResult:
     month: str
     stage: str
-    status: str  # loaded | skipped | updated | unchanged
+    status: str  # loaded | empty | skipped | updated | unchanged
     rows: int
 
 
@@ -38,6 +40,7 @@ class MonthRunner:
     def __init__(self, spark: SparkSession, tables: Tables, raw_base: str, settings: Settings = Settings(),
                  lookup_csv: str | None = None):
         self.spark, self.t, self.raw, self.s = spark, tables, raw_base, settings
+        shared_dir(spark)
         self.lookup_csv = lookup_csv
         self.results: list[StageResult] = []
         self._ledger: dict[str, set[str]] | None = None
@@ -50,40 +53,58 @@ class MonthRunner:
         return readers.table_exists(self.spark, self.t.path(name), self.t.fmt)
 
     def _done(self) -> dict[str, set[str]]:
-        """Months each stage has committed, from the run ledger (one small read per run)."""
+        """Months with rows that each stage has committed, from the run ledger (one small read per run).
+
+        A stage that the ledger knows only empty months of has an entry too, without months.
+        """
         if self._ledger is None:
             self._ledger = {}
-            if readers.table_exists(self.spark, self.t.path("runs"), self.t.fmt):
-                for r in self._read("runs").where(F.col("status") == "loaded").select("stage", "month").distinct().collect():
-                    self._ledger.setdefault(r["stage"], set()).add(r["month"])
+            if self._exists("runs"):
+                for r in self._read("runs").select("stage", "month", "status").distinct().collect():
+                    months = self._ledger.setdefault(r["stage"], set())
+                    if r["status"] == "loaded":
+                        months.add(r["month"])
         return self._ledger
 
     def _todo(self, name: str, months: list[str]) -> list[str]:
         """Months still to (re)build for a stage.
 
         ``replace``: all of them. ``skip`` (the reference's guard): months the ledger
-        records as committed are skipped. A month whose write failed half-way is
-        not in the ledger and is rebuilt (the write replaces the partition whole).
-        Tables written by other tools (no ledger) fall back to a data probe.
+        records as committed with rows are skipped. A month whose write failed half-way or
+        that had no rows is not among them and is built (the write replaces the partition
+        whole). A stage that the ledger does not know (a table written by other tools) is
+        probed for months with rows.
         """
         if self.s.load_mode == "replace":
             return list(months)
         done = self._done().get(name)
-        if done is None and not readers.table_exists(self.spark, self.t.path("runs"), self.t.fmt):
+        if done is None:
             done = sinks.months_present(self.spark, self.t.path(name), months, self.t.fmt)
-        done = done or set()
         for m in sorted(done & set(months)):
             self.results.append(StageResult(m, name, "skipped", 0))
         return [m for m in months if m not in done]
 
-    def _loaded(self, name: str, months: list[str], df: DataFrame, cluster: bool = False) -> None:
+    def _loaded(self, name: str, months: list[str], df: DataFrame, source: DataFrame, cluster: bool = False) -> None:
+        """Writes a stage's months and records each with its own row count.
+
+        ``source`` holds the stage's input rows; months it has none of are emptied.
+        """
+        present = set(sinks.month_rows(source, months))
         # Bronze/Silver/fact read month-partitioned inputs: already clustered, no extra shuffle.
-        total = sinks.write_months(df, self.t.path(name), self.t.fmt, cluster=cluster)
-        # committed: record every month of the batch in the ledger right away
-        sinks.ledger_append(self.spark, self.t.path("runs"), [(m, name, "loaded", total) for m in sorted(months)],
-                            self.t.fmt)
-        self._done().setdefault(name, set()).update(months)
-        self.results.append(StageResult(",".join(sorted(months)), name, "loaded", total))
+        sinks.write_months(df, self.t.path(name), self.t.fmt, cluster=cluster)
+        if self._exists(name):  # without any rows there may be no table yet
+            sinks.drop_months(self.spark, self.t.path(name), set(months) - present)
+        rows = sinks.month_rows(self._read(name), months) if present else {}
+        self._record(name, {m: rows.get(m, 0) for m in months})
+
+    def _record(self, name: str, rows: dict[str, int]) -> None:
+        """Committed: every month goes into the ledger right away."""
+        done = [(m, name, "loaded" if n else "empty", n) for m, n in sorted(rows.items())]
+        sinks.ledger_append(self.spark, self.t.path("runs"), done, self.t.fmt)
+        known = self._done().setdefault(name, set())
+        for m, _, status, n in done:
+            known.add(m) if n else known.discard(m)
+            self.results.append(StageResult(m, name, status, n))
 
     def compact_ledger(self) -> int:
         """Rewrite the append-only ledger as one file; returns its rows.
@@ -95,6 +116,7 @@ class MonthRunner:
         path = self.t.path("runs")
         if not readers.table_exists(self.spark, path, self.t.fmt):
             return 0
+        shared_dir(self.spark)
         snap = self._read("runs").checkpoint(eager=True)
         n = sinks.rebuild(snap.coalesce(1), path, self.t.fmt)  # stage x month rows: tiny
         self._ledger = None
@@ -108,10 +130,12 @@ class MonthRunner:
         # Names AND types of every landed file (merged footers), before any data is read
         try:
             landed = readers.read_months(self.spark, self.raw, todo, schema=None, merge_schema=True).schema
+        except readers.MonthsNotLandedError:
+            raise
         except Exception as e:  # noqa: BLE001 - files of the batch disagree on a column's type
-            if "MERGE" not in str(e).upper():
+            if "CANNOT_MERGE" not in str(e):
                 raise
-            raise schemas.SchemaDriftError([("*", "conflict", None, str(e).splitlines()[0][:200])]) from e
+            raise schemas.SchemaDriftError([("*", "conflict", None, str(e).split("JVM stacktrace")[0].strip())]) from e
         diffs = schemas.drift(schemas.TRIP_SOURCE, T.StructType([f for f in landed.fields if f.name != "month"]))
         if diffs:
             raise schemas.SchemaDriftError(diffs)
@@ -122,44 +146,53 @@ class MonthRunner:
             F.col("_metadata.file_path").alias("_source_file"),
             F.current_timestamp().alias("_ingested_at"),
         )
-        self._loaded("bronze", todo, b)
+        self._loaded("bronze", todo, b, raw.select(F.col("month").alias("_source_month")))
         return todo
 
     def silver(self, months: list[str]) -> list[str]:
         todo = self._todo("silver", months)
         if todo:
             b = self._read("bronze").where(F.col("_source_month").isin(todo))
-            self._loaded("silver", todo, to_silver(b))
+            self._loaded("silver", todo, to_silver(b), b)
         return todo
 
     def dimensions(self, months: list[str]) -> None:
-        """Every dimension grows by an appended delta; existing keys never change."""
-        silver = self._read("silver").where(F.col("_source_month").isin(list(months)))
-        label = ",".join(sorted(months))
+        """Every dimension grows by an appended delta; existing keys never change.
+
+        One scan of the months that the dimensions have not taken in yet gives the members of all of them.
+        """
+        todo = months
+        if self.s.load_mode == "skip" and all(self._exists(d) for d in ("dim_dispatch", "dim_provider", "dim_date")):
+            taken = self._done().get("dimensions", set())
+            todo = [m for m in months if m not in taken]
+        label = ",".join(sorted(todo))
+        silver = self._read("silver").where(F.col("_source_month").isin(todo))
+        members = dims.member_values(silver).checkpoint(eager=True)  # bounded by the dimensions
+        bases, codes, dates = (dims.as_trips(members, k) for k in ("base", "provider", "date"))
 
         def dispatch() -> StageResult:
             if self._exists("dim_dispatch"):  # append only new members
-                n = sinks.append(dims.dispatch_delta(silver, self._read("dim_dispatch"), self.s.dispatch_key_mode),
+                n = sinks.append(dims.dispatch_delta(bases, self._read("dim_dispatch"), self.s.dispatch_key_mode),
                                  self.t.path("dim_dispatch"), self.t.fmt)
                 return StageResult(label, "dim_dispatch", "updated" if n else "unchanged", n)
-            n = sinks.rebuild(dims.dim_dispatch(silver, self.s.dispatch_key_mode), self.t.path("dim_dispatch"),
+            n = sinks.rebuild(dims.dim_dispatch(bases, self.s.dispatch_key_mode), self.t.path("dim_dispatch"),
                               self.t.fmt)
             return StageResult(label, "dim_dispatch", "loaded", n)
 
         def provider() -> StageResult:
-            new = dims.dim_provider(silver, self.s.provider_names)
             if self._exists("dim_provider"):
-                delta = new.join(self._read("dim_provider").select("provider_key"), "provider_key", "left_anti")
-                n = sinks.append(delta, self.t.path("dim_provider"), self.t.fmt)
+                n = sinks.append(dims.new_providers(codes, self._read("dim_provider"), self.s.provider_names),
+                                 self.t.path("dim_provider"), self.t.fmt)
                 return StageResult(label, "dim_provider", "updated" if n else "unchanged", n)
-            return StageResult(label, "dim_provider", "loaded", sinks.rebuild(new, self.t.path("dim_provider"), self.t.fmt))
+            n = sinks.rebuild(dims.dim_provider(codes, self.s.provider_names), self.t.path("dim_provider"), self.t.fmt)
+            return StageResult(label, "dim_provider", "loaded", n)
 
         def calendar() -> StageResult:
             if self._exists("dim_date"):  # gap-free extension over existing and new dates
-                n = sinks.append(dims.dim_date_extension(silver, self._read("dim_date")), self.t.path("dim_date"),
+                n = sinks.append(dims.dim_date_extension(dates, self._read("dim_date")), self.t.path("dim_date"),
                                  self.t.fmt)
                 return StageResult(label, "dim_date", "updated" if n else "unchanged", n)
-            n = sinks.rebuild(dims.dim_date_for(silver), self.t.path("dim_date"), self.t.fmt)
+            n = sinks.rebuild(dims.dim_date_for(dates), self.t.path("dim_date"), self.t.fmt)
             return StageResult(label, "dim_date", "loaded", n)
 
         def location() -> StageResult | None:
@@ -169,10 +202,12 @@ class MonthRunner:
                               self.t.path("dim_location"), self.t.fmt)
             return StageResult("*", "dim_location", "loaded", n)
 
-        for step in (dispatch, provider, calendar, location):
+        for step in (location, *((dispatch, provider, calendar) if todo else ())):
             res = step()
             if res is not None:
                 self.results.append(res)
+        if todo:
+            self._record("dimensions", sinks.month_rows(silver, todo))
 
     def fact(self, months: list[str]) -> list[str]:
         todo = self._todo("fact", months)
@@ -180,7 +215,7 @@ class MonthRunner:
             silver = self._read("silver").where(F.col("_source_month").isin(todo))
             f = build_fact(silver, self._read("dim_provider"), self._read("dim_location"), self._read("dim_dispatch"),
                            self.s)
-            self._loaded("fact", todo, f)
+            self._loaded("fact", todo, f, silver)
         return todo
 
     def mart_partials(self, months: list[str]) -> None:
@@ -189,9 +224,17 @@ class MonthRunner:
         if todo:
             f = self._read("fact").where(F.col("_source_month").isin(todo))
             # aggregate output is hash-partitioned across months: cluster it
-            self._loaded("gold_partials", todo, marts.partials(f, PARTIAL_GRAIN, self.s.duration_col), cluster=True)
+            self._loaded("gold_partials", todo, marts.partials(f, PARTIAL_GRAIN, self.s.duration_col), f, cluster=True)
+
+    # -- published marts: roll-ups of the partials, also written as tables -----
+    def publish(self) -> dict[str, int]:
+        """(re)writes the three mart tables from the partials (bounded by days x providers x zones)."""
+        rows = {}
+        for name, mart in zip(("gold_daily", "gold_location", "gold_shared"), self._published()):
+            rows[name] = sinks.rebuild(mart, self.t.path(name), self.t.fmt)
+            self.results.append(StageResult("*", name, "loaded", rows[name]))
+        return rows
 
-    # -- published marts (views over partials) -------------------------------
     def _published(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         return marts.published(self._read("gold_partials"), self._read("dim_date"), self._read("dim_provider"),
                                self._read("dim_location"))
@@ -209,9 +252,11 @@ class MonthRunner:
         silver = self._read("silver").where(F.col("_source_month").isin(list(months)))
         fact_all = self._read("fact")
         fact = fact_all.where(F.col("_source_month").isin(list(months)))
-        loc_t, shared_t = quality.mart_totals(self.gold_location(), self.gold_shared())
+        written = {n: self._read(n) for n in ("gold_daily", "gold_location", "gold_shared") if self._exists(n)}
+        loc_t, shared_t = quality.mart_totals(written.get("gold_location", self.gold_location()),
+                                              written.get("gold_shared", self.gold_shared()))
         # N10/N11 compare with ALL fact rows, not only this batch's months.
-        rows = quality.report(silver, fact, self.gold_daily(), loc_t, shared_t, total_fact_rows=fact_all.count(),
+        rows = quality.report(silver, fact, written.get("gold_daily", self.gold_daily()), loc_t, shared_t, total_fact_rows=fact_all.count(),
                               months=list(months))
         return quality.with_overall(rows)
 
@@ -223,6 +268,7 @@ class MonthRunner:
         self.dimensions(months)
         self.fact(months)
         self.mart_partials(months)
+        self.publish()
         return self.checks(months)
 
     def results_frame(self) -> DataFrame:
@@ -231,6 +277,7 @@ class MonthRunner:
 
 
 def landing_months(spark: SparkSession, raw_base: str) -> list[str]:
-    """Months present in the landing folder (partition values; a listing, not a data scan)."""
-    df = readers.read_months(spark, raw_base, None, schema=None)
-    return sorted(r[0] for r in df.select("month").distinct().collect())
+    """Months that have a folder in the landing zone: a listing of one directory, no file is opened."""
+    fs, path = readers.file_system(spark, f"{raw_base}/raw")
+    names = (f.getPath().getName() for f in fs.listStatus(path) if f.isDirectory())
+    return sorted(n.removeprefix("month=") for n in names if n.startswith("month="))

@@ -217,19 +217,23 @@ def _group_count(src: str, cols: str, name: str = "trip_count") -> str:
     return f"SELECT {cols}, CAST(COUNT(*) AS BIGINT) AS {name} FROM {src} GROUP BY {cols}"
 
 
-def _checks(silver: str, fact: str, with_gold: bool, overall: bool) -> str:
-    """Per-month verdict rows N1-N8 (+ N9-N11, N12)."""
+def _checks(silver: str, fact: str, with_gold: bool, overall: bool, zones: str = "true", providers: str = "true") -> str:
+    """Per-month verdict rows N1-N8 (+ N9-N11, N12); ``zones`` and ``providers`` say which mart rows are there."""
     gold = ""
     gold_rows = ""
     if with_gold:
         gold = f""", daily_m AS (
   SELECT strftime(dd.date, '%Y-%m') AS _source_month, CAST(COUNT(*) AS BIGINT) AS daily_gold_trips
   FROM {fact} f JOIN dim_date dd ON f.date_key = dd.date_key GROUP BY 1
-), tot AS (SELECT CAST(COUNT(*) AS BIGINT) AS t FROM {fact})"""
+), loc_m AS (SELECT pickup_location_key, COUNT(*) AS total_trips FROM {fact} GROUP BY 1
+), shr_m AS (SELECT provider_key, COUNT(*) AS total_trips FROM {fact} GROUP BY 1
+), tot AS (SELECT CAST(COUNT(*) AS BIGINT) AS t,
+  (SELECT CAST(SUM(total_trips) AS BIGINT) FROM loc_m WHERE {zones}) AS lt,
+  (SELECT CAST(SUM(total_trips) AS BIGINT) FROM shr_m WHERE {providers}) AS st FROM {fact})"""
         gold_rows = """
   UNION ALL SELECT m, 'N9', 'Daily Provider Gold reconciliation', CASE WHEN dg = fr THEN 'PASS' ELSE 'FAIL' END, dg, fr FROM mm
-  UNION ALL SELECT m, 'N10', 'Location Gold reconciliation', 'PASS', t, t FROM mm
-  UNION ALL SELECT m, 'N11', 'Shared Ride Gold reconciliation', 'PASS', t, t FROM mm"""
+  UNION ALL SELECT m, 'N10', 'Location Gold reconciliation', CASE WHEN lt = t THEN 'PASS' ELSE 'FAIL' END, lt, t FROM mm
+  UNION ALL SELECT m, 'N11', 'Shared Ride Gold reconciliation', CASE WHEN st = t THEN 'PASS' ELSE 'FAIL' END, st, t FROM mm"""
     sql = f"""
 , sm AS (SELECT _source_month, CAST(COUNT(*) AS BIGINT) AS silver_rows FROM {silver} GROUP BY 1)
 , fk AS (
@@ -251,7 +255,7 @@ def _checks(silver: str, fact: str, with_gold: bool, overall: bool) -> str:
   SELECT coalesce(sm._source_month, fm._source_month) AS m, coalesce(silver_rows, 0) AS sr, coalesce(fact_rows, 0) AS fr,
     coalesce(dup, 0) AS dup, coalesce(np, 0) AS np, coalesce(npu, 0) AS npu, coalesce(ndo, 0) AS ndo,
     coalesce(ndi, 0) AS ndi, coalesce(ts, 0) AS ts, coalesce(fi, 0) AS fi
-    {", coalesce(daily_m.daily_gold_trips, 0) AS dg, tot.t AS t" if with_gold else ""}
+    {", coalesce(daily_m.daily_gold_trips, 0) AS dg, tot.t AS t, tot.lt AS lt, tot.st AS st" if with_gold else ""}
   FROM sm FULL JOIN fm ON sm._source_month = fm._source_month
   {"LEFT JOIN daily_m ON daily_m._source_month = coalesce(sm._source_month, fm._source_month) CROSS JOIN tot" if with_gold else ""}
 )
@@ -350,13 +354,11 @@ def _corr() -> str:
 
 def _surrogate_incremental() -> str:
     return """
-, mon AS (SELECT _source_month, row_number() OVER (ORDER BY _source_month) AS rn, COUNT(*) OVER () AS cnt
-          FROM (SELECT DISTINCT _source_month FROM silver) q)
-, mem AS (SELECT DISTINCT m.base_num, mon.rn <= mon.cnt // 2 AS first_half
-          FROM members m JOIN mon ON m._source_month = mon._source_month WHERE m.base_num IS NOT NULL)
-, b1 AS (SELECT DISTINCT base_num FROM mem WHERE first_half)
+, mem AS (SELECT DISTINCT base_num, _source_month = (SELECT MIN(_source_month) FROM silver) AS first_month
+          FROM members WHERE base_num IS NOT NULL)
+, b1 AS (SELECT DISTINCT base_num FROM mem WHERE first_month)
 , k1 AS (SELECT CAST(row_number() OVER (ORDER BY base_num) AS BIGINT) AS dispatch_key, base_num FROM b1)
-, b2 AS (SELECT DISTINCT base_num FROM mem WHERE NOT first_half AND base_num NOT IN (SELECT base_num FROM b1))
+, b2 AS (SELECT DISTINCT base_num FROM mem WHERE NOT first_month AND base_num NOT IN (SELECT base_num FROM b1))
 SELECT * FROM k1
 UNION ALL
 SELECT CAST((SELECT coalesce(MAX(dispatch_key), 0) FROM k1) + row_number() OVER (ORDER BY base_num) AS BIGINT), base_num FROM b2
@@ -502,11 +504,50 @@ def queries() -> dict[str, str]:
         "dq_report_with_duplicates": (
             ", silver2 AS (SELECT * FROM silver UNION ALL SELECT * FROM silver), fact2 AS (SELECT * FROM fact UNION ALL SELECT * FROM fact)"
             + _checks("silver2", "fact2", with_gold=True, overall=True)),
+        "dq_report_with_defects": (
+            ", dim_known AS (SELECT * FROM dim_provider WHERE provider_name <> 'Unknown')"
+            ", dim_short AS (SELECT * FROM dim_dispatch WHERE base_num <> (SELECT MIN(base_num) FROM dim_dispatch))"
+            ", silver3 AS (SELECT * FROM silver WHERE _source_month <> (SELECT MIN(_source_month) FROM silver))"
+            ", fact3 AS (SELECT f.* REPLACE (p.provider_key AS provider_key, d.dispatch_key AS dispatching_base_key)"
+            " FROM (SELECT * FROM fact UNION ALL SELECT * FROM fact WHERE _source_month = (SELECT MAX(_source_month) FROM fact)) f"
+            " LEFT JOIN dim_known p ON f.hvfhs_license_num = p.provider_code LEFT JOIN dim_short d ON f.dispatching_base_num = d.base_num)"
+            + _checks("silver3", "fact3", with_gold=True, overall=True, providers="provider_key IS NOT NULL",
+                      zones="pickup_location_key IS DISTINCT FROM (SELECT MAX(location_key) FROM dim_location)")),
         "dq_fact_checks": _checks("silver", "fact", with_gold=False, overall=False),
         "dq_gold_reconciliation": ", full_rep AS (SELECT 1)" + _checks("silver", "fact", with_gold=True, overall=False).replace(
             "SELECT * FROM rep", "SELECT * FROM rep WHERE check_id IN ('N9', 'N10', 'N11')"),
         "rows_per_month": _group_count("silver", "_source_month", "row_count"),
-        "bronze_ingest": f"SELECT {trip_cols_plus} FROM trips",
+        "bronze_ingest": f"SELECT {trip_cols_plus}, _source_month AS source_file_month FROM trips",
+        "source_inventory": "SELECT _source_month AS month, CAST(COUNT(*) AS BIGINT) AS row_count, true AS files_filled FROM trips GROUP BY 1",
+        "anomaly_flag_matrix_lowered": _group_count(
+            "(SELECT coalesce(trip_miles = 0, false) AS zero_distance_flag, coalesce(trip_miles > 100, false) AS extreme_distance_flag, "
+            "coalesce(trip_time > 1800, false) AS extreme_duration_flag FROM silver) a",
+            "zero_distance_flag, extreme_distance_flag, extreme_duration_flag"),
+        "preview_trip_time_diff": (
+            "SELECT hvfhs_license_num, request_datetime, pickup_datetime, dropoff_datetime, trip_time, c AS calculated_trip_time_seconds, "
+            "trip_time - c AS difference_seconds FROM (SELECT *, CAST(floor(epoch(dropoff_datetime)) AS BIGINT) - "
+            "CAST(floor(epoch(pickup_datetime)) AS BIGINT) AS c FROM trips) x ORDER BY " + _order_all(
+                "hvfhs_license_num, request_datetime, pickup_datetime, dropoff_datetime, trip_time, c, difference_seconds") + " LIMIT 20"),
+        "dim_key_uniqueness_with_defects": "\nUNION ALL ".join(
+            f"SELECT '{t}' AS table_name, CAST(SUM(n) AS BIGINT) AS row_count, CAST(COUNT(k) AS BIGINT) AS distinct_keys, "
+            f"CAST(count_if(k IS NOT NULL AND n > 1) AS BIGINT) AS repeated_keys, "
+            f"CAST(coalesce(SUM(CASE WHEN k IS NULL THEN n END), 0) AS BIGINT) AS null_keys "
+            f"FROM (SELECT k, COUNT(*) AS n FROM (SELECT {k} AS k FROM {t} UNION ALL SELECT MIN({k}) FROM {t} UNION ALL SELECT NULL) u GROUP BY k) g"
+            for t, k in [("dim_location", "location_key"), ("dim_provider", "provider_key"), ("dim_date", "date_key"),
+                         ("dim_dispatch", "dispatch_key")]),
+        "invalid_dropoff_ids_short_lookup": _anti("silver", "DOLocationID", "(SELECT * FROM lookup WHERE LocationID >= 3)", "LocationID", "LocationID"),
+        "orphan_date_keys_workdays": _anti("fact", "date_key", "(SELECT * FROM dim_date WHERE NOT is_weekend)", "date_key", "date_key"),
+        "duplicate_business_rows_seeded": (
+            "SELECT CAST(COUNT(*) AS BIGINT) AS duplicate_groups, CAST(coalesce(SUM(n), 0) AS BIGINT) AS duplicated_rows FROM ("
+            f"SELECT COUNT(*) AS n FROM (SELECT * FROM silver UNION ALL SELECT * FROM silver WHERE _source_month = (SELECT MAX(_source_month) FROM silver)) u "
+            "GROUP BY hvfhs_license_num, dispatching_base_num, originating_base_num, "
+            "request_datetime, on_scene_datetime, pickup_datetime, dropoff_datetime, PULocationID, DOLocationID, trip_miles, "
+            "trip_time, base_passenger_fare, tolls, bcf, sales_tax, congestion_surcharge, airport_fee, tips, driver_pay, "
+            "cbd_congestion_fee, shared_request, shared_match, access_a_ride, wav_request, wav_match HAVING COUNT(*) > 1) g"),
+        "run_stage_results": "\nUNION ALL ".join(
+            f"SELECT _source_month AS month, '{st}' AS stage, 'loaded' AS status, CAST(COUNT(*) AS BIGINT) AS rows FROM {src} GROUP BY 1"
+            for st, src in [("bronze", "trips"), ("silver", "silver"), ("fact", "fact")]),
+        "published_gold_location": loc,
         "scan_csv_lookup": "SELECT * FROM lookup",
         "schema_drift": (
             "SELECT * FROM (VALUES ('drifted', 'cbd_congestion_fee', 'missing', 'double', NULL), "

@@ -73,9 +73,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and written intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (or a checkpoint folder already set on the
-    context). Only when neither exists (a local run or a test) do we choose a
-    folder ourselves; it is registered with the context, since that setting
-    cannot be changed through the runtime conf.
+    context). Only when neither exists and the master is local (a test) do we choose
+    a folder ourselves; on a cluster that is an error. It is registered with the
+    context, since that setting cannot be changed through the runtime conf.
     """
     try:
         sc = spark.sparkContext
@@ -83,6 +83,8 @@ def shared_dir(spark: SparkSession) -> str:
         sc = None
     d = spark.conf.get(CHECKPOINT_KEY, None) or (sc.getCheckpointDir() if sc else None) or _LOCAL_DIRS.get(id(spark))
     if not d:
+        if sc is None or not sc.master.startswith("local"):
+            raise RuntimeError(f"{CHECKPOINT_KEY} must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tripmart-ckpt-")
         _LOCAL_DIRS[id(spark)] = d
     if sc is not None and sc.getCheckpointDir() is None:

@@ -9,26 +9,20 @@ from pyspark.sql import types as T
 
 from tripmart.schemas import LOCATION_LOOKUP, TRIP_SOURCE
 
-MONTH_PATH = "{base}/raw/month={month}/"
-# Up to this many months are read as explicit folders (Spark lists more paths with a distributed job).
-EXPLICIT_MONTH_PATHS = 12
+# Conditions under which there is nothing to read at a location.
+ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "TABLE_OR_VIEW_NOT_FOUND"}
 
 
-def read_month(spark: SparkSession, raw_base: str, month: str, schema: T.StructType | None = TRIP_SOURCE,
-               template: str = MONTH_PATH) -> DataFrame:
-    """A1: one month's landing folder. With a declared schema no footer inference pass is needed."""
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(template.format(base=raw_base, month=month))
+class MonthsNotLandedError(ValueError):
+    """A requested month has no landing folder."""
 
 
 def read_months(spark: SparkSession, raw_base: str, months: list[str] | None = None,
                 schema: T.StructType | None = TRIP_SOURCE, merge_schema: bool = False) -> DataFrame:
-    """A1 for many months in ONE scan: the landing root read as a month-partitioned dataset.
+    """A1 for one or many months in ONE scan of just their folders (all landed months if none are named).
 
-    ``month`` is a partition column, so the month list is a PartitionFilter.
-    ``merge_schema`` reads every file footer (metadata only) instead of one.
+    ``month`` is the partition column. ``merge_schema`` reads every file footer of these folders
+    (metadata only) instead of one. A month without a folder is an error, however many are asked for.
     """
     r = spark.read
     if schema is not None:
@@ -38,12 +32,12 @@ def read_months(spark: SparkSession, raw_base: str, months: list[str] | None = N
     r = r.option("basePath", f"{raw_base}/raw")
     if not months:
         return r.parquet(f"{raw_base}/raw")
-    ms = sorted(set(months))
-    if len(ms) <= EXPLICIT_MONTH_PATHS:
-        # Incremental runs: list (and, with merge_schema, read footers of) only the batch's folders.
-        return r.parquet(*[f"{raw_base}/raw/month={m}" for m in ms]).where(F.col("month").isin(ms))
-    # Back-fills: one listing of the root, months pruned as a partition filter.
-    return r.parquet(f"{raw_base}/raw").where(F.col("month").isin(ms))
+    try:
+        return r.parquet(*[f"{raw_base}/raw/month={m}" for m in sorted(set(months))])
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            raise MonthsNotLandedError(str(e).splitlines()[0]) from e
+        raise
 
 
 def read_lookup_csv(spark: SparkSession, path: str, schema: T.StructType = LOCATION_LOOKUP) -> DataFrame:
@@ -51,9 +45,20 @@ def read_lookup_csv(spark: SparkSession, path: str, schema: T.StructType = LOCAT
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A3: a persisted table by location."""
-    return spark.read.format(fmt).load(path)
+def is_path(target: str) -> bool:
+    """Tables are addressed by location, or by name (no slash) in the session catalog."""
+    return "/" in target
+
+
+def file_system(spark: SparkSession, location: str):
+    """Hadoop's file system and path of a location: listings and deletes without a Spark job."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def read_table(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame:
+    """A3: a persisted table by location or by name."""
+    return spark.read.format(fmt).load(target) if is_path(target) else spark.table(target)
 
 
 def month_slice(df: DataFrame, month: str, col: str = "_source_month") -> DataFrame:
@@ -61,17 +66,24 @@ def month_slice(df: DataFrame, month: str, col: str = "_source_month") -> DataFr
     return df.where(F.col(col) == month)
 
 
-def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
-    """Does a table exist at ``path``?"""
+def table_exists(spark: SparkSession, target: str, fmt: str = "parquet") -> bool:
+    """Does the table exist? Only a missing path (or a folder without files) means no; any other failure is raised."""
+    if not is_path(target):
+        return spark.catalog.tableExists(target)
+    fs, path = file_system(spark, target)
+    if not fs.exists(path):
+        return False
     try:
-        spark.read.format(fmt).load(path).schema
+        spark.read.format(fmt).load(target).schema
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as e:
+        if e.getCondition() in ABSENT:
+            return False
+        raise
 
 
-def inventory(df: DataFrame) -> DataFrame:
+def inventory(df: DataFrame, *by: str) -> DataFrame:
     """File inventory of a file-based frame (file name, size, rows) from the hidden metadata column."""
-    return df.select("_metadata.file_name", "_metadata.file_size").groupBy("file_name", "file_size").agg(
+    return df.select(*by, "_metadata.file_name", "_metadata.file_size").groupBy(*by, "file_name", "file_size").agg(
         F.count(F.lit(1)).alias("row_count")
     )

@@ -1,7 +1,7 @@
 """Table sinks and load control.
 
-Persisted tables are location-based (no metastore needed) in a format that is
-a parameter (``parquet`` by default; ``delta`` where it is installed).
+Persisted tables are addressed by location or by name in the session catalog, in a
+format that is a parameter (``parquet`` by default; ``delta`` where it is installed).
 Month tables are written with DYNAMIC partition overwrite: the months in the
 frame are replaced, every other month is kept. That makes a first load, an
 incremental append and a corrected re-run the same idempotent call; a task or
@@ -15,12 +15,19 @@ import datetime as dt
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.sources.readers import read_table, table_exists
+from tripmart.sources.readers import file_system, is_path, read_table, table_exists
 
 
-def write_months(df: DataFrame, path: str, fmt: str = "parquet", target_cols: list[str] | None = None,
-                 part_col: str = "_source_month", cluster: bool = True) -> int:
-    """B1/B2: write (replace) the frame's months; returns rows written (observed, no second scan).
+def _put(df: DataFrame, target: str, fmt: str, mode: str, part_col: str | None = None, **options: str) -> None:
+    w = df.write.format(fmt).mode(mode).options(**options)
+    if part_col:
+        w = w.partitionBy(part_col)
+    w.save(target) if is_path(target) else w.saveAsTable(target)
+
+
+def write_months(df: DataFrame, target: str, fmt: str = "parquet", part_col: str = "_source_month",
+                 cluster: bool = True) -> None:
+    """B1/B2: write (replace) the frame's months; months that are not in the frame stay.
 
     ``cluster``: rows not already grouped by month are clustered first, so each
     month gets few files instead of (tasks x months). REBALANCE lets AQE split a
@@ -28,36 +35,43 @@ def write_months(df: DataFrame, path: str, fmt: str = "parquet", target_cols: li
     Frames read from month-partitioned tables are month-clustered already (a
     scan split never mixes many months), so their writes skip that shuffle.
     """
-    if target_cols:
-        df = df.select(*target_cols)
     if cluster:
         df = df.hint("rebalance", part_col)
-    obs = Observation("rows_written")
-    df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    (
-        df.write.format(fmt)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(part_col)
-        .save(path)
-    )
-    return int(obs.get.get("rows", 0))
+    spark = df.sparkSession
+    if not is_path(target) and spark.catalog.tableExists(target):  # a named table keeps its other partitions only this way
+        df.select(*spark.table(target).columns).write.mode("overwrite").insertInto(target)
+        return
+    _put(df, target, fmt, "overwrite", part_col, partitionOverwriteMode="dynamic")
+
+
+def drop_months(spark: SparkSession, target: str, months: set[str], part_col: str = "_source_month") -> None:
+    """Removes the partitions of months that a replacing write brought no rows for."""
+    for m in sorted(months):
+        if is_path(target):
+            fs, path = file_system(spark, f"{target}/{part_col}={m}")
+            fs.delete(path, True)
+        else:
+            spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({part_col}='{m}')")
+
+
+def month_rows(df: DataFrame, months: list[str], part_col: str = "_source_month") -> dict[str, int]:
+    """Rows of each month that has any (on a month-partitioned table: partition pruning and row counts of footers)."""
+    got = df.where(F.col(part_col).isin(sorted(set(months)))).groupBy(part_col).agg(F.count(F.lit(1)).alias("n"))
+    return {r[0]: int(r["n"]) for r in got.collect()}
 
 
-def rebuild(df: DataFrame, path: str, fmt: str = "parquet") -> int:
+def rebuild(df: DataFrame, target: str, fmt: str = "parquet") -> int:
     """Full overwrite (schema may change)."""
     obs = Observation("rows_rebuilt")
-    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("overwrite")
-    if fmt == "delta":
-        w = w.option("overwriteSchema", "true")
-    w.save(path)
+    options = {"overwriteSchema": "true"} if fmt == "delta" else {}
+    _put(df.observe(obs, F.count(F.lit(1)).alias("rows")), target, fmt, "overwrite", partitionOverwriteMode="static", **options)
     return int(obs.get.get("rows", 0))
 
 
-def append(df: DataFrame, path: str, fmt: str = "parquet") -> int:
+def append(df: DataFrame, target: str, fmt: str = "parquet") -> int:
     """B5 replacement: append only a computed delta (never read-modify-overwrite one table)."""
     obs = Observation("rows_appended")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("append").save(path)
+    _put(df.observe(obs, F.count(F.lit(1)).alias("rows")), target, fmt, "append")
     return int(obs.get.get("rows", 0))
 
 
@@ -66,20 +80,13 @@ def months_present(spark: SparkSession, path: str, months: list[str], fmt: str =
     """Which of ``months`` already hold rows (partition-pruned, distinct months only)."""
     if not table_exists(spark, path, fmt):
         return set()
-    got = (
-        read_table(spark, path, fmt)
-        .where(F.col(part_col).isin(sorted(set(months))))
-        .select(part_col)
-        .distinct()
-        .collect()
-    )
-    return {r[0] for r in got}
+    return set(month_rows(read_table(spark, path, fmt), months, part_col))
 
 
 def ledger_append(spark: SparkSession, path: str, rows: list[tuple], fmt: str = "parquet") -> None:
-    """Run ledger: (month, stage, status, batch_rows, finished_at), one row per stage and month,
-    appended right after the stage's write committed."""
+    """Run ledger: (month, stage, status, rows, finished_at), one row per stage and month,
+    appended right after the stage's write committed; the status of a month without rows is ``empty``."""
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     data = [(m, s, st, int(n), now) for (m, s, st, n) in rows]
-    df = spark.createDataFrame(data, "month string, stage string, status string, batch_rows long, finished_at timestamp_ntz")
-    df.write.format(fmt).mode("append").save(path)
+    df = spark.createDataFrame(data, "month string, stage string, status string, rows long, finished_at timestamp_ntz")
+    _put(df, path, fmt, "append")

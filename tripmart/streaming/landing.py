@@ -13,6 +13,8 @@ own rows are only used for the list of months, bounded by the calendar.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,12 +35,18 @@ def landing_stream(spark: SparkSession, raw_base: str, max_files_per_trigger: in
     return r.parquet(f"{raw_base}/raw")
 
 
+def default_checkpoint(spark: SparkSession, raw_base: str, tables: Tables) -> str:
+    """A folder of its own for each pair of landing folder and tables, the same in every process."""
+    pair = f"{raw_base.rstrip('/')}\n{tables.path('bronze')}"
+    return f"{shared_dir(spark).rstrip('/')}/tripmart-streams/{hashlib.sha256(pair.encode()).hexdigest()[:32]}"
+
+
 def run_landing_stream(spark: SparkSession, raw_base: str, tables: Tables, lookup_csv: str | None = None,
                        settings: Settings | None = None, checkpoint: str | None = None,
                        max_files_per_trigger: int | None = None) -> int:
     """Process everything newly landed, then stop. Returns the number of micro-batches run."""
     settings = settings or Settings(load_mode="replace")
-    ckpt = checkpoint or f"{shared_dir(spark).rstrip('/')}/tripmart-streams/{tables.root.rstrip('/').rsplit('/', 1)[-1]}"
+    ckpt = checkpoint or default_checkpoint(spark, raw_base, tables)
     batches = []
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
@@ -47,7 +55,9 @@ def run_landing_stream(spark: SparkSession, raw_base: str, tables: Tables, looku
             return
         runner = MonthRunner(df.sparkSession, tables, raw_base, settings, lookup_csv=lookup_csv)
         report = runner.run(months)
-        sinks.append(report.withColumn("batch_id", F.lit(batch_id).cast("long")), tables.path("dq_reports"), tables.fmt)
+        # one partition per micro-batch: a replayed batch replaces its rows
+        sinks.write_months(report.withColumn("batch_id", F.lit(batch_id).cast("long")), tables.path("dq_reports"),
+                           tables.fmt, part_col="batch_id")
         batches.append(batch_id)
 
     q = (
