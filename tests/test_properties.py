@@ -55,6 +55,31 @@ def test_repeated_dimension_key_is_refused(inputs):
         checked(dup, "location_id", 1000)
 
 
+def test_calendar_window_and_broken_span(spark):
+    window = dims.dim_date_range(spark, "2026-01-30", "2026-02-02").orderBy("date_key").collect()
+    assert [(r.date_key, r.is_weekend) for r in window] == [(20260130, False), (20260131, True), (20260201, True), (20260202, False)]
+    assert dims.dim_date_range(spark).count() == 151
+    span = "timestamp'2026-01-01', timestamp'2026-01-03', timestamp'{}'"
+    for last, ok in (("2026-01-05", True), ("9999-12-31", False)):
+        trips = spark.sql(f"SELECT explode(array({span.format(last)})) AS pickup_datetime")
+        if ok:
+            assert dims.dim_date_for(trips).count() == 5
+        else:
+            with pytest.raises(Exception, match="broken timestamps"):
+                dims.dim_date_for(trips).count()
+    assert dims.dim_date_for(spark.sql("SELECT timestamp'2026-01-01' AS pickup_datetime").limit(0)).count() == 0
+
+
+def test_shuffled_lookup_spreads_rows_without_key(spark):
+    from tripmart.operators.lookup import lookup
+
+    fact = spark.range(3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN concat('B', id % 7) END AS base")
+    dim = spark.createDataFrame([(f"B{i}", i) for i in range(5)], "base_num string, k int")
+    got = lookup(fact, dim, "base", "base_num", {"k": "base_key"}, 0, verified=True, spread_nulls=True)
+    plain = lookup(fact, dim, "base", "base_num", {"k": "base_key"}, 0, verified=True)
+    assert got.columns == plain.columns and _rows(got, ["id"]) == _rows(plain, ["id"])
+
+
 def test_unknown_provider_maps_to_unknown_name(spark):
     df = spark.createDataFrame([("HV0003",), ("HV0099",)], "hvfhs_license_num string")
     got = dict(dims.dim_provider(df).select("provider_code", "provider_name").collect())

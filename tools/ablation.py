@@ -37,7 +37,8 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session("local[8]")
     i = Inputs(spark, sf)
-    silver, fact = i.silver_table, i.fact_table
+    silver = i.silver_table
+    fact = i.materialize(i.fact, "fact")
     month = sorted(r[0] for r in fact.select("_source_month").distinct().collect())[-1]
     loc = marts.location(fact, i.dim_location)
     shared = marts.shared_ride(fact, i.dim_provider)

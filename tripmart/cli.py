@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from tripmart.config import Settings, Tables
 from tripmart.plans.monthly import MonthRunner, landing_months
-from tripmart.session import prepare
+from tripmart.session import cluster_settings, prepare
+from tripmart.sources import readers
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -27,6 +28,10 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--dispatch-keys", choices=["natural", "surrogate"], default="natural")
     a = p.parse_args(argv)
     spark = prepare(SparkSession.builder.appName("tripmart").getOrCreate())
+    fs, path = readers.file_system(spark, a.raw)
+    landed = fs.getContentSummary(path).getLength()
+    for key, value in cluster_settings(landed, spark.sparkContext.defaultParallelism).items():
+        spark.conf.set(key, value)
     months = a.months or landing_months(spark, a.raw)
     runner = MonthRunner(spark, Tables(root=a.root, fmt=a.format), a.raw,
                          Settings(load_mode=a.mode, dispatch_key_mode=a.dispatch_keys), lookup_csv=a.lookup)

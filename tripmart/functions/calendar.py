@@ -32,8 +32,3 @@ def month_range(date_col: str, month: str) -> Column:
     """date in calendar month 'yyyy-MM' as a pushable range predicate (replaces startswith/date_format)."""
     first = F.to_date(F.lit(f"{month}-01"))
     return (F.col(date_col) >= first) & (F.col(date_col) < F.add_months(first, 1))
-
-
-def month_of(ts_col: str) -> Column:
-    """'yyyy-MM' of a timestamp/date column."""
-    return F.date_format(F.col(ts_col), "yyyy-MM")

@@ -58,13 +58,24 @@ def dim_date_range(spark: SparkSession, start: str = C.DIM_DATE_START, end: str
     return days.withColumns(calendar_attributes("date")).select(*DIM_DATE_COLUMNS)
 
 
+# A longer calendar than this comes from a broken timestamp.
+MAX_CALENDAR_DAYS = 200 * 366
+
+
+def _days(span: DataFrame) -> DataFrame:
+    """One row per day of a one-row span (d0, d1); a span beyond MAX_CALENDAR_DAYS is refused."""
+    broken = F.raise_error(F.concat(F.lit("calendar span "), F.col("d0"), F.lit(" to "), F.col("d1"), F.lit(": broken timestamps")))
+    end = F.when(F.datediff("d1", "d0") <= MAX_CALENDAR_DAYS, F.col("d1")).when(F.col("d1").isNotNull(), broken.cast("date"))
+    return span.select(F.explode(F.sequence("d0", end, F.expr("interval 1 day"))).alias("date"))
+
+
 def dim_date_for(trips: DataFrame, ts_col: str = "pickup_datetime") -> DataFrame:
     """F3 over the data's own span: min..max pickup date, computed on the cluster (no collect).
 
     The exploded calendar is bounded by the number of days in the span, not by the row count.
     """
     span = trips.agg(F.min(F.to_date(ts_col)).alias("d0"), F.max(F.to_date(ts_col)).alias("d1"))
-    days = span.select(F.explode(F.sequence("d0", "d1", F.expr("interval 1 day"))).alias("date"))
+    days = _days(span)
     return days.withColumns(calendar_attributes("date")).select(*DIM_DATE_COLUMNS)
 
 
@@ -106,7 +117,7 @@ def dim_date_extension(trips: DataFrame, existing: DataFrame, ts_col: str = "pic
     new = trips.agg(F.min(F.to_date(ts_col)).alias("d0"), F.max(F.to_date(ts_col)).alias("d1"))
     old = existing.agg(F.min("date").alias("d0"), F.max("date").alias("d1"))
     span = new.unionByName(old).agg(F.min("d0").alias("d0"), F.max("d1").alias("d1"))
-    days = span.select(F.explode(F.sequence("d0", "d1", F.expr("interval 1 day"))).alias("date"))
+    days = _days(span)
     cal = days.withColumns(calendar_attributes("date")).select(*DIM_DATE_COLUMNS)
     return cal.join(existing.select("date_key"), "date_key", "left_anti").select(*DIM_DATE_COLUMNS)
 

@@ -59,8 +59,8 @@ def build_fact(silver: DataFrame, provider: DataFrame | None, location: DataFram
     ]
     given = [x for x in looked_up if x[0] is not None]
     sides = checked_many([(d.select(code, key), code) for d, code, key, _ in given], lim) if given else []
-    for side, (_, code, key, columns) in zip(sides, given):
+    for (side, broadcast), (_, code, key, columns) in zip(sides, given):
         for fact_col, out in columns.items():
-            f = lookup(f, side, fact_col, code, {key: out}, lim, verified=True)
+            f = lookup(f, side, fact_col, code, {key: out}, lim, verified=True, spread_nulls=not broadcast)
     left_out = {out for d, _, _, columns in looked_up if d is None for out in columns.values()}
     return f.select(*[c for c in cols if c not in left_out])

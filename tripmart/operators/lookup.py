@@ -30,8 +30,8 @@ def profile_dimension(dim: DataFrame, key: str) -> tuple[int, int]:
     return int(r["rows"]), int(r["dup"])
 
 
-def checked_many(dims: list[tuple[DataFrame, str]], limit_rows: int) -> list[DataFrame]:
-    """``checked`` for several dimensions with ONE profiling job (keys compared as strings)."""
+def checked_many(dims: list[tuple[DataFrame, str]], limit_rows: int) -> list[tuple[DataFrame, bool]]:
+    """``checked`` for several dimensions with ONE profiling job (keys compared as strings); also says which are broadcast."""
     tagged = None
     for i, (d, key) in enumerate(dims):
         t = d.select(F.lit(i).alias("__dim"), F.col(key).cast("string").alias("__k"))
@@ -49,7 +49,7 @@ def checked_many(dims: list[tuple[DataFrame, str]], limit_rows: int) -> list[Dat
         rows, dup = got.get(i, (0, 0))
         if dup > 1:
             raise DimensionKeyError(f"dimension key {key!r} repeats (max {dup} rows per key)")
-        out.append(F.broadcast(d) if rows <= limit_rows else d)
+        out.append((F.broadcast(d), True) if rows <= limit_rows else (d, False))
     return out
 
 
@@ -62,8 +62,16 @@ def checked(dim: DataFrame, key: str, limit_rows: int) -> DataFrame:
 
 
 def lookup(fact: DataFrame, dim: DataFrame, fact_col: str, dim_col: str, out: dict[str, str], limit_rows: int,
-           verified: bool = False) -> DataFrame:
-    """Left lookup of ``dim`` on fact_col = dim_col, adding dim columns renamed by ``out``."""
+           verified: bool = False, spread_nulls: bool = False) -> DataFrame:
+    """Left lookup of ``dim`` on fact_col = dim_col, adding dim columns renamed by ``out``.
+
+    ``spread_nulls`` is for shuffled lookups on a string key: rows without a key, which match
+    nothing, are dealt over many partitions instead of meeting in one.
+    """
     d = dim.select(F.col(dim_col).alias("__lk"), *[F.col(src).alias(dst) for src, dst in out.items()])
     d = d if verified else checked(d, "__lk", limit_rows)
-    return fact.join(d, fact[fact_col] == d["__lk"], "left").drop("__lk")
+    key = fact[fact_col]
+    if spread_nulls and dict(fact.dtypes)[fact_col] == "string":
+        # a NUL character in front: no key of the dimension looks like that
+        key = F.coalesce(key, F.concat(F.lit("\0"), F.pmod(F.xxhash64(*[fact[c] for c in fact.columns]), F.lit(4096)).cast("string")))
+    return fact.join(d, key == d["__lk"], "left").drop("__lk")

@@ -24,8 +24,3 @@ def to_silver(bronze: DataFrame) -> DataFrame:
     derived = derived.withColumns({"overall_quality_status": R.overall_status()})
     cols = [c for c in SILVER_COLUMNS if c in derived.columns]
     return derived.select(*cols)
-
-
-def with_extreme_flags(silver: DataFrame, miles: float, duration_s: int) -> DataFrame:
-    """D9 flags added to Silver rows."""
-    return silver.withColumns(R.extreme_flags(miles, duration_s))

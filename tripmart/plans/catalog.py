@@ -109,6 +109,7 @@ def _total_order(cols: list[str], first: Column | None = None) -> list[Column]:
     return o + [F.col(c).asc_nulls_last() for c in cols]
 
 
+# Output columns of the reference's extracts and top lists.
 EXTRACT_FARE_COLS = ["hvfhs_license_num", "request_datetime", "pickup_datetime", "dropoff_datetime", "trip_miles",
                      "trip_time", "base_passenger_fare", "tolls", "bcf", "sales_tax", "congestion_surcharge",
                      "airport_fee", "tips", "driver_pay"]

@@ -41,6 +41,7 @@ TRIP_SOURCE = T.StructType(
 
 SOURCE_MEASURES = [f.name for f in TRIP_SOURCE.fields[:20]]
 
+# Column names and order of Silver, fact and trip identity must equal the reference's.
 SILVER_COLUMNS = SOURCE_MEASURES + [
     "shared_request",
     "shared_match",
