@@ -7,7 +7,7 @@ record, into the shared folder, and returns their names; only names of finished
 in the (checkpointed) manifest, so lost executors leave at most unused files.
 
 Index: every archive is read back and sorted by (URL key, timestamp, page id): a run. Range
-bounds come from a bounded sample of the keys (the smallest by hash). Runs are cut at the
+bounds come from a bounded sample of the keys (by hash). Runs are cut at the
 bounds, and each range is one task that merges its cuts with a loser tree; ranges are in
 order and so are the captures in each. Bounds hold the page id, so captures of one URL
 spread over ranges as well.
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tripmart.session import shared_dir
 
-from .common import as_binary, cut, slices
+from .common import as_binary, cut, slices, thinned
 
 CAPTURE = "urlkey string, captured string, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, archive string, record_offset long, record_length long"
 NAMES = [c.split()[0] for c in CAPTURE.split(", ")]
@@ -57,8 +57,8 @@ class WarcOptions:
     gzip_level: int = 4
     #: a page is taken this many seconds after the epoch, plus its id (pages carry no time)
     epoch: int = 1_700_000_000
-    #: keys sampled for the range bounds, the most ranges that there can be
-    sample_keys: int = 50_000
+    #: keys sampled for the range bounds, also the most ranges that there can be
+    sample_keys: int = 20_000
     captures_per_range: int = 20_000
 
 
@@ -238,8 +238,10 @@ def sorted_runs(manifest: DataFrame) -> DataFrame:
 def merged_index(manifest: DataFrame, how: WarcOptions = WarcOptions()) -> DataFrame:
     """All captures with ``range_id`` and ``place``: in the order of these two they are globally sorted."""
     runs = cut(sorted_runs(manifest))
-    n_ranges = max(1, -(-runs.count() // how.captures_per_range))
-    sampled = runs.select(*KEY, F.xxhash64(*KEY).alias("h")).orderBy("h", *KEY).limit(how.sample_keys).collect()  # bounded by sample_keys
+    n_captures = runs.count()
+    n_ranges = max(1, -(-n_captures // how.captures_per_range))
+    share = F.lit(min(1.0, how.sample_keys / max(1, n_captures)))
+    sampled = runs.select(*KEY, F.xxhash64(*KEY).alias("h")).where(thinned("h", share)).distinct().collect()  # about sample_keys at most
     keys = sorted({sort_key((r["urlkey"], r["captured"], r["page_id"], *[""] * 5, "", -1)) for r in sampled})
     bounds = sorted({keys[i * len(keys) // n_ranges] for i in range(1, n_ranges)}) if keys else []
 
