@@ -9,8 +9,9 @@ so there a piece may only follow another if the model's merges, run over the two
 exactly these two; then at most one path reaches a position, and the ids are those of the merges.
 
 Texts are cut before each run of the space mark (no piece goes on after a mark that follows
-another character; this is checked), and at characters that no piece holds. What is between
-is encoded once per distinct string and kept in bounded caches.
+another character; this is checked), and between any two characters that no piece holds side
+by side: no piece and no merge crosses there. What is between cuts is encoded once per
+distinct string and kept in bounded caches.
 
 Defined cases: null and empty texts have no ids; the space mark itself in a text counts as a
 space, as in the library; texts and words of any length are encoded whole; every input row
@@ -36,7 +37,7 @@ from .common import gathered, slices
 
 MARK = "▁"
 CHUNKS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-CACHED_WORDS, CACHED_PAIRS, CACHED_LENGTH = 400_000, 400_000, 48
+CACHED_WORDS, CACHED_PARTS, CACHED_PAIRS, CACHED_LENGTH = 400_000, 250_000, 250_000, 48
 
 
 class Automaton:
@@ -45,6 +46,7 @@ class Automaton:
     def __init__(self, strings: dict[str, int]) -> None:
         self.next: list[dict[str, int]] = [{}]
         self.ends: list[int] = [-1]
+        self.depth: list[int] = [0]
         for text, value in strings.items():
             node = 0
             for c in text:
@@ -52,6 +54,7 @@ class Automaton:
                     self.next[node][c] = len(self.next)
                     self.next.append({})
                     self.ends.append(-1)
+                    self.depth.append(self.depth[node] + 1)
                 node = self.next[node][c]
             self.ends[node] = value
         self.fail = [0] * len(self.next)
@@ -61,16 +64,26 @@ class Automaton:
             node = queue.popleft()
             up = self.fail[node]
             self.output[node] = up if self.ends[up] >= 0 else self.output[up]
-            for c, child in self.next[node].items():
-                self.fail[child] = self.step(up, c)
-                queue.append(child)
+            for c, child in list(self.next[node].items()):
+                if self.depth[child] > self.depth[node]:  # not a transition that step() kept
+                    self.fail[child] = self.step(up, c)
+                    queue.append(child)
 
     def step(self, node: int, c: str) -> int:
-        while c not in self.next[node]:
-            if not node:
-                return 0
-            node = self.fail[node]
-        return self.next[node][c]
+        """The node after one more character; found by failure links once, then kept in the node."""
+        to = self.next[node].get(c)
+        if to is None:
+            to = self.next[node][c] = self.step(self.fail[node], c) if node else 0
+        return to
+
+    def outputs(self, node: int) -> list[int]:
+        """Values of all strings that end in the node, the longest first: its own and those along its output links."""
+        out = []
+        at = node if self.ends[node] >= 0 else self.output[node]
+        while at:
+            out.append(self.ends[at])
+            at = self.output[at]
+        return out
 
 
 class PieceCodec:
@@ -91,7 +104,10 @@ class PieceCodec:
         self.weight = {i: self.score[x] for x, i in self.ids.items()}
         self.unknown = min(self.score.values(), default=0.0) - 10.0
         self.automaton = Automaton(self.ids)
+        self.ending: dict[int, list[tuple[int, float, int, str]]] = {}
         self.letters = {c for x in self.ids for c in x}
+        self.together = {x[k : k + 2] for x in self.ids for k in range(len(x) - 1)}
+        self.parts: dict[str, list[int]] = {}
         self.unk_id = p.unk_id()
         self.text_of = [b"" if i in special else bytes([int(p.id_to_piece(i)[3:5], 16)]) if p.is_byte(i) else p.id_to_piece(i).replace(MARK, " ").encode() for i in range(n)]
         self.words: dict[bytes, bytes] = {}
@@ -116,7 +132,11 @@ class PieceCodec:
         if known is None:
             if len(self.pairs) >= CACHED_PAIRS:
                 self.pairs = {}
-            known = self.pairs[key] = self.merged([*left, *right]) == ([left, right] if left else [right])
+            if left:  # two that could still be merged do not stay
+                known = left + right not in self.score and self.merged([*left, *right]) == [left, right]
+            else:
+                known = self.merged([*right]) == [right]
+            self.pairs[key] = known
         return known
 
     def spell(self, char: str) -> list[int]:
@@ -125,47 +145,56 @@ class PieceCodec:
 
     def viterbi(self, text: str) -> list[int]:
         """Ids of a string without cut points, in one pass over its characters."""
-        step, ends, output = self.automaton.step, self.automaton.ends, self.automaton.output
-        sizes, weight, names, merges = self.sizes, self.weight, self.names, self.merges
+        goto, step, ending = self.automaton.next, self.automaton.step, self.ending
+        merges, stay = self.merges, self.stay
         n = len(text)
         best = [0.0] + [-np.inf] * n
         piece = [-1] * (n + 1)
         last = [""] * (n + 1)
         node = 0
-        for i, c in enumerate(text):
-            node = step(node, c)
-            at = node if ends[node] >= 0 else output[node]
-            alone = False
-            while at:
-                p = ends[at]
-                size = sizes[p]
-                alone |= size == 1
-                start = i + 1 - size
-                reached = best[start] + weight[p]
-                if reached > best[i + 1] and (not merges or self.stay(last[start], names[p])):
-                    best[i + 1], piece[i + 1], last[i + 1] = reached, p, names[p]
-                at = output[at]
-            if not alone and best[i] + self.unknown > best[i + 1] and (not merges or best[i + 1] == -np.inf):
-                best[i + 1], piece[i + 1], last[i + 1] = best[i] + self.unknown, -1, c
+        for i, c in enumerate(text, 1):
+            to = goto[node].get(c)
+            node = step(node, c) if to is None else to
+            found = ending.get(node)
+            if found is None:
+                found = ending[node] = [(self.sizes[p], self.weight[p], p, self.names[p]) for p in self.automaton.outputs(node)]
+            for size, weight, p, name in found:
+                reached = best[i - size] + weight
+                if reached > best[i] and (not merges or stay(last[i - size], name)):
+                    best[i], piece[i], last[i] = reached, p, name
+                    if merges:
+                        break  # at most one piece can end here
+            if best[i] == -np.inf or not (merges or found and found[-1][0] == 1):
+                reached = best[i - 1] + self.unknown  # the character alone, as bytes
+                if reached > best[i]:
+                    best[i], piece[i], last[i] = reached, -1, c
         out: list[int] = []
         i = n
         while i:
             p = piece[i]
             out += [p] if p >= 0 else reversed(self.spell(text[i - 1]))
-            i -= sizes[p] if p >= 0 else 1
+            i -= self.sizes[p] if p >= 0 else 1
         return out[::-1]
 
     def chunk(self, text: str) -> list[int]:
-        """Ids of a string that starts with its space marks, cut at characters that no piece holds."""
-        if self.letters.issuperset(text):
-            return self.viterbi(text)
+        """Ids of a string, cut where no piece holds both neighbours."""
+        together, parts = self.together, self.parts
         out: list[int] = []
         begin = 0
-        for i, c in enumerate(text):
-            if c not in self.letters:
-                out += self.viterbi(text[begin:i]) + self.spell(c)
-                begin = i + 1
-        return out + self.viterbi(text[begin:])
+        for i in range(1, len(text) + 1):
+            if i < len(text) and text[i - 1 : i + 1] in together:
+                continue
+            part = text[begin:i]
+            begin = i
+            ids = parts.get(part)
+            if ids is None:
+                ids = self.viterbi(part) if part[0] in self.letters else self.spell(part)
+                if len(part) <= CACHED_LENGTH:
+                    if len(parts) >= CACHED_PARTS:
+                        parts.clear()
+                    parts[part] = ids
+            out += ids
+        return out
 
     def encode_text(self, text: str) -> list[int]:
         return [i for chunk in CHUNKS.findall(self.processor.normalize(text)) for i in self.chunk(chunk)]
