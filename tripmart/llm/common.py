@@ -52,6 +52,12 @@ def as_binary(col: pa.Array) -> list[bytes | None]:
     return col.cast(kind).to_pylist()
 
 
+def splittable(df: DataFrame) -> DataFrame:
+    """For an aggregate that is joined on its own key: without its partitioning, both sides of the join
+    are shuffled for it, and adaptive execution can split the other side's hot keys over tasks."""
+    return df.hint("rebalance")
+
+
 def free(df: DataFrame, *names: str) -> list[str]:
     """The names, lengthened until no column of ``df`` has them (in any case)."""
     taken, out = {c.lower() for c in df.columns}, []
@@ -83,10 +89,6 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = SLICE_BYTES
             begin = end
 
 
-def total_bytes(df: DataFrame, text: str) -> Column:
-    return F.octet_length(F.coalesce(F.col(text), F.lit("")))
-
-
 def gathered(lists: pa.ListArray, lookup: Callable[[list[bytes]], list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all rows and their bounds, for rows that are lists of words.
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_binary, cut, free, same, slices
+from .common import as_binary, cut, free, same, slices, splittable
 from .components import star_components
 
 SHINGLE_WORDS, SEED, RADIUS = 4, 42, 4
@@ -201,7 +201,7 @@ def _marked(docs: DataFrame, doc_id: str, text: str, shingle: int, seed: int, ra
     roots = star_components(links(nodes.select("fp"), radius, tile_rows))
     placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lows = placed.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = placed.join(lows, "root").select(F.col("fp").alias("node_fp"), "root", "component_id")
+    named = placed.join(splittable(lows), "root").select(F.col("fp").alias("node_fp"), "root", "component_id")
     return marked.join(named, F.col("fp") == F.col("node_fp")).select("doc_id", "row_key", "fp", "root", "component_id")
 
 
