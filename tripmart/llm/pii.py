@@ -33,7 +33,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, free, same
+from .common import cut, free, same, splittable
 
 #: fixed values: the kinds in order
 KINDS = ("email", "ip", "card", "phone")
@@ -138,7 +138,8 @@ def disclosures(docs: DataFrame, found: DataFrame, how: Sanitising = Sanitising(
     of_entity = found.select(F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
     words = F.regexp_extract_all(F.col(text).cast("string"), F.lit(TERM), F.lit(0))
     of_term = docs.select(F.explode(F.array_distinct(F.transform(words, lambda w: F.xxhash64(F.lower(w))))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
-    pairs = cut(of_pair.where(F.col("windows") >= how.min_windows).join(of_entity.where(F.col("with_entity") >= how.min_windows), "entity"))
+    repeated = splittable(of_entity.where(F.col("with_entity") >= how.min_windows))
+    pairs = cut(of_pair.where(F.col("windows") >= how.min_windows).join(repeated, "entity"))
     pmi = F.log2(F.lit(float(n)) * F.least("both", "with_term", "with_entity") / (F.col("with_entity").cast("double") * F.col("with_term")))
     information = F.log2(F.lit(float(n)) / F.col("with_entity"))
     return pairs.join(of_term, "term").where(F.col("with_entity") < n).select("entity", "term", (pmi / information).alias("disclosure"))
@@ -153,7 +154,7 @@ def sanitising_spans(docs: DataFrame, how: Sanitising = Sanitising(), doc_id: st
     of_row = once.groupBy("doc_id", "row_key").agg(F.array_sort(F.collect_list(F.struct("start", "stop", "remove"))).alias("term_spans"))
     of_row = of_row.select(F.col("doc_id").alias("of_id"), F.col("row_key").alias("of_key"), "term_spans")
     none = F.array().cast("array<struct<start:int,stop:int,remove:boolean>>")
-    return found.join(of_row, same(F.col("doc_id"), F.col("of_id")) & (F.col("row_key") == F.col("of_key")), "left").select("doc_id", "row_key", "spans", F.coalesce("term_spans", none).alias("term_spans"))
+    return found.join(splittable(of_row), same(F.col("doc_id"), F.col("of_id")) & (F.col("row_key") == F.col("of_key")), "left").select("doc_id", "row_key", "spans", F.coalesce("term_spans", none).alias("term_spans"))
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -185,5 +186,5 @@ def sanitise(docs: DataFrame, how: Sanitising = Sanitising(), doc_id: str = "doc
 
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     clean = F.aggregate(made, zero, change, lambda acc: F.concat(acc["out"], F.substring(whole, acc["at"] + 1, F.length(whole))))
-    joined = docs.join(changes, same(F.col(doc_id).cast("long"), F.col(own_id)) & (row_key(F.coalesce(whole, F.lit(""))) == F.col(own_key)), "left")
+    joined = docs.join(splittable(changes), same(F.col(doc_id).cast("long"), F.col(own_id)) & (row_key(F.coalesce(whole, F.lit(""))) == F.col(own_key)), "left")
     return joined.withColumn(text, F.when(F.col(made).isNull(), whole).otherwise(clean)).select(*docs.columns)
