@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tripmart.session import shared_dir
 
-from .common import as_binary, cut, slices, thinned
+from .common import as_binary, cut, slices, splittable, thinned
 
 CAPTURE = "urlkey string, captured string, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, archive string, record_offset long, record_length long"
 NAMES = [c.split()[0] for c in CAPTURE.split(", ")]
@@ -192,7 +192,7 @@ def write_archives(pages: DataFrame, root: str, how: WarcOptions = WarcOptions()
     keyed = named.withColumn("payload", F.sha1(F.col("html").cast("binary")))
     firsts = named.select("page_id", F.sha1(F.col("html").cast("binary")).alias("payload")).groupBy("payload").agg(F.max("page_id").alias("first"))
     revisit = (F.octet_length("html") >= how.min_revisit_bytes) & (F.col("first") > F.coalesce("page_id", F.col("first") - 1))
-    rows = keyed.join(firsts, "payload").select("page_id", "url", "html", F.when(revisit, F.col("first")).alias("first"))
+    rows = keyed.join(splittable(firsts), "payload").select("page_id", "url", "html", F.when(revisit, F.col("first")).alias("first"))
     fs_root = root.rstrip("/")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
