@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_binary, cut, free, same, slices
+from .common import as_binary, cut, free, same, slices, splittable
 
 WORD_SEPARATORS = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -126,7 +126,7 @@ def apply_rules(docs: DataFrame, rules: QualityRules = QualityRules(), doc_id: s
     broken = F.array_compact(F.array(*(F.when(c, F.lit(r)) for r, c in rules.host_rules().items())))
     base = (F.col("n_words") < rules.min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * rules.max_repeat_pct)
     judged = measured.withColumns({"base_failed": base, "broken": broken}).withColumnRenamed("host", "doc_host")
-    out = judged.join(verdicts, same(F.col("doc_host"), F.col("host")), "left")
+    out = judged.join(splittable(verdicts), same(F.col("doc_host"), F.col("host")), "left")
     bad_host = F.coalesce(F.arrays_overlap("broken", "bad_rules"), F.lit(False))
     return out.select(
         "doc_id", "row_key", F.col("doc_host").alias("host"), "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
@@ -144,4 +144,4 @@ def kept_documents(docs: DataFrame, rules: QualityRules = QualityRules(), doc_id
     own_id, own_key = free(docs, "kept_id", "kept_key")
     kept = judged.where("kept").select(F.col("doc_id").alias(own_id), F.col("row_key").alias(own_key)).distinct()
     key = row_key(F.col(text).cast("string"), F.col(host).cast("string"))
-    return docs.join(kept, same(F.col(doc_id).cast("long"), F.col(own_id)) & (key == F.col(own_key)), "left_semi")
+    return docs.join(splittable(kept), same(F.col(doc_id).cast("long"), F.col(own_id)) & (key == F.col(own_key)), "left_semi")
