@@ -152,6 +152,19 @@ def test_sanitised_texts(spark, edge):
     assert texts[1] is None and texts[2] == "" and "[EMAIL]" in texts[6] and "[IP]" in texts[6] and "[CARD]" in texts[8]
 
 
+def terms_of(spark, texts, how=pii.Sanitising()):
+    """Sanitised words of each text, with whether they are removed."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r.term_spans for r in pii.sanitising_spans(docs, how).collect()}
+    return [{(t[s.start : s.stop], s.remove) for s in rows[i]} for i, t in enumerate(texts)]
+
+
+def test_copies_of_one_passage_are_sanitised(spark):
+    signature = "common words regards zorro me@x.org office words common"
+    out = terms_of(spark, [signature] * 5 + ["common words regards office"] * 60)
+    assert all(x == {("zorro", True)} for x in out[:5]) and not any(out[5:])
+
+
 def brute_secrets(text):
     assign = [("assign", m.start(), m.end()) for m in re.finditer(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.ASCII) if len(m[1]) >= 6]
     access = [("access", m.start(), m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]

@@ -9,8 +9,8 @@ and ``df(e, t)`` the term within ``reach`` characters of the entity. The term di
 of the entity's information: 1 if it stands in no document without it. Around mentions of an
 entity, terms that disclose ``remove_at`` of it are removed, those from ``generalise_at`` on
 are replaced by a general word; base spans are always replaced by their kind. A pair needs
-``min_windows`` different windows over the corpus, and its entity as many documents: what
-stands in copies of one passage, or in one document, is no evidence. Documents without an entity are left alone.
+``min_documents`` documents, copies included: every word of a single document would tell of
+an entity in it. Documents without an entity are left alone.
 
 Texts are read once for the mentions (checkpointed, narrow: only documents with mentions
 carry more than their counts) and once for the document frequencies of all terms, which are
@@ -54,7 +54,7 @@ SPANS = "array<struct<start:int,stop:int,value:string>>"
 @dataclass(frozen=True)
 class Sanitising:
     reach: int = 100
-    min_windows: int = 2
+    min_documents: int = 2
     generalise_at: float = 0.75
     remove_at: float = 0.95
     general_word: str = "[TERM]"
@@ -134,12 +134,14 @@ def disclosures(docs: DataFrame, found: DataFrame, how: Sanitising = Sanitising(
     n = found.count()
     met = F.array_distinct(F.transform("terms", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term"), t["window"].alias("window"))))
     of_window = found.select(F.explode(met).alias("p")).groupBy("p.entity", "p.term", "p.window").agg(F.count(F.lit(1)).alias("rows"))
-    of_pair = of_window.groupBy("entity", "term").agg(F.sum("rows").alias("both"), F.count(F.lit(1)).alias("windows"))
+    of_pair = of_window.groupBy("entity", "term").agg(F.sum("rows").alias("both"))
+    held = F.array_distinct(F.transform("terms", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term"))))
+    supported = found.select(F.explode(held).alias("p")).groupBy("p.entity", "p.term").agg(F.count(F.lit(1)).alias("documents")).where(F.col("documents") >= how.min_documents)
     of_entity = found.select(F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
     words = F.regexp_extract_all(F.col(text).cast("string"), F.lit(TERM), F.lit(0))
     of_term = docs.select(F.explode(F.array_distinct(F.transform(words, lambda w: F.xxhash64(F.lower(w))))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
-    repeated = splittable(of_entity.where(F.col("with_entity") >= how.min_windows))
-    pairs = cut(of_pair.where(F.col("windows") >= how.min_windows).join(repeated, "entity"))
+    repeated = splittable(of_entity.where(F.col("with_entity") >= how.min_documents))
+    pairs = cut(of_pair.join(splittable(supported), ["entity", "term"]).join(repeated, "entity"))
     pmi = F.log2(F.lit(float(n)) * F.least("both", "with_term", "with_entity") / (F.col("with_entity").cast("double") * F.col("with_term")))
     information = F.log2(F.lit(float(n)) / F.col("with_entity"))
     return pairs.join(of_term, "term").where(F.col("with_entity") < n).select("entity", "term", (pmi / information).alias("disclosure"))
