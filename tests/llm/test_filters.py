@@ -165,6 +165,16 @@ def test_copies_of_one_passage_are_sanitised(spark):
     assert all(x == {("zorro", True)} for x in out[:5]) and not any(out[5:])
 
 
+def test_documents_are_counted_not_windows(spark):
+    many = " ".join(f"common{i} me@x.org common{i} number{i} zebra" for i in range(40))
+    texts = [many, "me@x.org common zebra"] + ["me@x.org"] * 8 + ["zebra common"] * 28 + ["common"] * 262
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    h = spark.range(1).selectExpr("xxhash64('email', 'me@x.org') as e", "xxhash64('zebra') as t").first()
+    shares = {(r.entity, r.term): r.disclosure for r in pii.disclosures(docs, pii.mentions(docs)).collect()}
+    assert shares[h.e, h.t] == pytest.approx(np.log2(300 * 2 / (10 * 30)) / np.log2(300 / 10))
+    assert not any(terms_of(spark, texts))
+
+
 def brute_secrets(text):
     assign = [("assign", m.start(), m.end()) for m in re.finditer(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.ASCII) if len(m[1]) >= 6]
     access = [("access", m.start(), m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]

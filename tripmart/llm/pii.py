@@ -122,7 +122,7 @@ def mentions(docs: DataFrame, how: Sanitising = Sanitising(), doc_id: str = "doc
         begin = F.greatest(mention["start"] - how.reach, F.lit(0))
         window = F.substring(F.col("text"), begin + 1, mention["stop"] + how.reach - begin)
         words = located(window, TERM)
-        placed = F.transform(words, lambda w: F.struct(mention["entity"].alias("entity"), F.xxhash64(F.lower(w["value"])).alias("term"), F.xxhash64(window).alias("window"), (begin + w["start"]).alias("start"), (begin + w["stop"]).alias("stop")))
+        placed = F.transform(words, lambda w: F.struct(mention["entity"].alias("entity"), F.xxhash64(F.lower(w["value"])).alias("term"), (begin + w["start"]).alias("start"), (begin + w["stop"]).alias("stop")))
         whole = F.filter(placed, lambda w: ((w["start"] > begin) | (begin == 0)) & (w["stop"] < mention["stop"] + how.reach))
         return F.filter(whole, lambda w: ~F.exists("spans", lambda s: (s["start"] < w["stop"]) & (w["start"] < s["stop"])))
 
@@ -132,17 +132,14 @@ def mentions(docs: DataFrame, how: Sanitising = Sanitising(), doc_id: str = "doc
 def disclosures(docs: DataFrame, found: DataFrame, how: Sanitising = Sanitising(), text: str = "text") -> DataFrame:
     """(entity, term, disclosure) of every pair with enough support, over all documents."""
     n = found.count()
-    met = F.array_distinct(F.transform("terms", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term"), t["window"].alias("window"))))
-    of_window = found.select(F.explode(met).alias("p")).groupBy("p.entity", "p.term", "p.window").agg(F.count(F.lit(1)).alias("rows"))
-    of_pair = of_window.groupBy("entity", "term").agg(F.sum("rows").alias("both"))
     held = F.array_distinct(F.transform("terms", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term"))))
-    supported = found.select(F.explode(held).alias("p")).groupBy("p.entity", "p.term").agg(F.count(F.lit(1)).alias("documents")).where(F.col("documents") >= how.min_documents)
+    of_pair = found.select(F.explode(held).alias("p")).groupBy("p.entity", "p.term").agg(F.count(F.lit(1)).alias("both")).where(F.col("both") >= how.min_documents)
     of_entity = found.select(F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
     words = F.regexp_extract_all(F.col(text).cast("string"), F.lit(TERM), F.lit(0))
     of_term = docs.select(F.explode(F.array_distinct(F.transform(words, lambda w: F.xxhash64(F.lower(w))))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
     repeated = splittable(of_entity.where(F.col("with_entity") >= how.min_documents))
-    pairs = cut(of_pair.join(splittable(supported), ["entity", "term"]).join(repeated, "entity"))
-    pmi = F.log2(F.lit(float(n)) * F.least("both", "with_term", "with_entity") / (F.col("with_entity").cast("double") * F.col("with_term")))
+    pairs = cut(of_pair.join(repeated, "entity"))
+    pmi = F.log2(F.lit(float(n)) * F.col("both") / (F.col("with_entity").cast("double") * F.col("with_term")))
     information = F.log2(F.lit(float(n)) / F.col("with_entity"))
     return pairs.join(of_term, "term").where(F.col("with_entity") < n).select("entity", "term", (pmi / information).alias("disclosure"))
 
