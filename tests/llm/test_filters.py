@@ -175,6 +175,16 @@ def test_documents_are_counted_not_windows(spark):
     assert not any(terms_of(spark, texts))
 
 
+def test_far_terms_are_sanitised_everywhere(spark):
+    far = "common words here " * 20
+    texts = [f"zorro {far} me@x.org zorro@y.org {far} Zorro"] * 2 + [f"common words here zorro me@x.org{i}" for i in range(3)] + ["common words here"] * 60
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r.term_spans for r in pii.sanitising_spans(docs, pii.Sanitising(generalise_at=0.5)).collect()}
+    for i in range(2):
+        assert [(s.start, s.stop) for s in rows[i]] == [(0, 5), (len(texts[0]) - 5, len(texts[0]))]
+    assert not any(rows[i] for i in range(2, 65))
+
+
 def brute_secrets(text):
     assign = [("assign", m.start(), m.end()) for m in re.finditer(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.ASCII) if len(m[1]) >= 6]
     access = [("access", m.start(), m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]

@@ -2,32 +2,34 @@
 
 Patterns find the protected entities (base spans). How much a term reveals an entity is
 estimated from the corpus: over all documents, ``df(e)`` hold the entity, ``df(t)`` the term
-and ``df(e, t)`` the term within ``reach`` characters of the entity. The term discloses
+and ``df(e, t)`` both, wherever in the document they stand. The term discloses
 
     PMI(e; t) / IC(e),  PMI = log2(n * df(e, t) / (df(e) * df(t))),  IC = log2(n / df(e))
 
-of the entity's information: 1 if it stands in no document without it. Around mentions of an
-entity, terms that disclose ``remove_at`` of it are removed, those from ``generalise_at`` on
-are replaced by a general word; base spans are always replaced by their kind. A pair needs
+of the entity's information: 1 if it stands in no document without it. In documents that hold
+the entity, every occurrence of a term that discloses ``remove_at`` of it is removed, and from
+``generalise_at`` on it is replaced by a general word; base spans are always replaced by their kind. A pair needs
 ``min_documents`` documents, copies included: every word of a single document would tell of
 an entity in it. Documents without an entity are left alone.
 
-Texts are read once for the mentions (checkpointed, narrow: only documents with mentions
-carry more than their counts) and once for the document frequencies of all terms, which are
-summed per task before they are shuffled, by 64-bit hash. An entity of any frequency is
-handled by partial sums and by equi-joins that adaptive execution can split.
+Texts are read once for the mentions (checkpointed: only documents with mentions carry their
+text and the hashes of their terms) and once for the document frequencies of all terms, which
+are summed per task before they are shuffled, by 64-bit hash. Only entities that enough
+documents hold meet the terms of these. An entity of any frequency is handled by partial sums
+and by equi-joins that adaptive execution can split.
 
 Positions come from splitting the text at the pattern and adding up the lengths of pieces
 and matches, so they are code points. The patterns are those of the contract with
 possessive quantifiers and anchors that change no match but keep long runs linear.
 
 Defined cases: null and empty texts have no spans; rows that repeat id and text get the same
-spans each; a term in the windows of several mentions is one span; an empty table gives
+spans each; a term that tells of several entities is one span, and none where it overlaps a base span; an empty table gives
 no rows; columns other than id and text are only carried where whole rows are returned.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -53,15 +55,14 @@ SPANS = "array<struct<start:int,stop:int,value:string>>"
 
 @dataclass(frozen=True)
 class Sanitising:
-    reach: int = 100
     min_documents: int = 2
     generalise_at: float = 0.75
     remove_at: float = 0.95
     general_word: str = "[TERM]"
 
 
-def located(text: Column, pattern: str) -> Column:
-    """Matches with their code-point positions (the end exclusive)."""
+def located(text: Column, pattern: str, taken: Callable[[Column], Column] = lambda value: F.lit(True)) -> Column:
+    """Matches (those ``taken``) with their code-point positions (the end exclusive)."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
     start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out"))
@@ -70,7 +71,7 @@ def located(text: Column, pattern: str) -> Column:
         begin = acc["at"] + F.length(x["0"])
         end = begin + F.length(F.coalesce(x["1"], F.lit("")))
         span = F.array(F.struct(begin.alias("start"), end.alias("stop"), x["1"].alias("value")))
-        return F.struct(end.alias("at"), F.when(x["1"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], span)).alias("out"))
+        return F.struct(end.alias("at"), F.when(x["1"].isNotNull() & taken(x["1"]), F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
 
     return F.aggregate(F.arrays_zip(pieces, found), start, add, lambda acc: acc["out"])
 
@@ -102,8 +103,22 @@ def row_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def mentions(docs: DataFrame, how: Sanitising = Sanitising(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, row_key, spans, terms): base spans by kind, then start; terms near a mention, with its entity."""
+def term_key(word: Column) -> Column:
+    return F.xxhash64(F.lower(word))
+
+
+def terms_in(text: Column) -> Column:
+    """The distinct terms of a text, as hashes."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), term_key))
+
+
+def entities_in(found: DataFrame) -> DataFrame:
+    """(doc_id, row_key, entity, terms): one row for each entity that a row holds."""
+    return found.where(F.size("spans") > 0).select("doc_id", "row_key", "terms", F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity"))
+
+
+def mentions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, row_key, spans, terms, text): base spans by kind, then start; terms and text of rows with a span."""
     out = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     out = out.withColumn("row_key", row_key(F.col("text")))
     for kind in KINDS:
@@ -117,28 +132,18 @@ def mentions(docs: DataFrame, how: Sanitising = Sanitising(), doc_id: str = "doc
 
     out = out.select("doc_id", "row_key", "text", F.concat(*(named(k) for k in KINDS)).alias("spans"))
 
-    def near(mention: Column) -> Column:
-        """Whole words of the window that overlap no base span."""
-        begin = F.greatest(mention["start"] - how.reach, F.lit(0))
-        window = F.substring(F.col("text"), begin + 1, mention["stop"] + how.reach - begin)
-        words = located(window, TERM)
-        placed = F.transform(words, lambda w: F.struct(mention["entity"].alias("entity"), F.xxhash64(F.lower(w["value"])).alias("term"), (begin + w["start"]).alias("start"), (begin + w["stop"]).alias("stop")))
-        whole = F.filter(placed, lambda w: ((w["start"] > begin) | (begin == 0)) & (w["stop"] < mention["stop"] + how.reach))
-        return F.filter(whole, lambda w: ~F.exists("spans", lambda s: (s["start"] < w["stop"]) & (w["start"] < s["stop"])))
-
-    return out.select("doc_id", "row_key", "spans", F.flatten(F.transform("spans", near)).alias("terms"))
+    some = F.size("spans") > 0
+    return out.select("doc_id", "row_key", "spans", F.when(some, terms_in(F.col("text"))).alias("terms"), F.when(some, F.col("text")).alias("text"))
 
 
 def disclosures(docs: DataFrame, found: DataFrame, how: Sanitising = Sanitising(), text: str = "text") -> DataFrame:
     """(entity, term, disclosure) of every pair with enough support, over all documents."""
     n = found.count()
-    held = F.array_distinct(F.transform("terms", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term"))))
-    of_pair = found.select(F.explode(held).alias("p")).groupBy("p.entity", "p.term").agg(F.count(F.lit(1)).alias("both")).where(F.col("both") >= how.min_documents)
-    of_entity = found.select(F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
-    words = F.regexp_extract_all(F.col(text).cast("string"), F.lit(TERM), F.lit(0))
-    of_term = docs.select(F.explode(F.array_distinct(F.transform(words, lambda w: F.xxhash64(F.lower(w))))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
+    of_entity = entities_in(found).groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
     repeated = splittable(of_entity.where(F.col("with_entity") >= how.min_documents))
-    pairs = cut(of_pair.join(repeated, "entity"))
+    met = entities_in(found).join(repeated, "entity").select("entity", "with_entity", F.explode("terms").alias("term"))
+    pairs = cut(met.groupBy("entity", "with_entity", "term").agg(F.count(F.lit(1)).alias("both")).where(F.col("both") >= how.min_documents))
+    of_term = docs.select(F.explode(terms_in(F.col(text).cast("string"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
     pmi = F.log2(F.lit(float(n)) * F.col("both") / (F.col("with_entity").cast("double") * F.col("with_term")))
     information = F.log2(F.lit(float(n)) / F.col("with_entity"))
     return pairs.join(of_term, "term").where(F.col("with_entity") < n).select("entity", "term", (pmi / information).alias("disclosure"))
@@ -146,14 +151,20 @@ def disclosures(docs: DataFrame, found: DataFrame, how: Sanitising = Sanitising(
 
 def sanitising_spans(docs: DataFrame, how: Sanitising = Sanitising(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, row_key, spans, term_spans) of every row; term_spans have start, stop and ``remove``."""
-    found = cut(mentions(docs, how, doc_id, text))
-    telling = disclosures(docs, found, how, text).where(F.col("disclosure") >= how.generalise_at).select("entity", "term", (F.col("disclosure") >= how.remove_at).alias("remove"))
-    told = found.select("doc_id", "row_key", F.explode("terms").alias("t")).select("doc_id", "row_key", "t.*").join(telling, ["entity", "term"])
-    once = told.groupBy("doc_id", "row_key", "start", "stop").agg(F.max("remove").alias("remove"))
-    of_row = once.groupBy("doc_id", "row_key").agg(F.array_sort(F.collect_list(F.struct("start", "stop", "remove"))).alias("term_spans"))
-    of_row = of_row.select(F.col("doc_id").alias("of_id"), F.col("row_key").alias("of_key"), "term_spans")
+    found = cut(mentions(docs, doc_id, text))
+    telling = cut(disclosures(docs, found, how, text).where(F.col("disclosure") >= how.generalise_at).select("entity", "term", (F.col("disclosure") >= how.remove_at).alias("remove")))
+    told = entities_in(found).join(splittable(telling.select("entity").distinct()), "entity").select("doc_id", "row_key", "entity", F.explode("terms").alias("term"))
+    once = told.join(telling, ["entity", "term"]).groupBy("doc_id", "row_key", "term").agg(F.max("remove").alias("remove"))
+    of_row = once.groupBy("doc_id", "row_key").agg(F.collect_list("term").alias("telling"), F.collect_list(F.when(F.col("remove"), F.col("term"))).alias("removed"))
+    of_row = of_row.select(F.col("doc_id").alias("of_id"), F.col("row_key").alias("of_key"), "telling", "removed")
+    rows = found.join(splittable(of_row), same(F.col("doc_id"), F.col("of_id")) & (F.col("row_key") == F.col("of_key")), "left")
+    placed = F.transform(
+        located(F.col("text"), TERM, lambda w: F.array_contains("telling", term_key(w))),
+        lambda w: F.struct(w["start"].alias("start"), w["stop"].alias("stop"), F.array_contains("removed", term_key(w["value"])).alias("remove")),
+    )
+    apart = F.filter(placed, lambda w: ~F.exists("spans", lambda s: (s["start"] < w["stop"]) & (w["start"] < s["stop"])))
     none = F.array().cast("array<struct<start:int,stop:int,remove:boolean>>")
-    return found.join(splittable(of_row), same(F.col("doc_id"), F.col("of_id")) & (F.col("row_key") == F.col("of_key")), "left").select("doc_id", "row_key", "spans", F.coalesce("term_spans", none).alias("term_spans"))
+    return rows.select("doc_id", "row_key", "spans", F.when(F.col("telling").isNull(), none).otherwise(apart).alias("term_spans"))
 
 
 def digest(found: DataFrame) -> DataFrame:
