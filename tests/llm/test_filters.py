@@ -225,6 +225,28 @@ def test_network_finds_held_out_secrets(spark):
     assert hit[:100].mean() >= 0.85 and hit[100:].mean() <= 0.02
 
 
+def sample_of_secrets(n, missed):
+    """Findings, as many unmatched runs (the last ``missed`` look like the findings) and plain words."""
+    rng = np.random.default_rng(11)
+
+    def of(letters, size):
+        return "".join(rng.choice(list(letters), size))
+
+    hexes = [of("0123456789abcdef", 40) for _ in range(n + missed)]
+    rows = [(secret_scan.FINDING, "some words ", v, " and more") for v in hexes[:n]] + [(secret_scan.PLAIN, "some words ", of("etaoinsh", 14), " and more") for _ in range(n)]
+    return rows + [(secret_scan.RUN_ONLY, "some words ", of("0123456789", 16), " and more") for _ in range(n - missed)] + [(secret_scan.RUN_ONLY, "some words ", v, " and more") for v in hexes[n:]]
+
+
+@pytest.mark.parametrize("n, missed", [(100, 40), (8, 0)])
+def test_missed_and_few_findings_do_not_stop_the_network(n, missed):
+    rows = sample_of_secrets(n, missed)
+    net = secret_scan.learn(sorted(rows))
+    assert net is not None and net.threshold <= 1 and net.recall >= 0.95
+    hit = net.probability(*char_cnn.encode([r[1:] for r in rows])) >= net.threshold
+    assert hit[:n].mean() >= 0.8 and hit[2 * n : 3 * n - missed].mean() <= 0.05
+    assert not missed or hit[-missed:].mean() >= 0.6
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(1)
     codes, marks = char_cnn.encode([("ab ", "x1y2", " c"), ("", "zz", "q")])
