@@ -247,6 +247,32 @@ def test_missed_and_few_findings_do_not_stop_the_network(n, missed):
     assert not missed or hit[-missed:].mean() >= 0.6
 
 
+def test_whole_runs_are_candidates():
+    def found(text):
+        return [text[s:e] for s, e in secret_scan.candidates(text, secret_scan.base_spans(text))]
+
+    assert found("some plainwords Capital SHOUTED well-known either/or ====== " + "ab" * 3) == []
+    assert found("short a1b2c3 camelCase KEYlowerKEY " + "q" * 60) == ["a1b2c3", "camelCase", "KEYlowerKEY", "q" * 60]
+    assert found("see ABCD" + "0123456789abcdef" * 2 + "XYZ9 end") == ["ABCD", "XYZ9"]
+
+
+def test_long_runs_are_scored_to_their_end():
+    class SeesK:
+        threshold = 0.5
+
+        def probability(self, codes, marks):
+            return ((codes == ord("K")) & (marks == 1)).any(axis=1).astype(float)
+
+    for at in (0, 47, 48, 100, 119):
+        run = "z1/" * 40
+        run = run[:at] + "K" + run[at + 1 :]
+        assert secret_scan.scan([f"some words {run} and more"], SeesK()) == [[(secret_scan.LEARNED, 11, 131, 11)]]
+    assert secret_scan.scan([f"some words {'z1/' * 40} Keep"], SeesK()) == [[]]
+    for size in (1, 48, 49, 72, 73, 500):
+        starts = char_cnn.window_starts(7, 7 + size)
+        assert starts[0] == 7 and starts[-1] == 7 + max(0, size - char_cnn.VALUE) and max(np.diff(starts), default=0) <= char_cnn.VALUE // 2
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(1)
     codes, marks = char_cnn.encode([("ab ", "x1y2", " c"), ("", "zz", "q")])
