@@ -165,6 +165,16 @@ def test_top_products_edge_cases(spark):
     assert search(spark, []) == [] and search(spark, [(5, [1.0])]) == []
 
 
+def test_large_components_take_part(spark):
+    for big in (2.0**20, 2.0**40):
+        rows = [(0, [1.0, 0.5]), (1, [big, 1.0]), (2, [2.0, 2.0]), (3, [-big, 3.0])]
+        docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        whole = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows}
+        got = [(r.query_id, r.vec_id, r.score) for r in topk.top_products(docs, docs.where("vec_id in (0, 2)")).orderBy("query_id", "rank").collect()]
+        want = [(q, i, sum(a * b for a, b in zip(whole[q], whole[i]))) for q in (0, 2) for i in whole if i != q]
+        assert got == sorted(want, key=lambda x: (x[0], -x[2], x[1]))
+
+
 def test_pruning_keeps_every_result(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK_ROWS", 100)
     monkeypatch.setattr(topk, "QUERY_ROWS", 16)

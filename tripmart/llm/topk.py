@@ -16,8 +16,8 @@
    for rounding, so nothing is lost to it; ties at the floor go on.
 
 Defined cases: vectors that are null, empty of an id, or hold null or non-finite components
-take no part, nor do those with a component beyond 2**26 after scaling (their scores would
-not fit a long); shorter vectors end in zeros; rows that share an id are all candidates for
+take no part; components of any size are exact (doubles from 2**53 on are whole numbers), and a
+score that does not fit a long is an error, as in the SQL; shorter vectors end in zeros; rows that share an id are all candidates for
 others and none for their own id; query rows that agree in id and vector are answered once;
 an empty table gives no rows; other columns are not read.
 """
@@ -33,17 +33,18 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
-SCALE, LIMIT = 256, 2**26
+SCALE = 256
 BLOCK_ROWS, QUERY_ROWS, LANE_BLOCKS = 4096, 256, 64
 
 
 def whole_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", scale: int = SCALE) -> DataFrame:
     """(vec_id, v, squares): integer components and squared length of every vector that takes part."""
     x = F.col(embedding)
-    sound = ~F.exists(x, lambda c: c.isNull() | F.isnan(c.cast("double")) | (F.abs(c.cast("double") * scale) >= LIMIT))
-    whole = F.transform(x, lambda c: F.floor(c.cast("double") * scale).cast("long"))
+    sound = ~F.exists(x, lambda c: c.isNull() | F.isnan(c.cast("double")) | (F.abs(c.cast("double")) == float("inf")))
+    scaled = F.transform(x, lambda c: c.cast("double") * scale)
+    whole = F.transform(scaled, lambda y: F.when(F.abs(y) < 2.0**53, F.floor(y).cast("double")).otherwise(y))
     taken = vectors.where(F.col(vec_id).isNotNull() & x.isNotNull() & F.coalesce(sound, F.lit(False))).select(F.col(vec_id).cast("long").alias("vec_id"), whole.alias("v"))
-    return taken.withColumn("squares", F.aggregate("v", F.lit(0).cast("double"), lambda a, c: a + c.cast("double") * c.cast("double")))
+    return taken.withColumn("squares", F.aggregate("v", F.lit(0).cast("double"), lambda a, c: a + c * c))
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -53,7 +54,7 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     sizes = np.diff(bounds)
     if len(sizes) and (sizes == width).all():
         return flat[bounds[0] : bounds[-1]].reshape(-1, width)
-    out = np.zeros((len(sizes), width), np.int64)
+    out = np.zeros((len(sizes), width))
     for i, n in enumerate(sizes):
         out[i, :n] = flat[bounds[i] : bounds[i] + n]
     return out
@@ -88,11 +89,17 @@ class Block:
         self.lengths = np.sqrt((turned**2).sum(axis=1))
 
 
+def whole_numbers(m: np.ndarray, fits: bool) -> np.ndarray:
+    """Whole doubles as 64-bit integers, or as integers of any size where products need more."""
+    return m.astype(np.int64) if fits else np.array([[int(x) for x in row] for row in m], object).reshape(m.shape)
+
+
 def search(asked: Block, floors: np.ndarray, block: Block, k: int, step: int = 512) -> list[tuple[np.ndarray, np.ndarray]]:
     """(ids, scores) of each query's best k in the block; what is below a query's floor may be missing."""
     slack = 1e-9 * asked.lengths * block.lengths.max(initial=0) + 1e-6
-    exact = np.abs(asked.vectors).sum(axis=1).max(initial=0) * np.abs(block.vectors).max(initial=0) < 2**52
-    q, v = (asked.vectors, block.vectors) if exact else (asked.vectors.astype(np.int64), block.vectors.astype(np.int64))
+    most = np.abs(asked.vectors).sum(axis=1).max(initial=0) * np.abs(block.vectors).max(initial=0)
+    exact, fits = most < 2**52, max(most, np.abs(asked.vectors).max(initial=0), np.abs(block.vectors).max(initial=0)) < 2**62
+    q, v = (asked.vectors, block.vectors) if exact else (whole_numbers(asked.vectors, fits), whole_numbers(block.vectors, fits))
     found = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in asked.ids]
     floors = floors.copy()
     for at in range(0, len(block.ids), step):
@@ -105,7 +112,7 @@ def search(asked: Block, floors: np.ndarray, block: Block, k: int, step: int = 5
         if exact and len(rows) > reach.size // 8:
             scores = np.rint(q[live] @ v[part].T).astype(np.int64)[rows, cols]
         else:
-            scores = np.einsum("nd,nd->n", q[live[rows]], v[at + cols]).astype(np.int64)
+            scores = (np.einsum("nd,nd->n", q[live[rows]], v[at + cols]) if exact or fits else (q[live[rows]] * v[at + cols]).sum(axis=1)).astype(np.int64)
         ends = np.searchsorted(rows, np.arange(len(live) + 1))
         for n in np.flatnonzero(np.diff(ends)):
             i, some = live[n], slice(ends[n], ends[n + 1])
