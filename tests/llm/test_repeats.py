@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tripmart.llm import catalog, periodic_runs
+from tripmart.llm import catalog, line_dedup, periodic_runs
 from tripmart.llm.common import table
 
 from ..conftest import SF_SMALL
@@ -132,3 +132,71 @@ def test_runs_edge_cases(spark, edge, nothing):
     got = periodic_runs.digest(periodic_runs.periodic_runs(periodic_runs.planted(ids))).collect()
     assert {r.doc_id: tuple(r) for r in got} == want
     assert periodic_runs.periodic_runs(periodic_runs.planted(nothing)).count() == 0
+
+
+def brute_lines(rows, least_chars=40, least_documents=5):
+    """(doc_id, lines, dropped, kept text) of (doc_id, text) rows."""
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    key = lambda line: line.strip(" \t\n\x0b\x0c\r").translate(lower)
+    holders = {}
+    for doc_id, text in rows:
+        for line in (text or "").split("\n"):
+            if doc_id is not None and len(key(line)) >= least_chars:
+                holders.setdefault(key(line), set()).add(doc_id)
+    last = {k: max(ids) for k, ids in holders.items() if len(ids) >= least_documents}
+    out = []
+    for doc_id, text in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if key(x) not in last or last[key(x)] == doc_id]
+        out.append((doc_id, len(lines), len(lines) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def line_rows():
+    rng = random.Random(12)
+    long = [f"shared line {i} of some forty characters and more" for i in range(12)]
+    edges = ["É" * 40, "é" * 40, "x" * 39, "X" * 39 + " ", "X" * 40, " \t" + "x" * 40 + "\x0b\r", "\u00a0" + "y" * 39, "\u00a0" + "Y" * 39, "K" * 40, "\u212a" * 40]
+    rows = []
+    for i in range(120):
+        lines = [rng.choice(long).title() if rng.random() < 0.3 else rng.choice(long + edges + ["", " ", "short"]) for _ in range(rng.randint(0, 9))]
+        rows.append((rng.choice((i, i, 7, None)), "\n".join(lines)))
+    return rows + [(3000, None), (3001, ""), (3002, "\n\n"), (3003, "\n".join(long * 3)), (3003, "\n".join(long * 3)), (3004, "\n".join(f"line {i:040d}" for i in range(20_000)))]
+
+
+@pytest.mark.parametrize("batches, fanout", [(1, 2), (4, 2), (7, 3)])
+def test_lines_are_brute_force(spark, batches, fanout):
+    rows = line_rows()
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, lines string, dropped int")
+    out = line_dedup.without_lines(docs, line_dedup.Lines(batches=batches, fanout=fanout, buckets=3))
+    assert out.columns == [*docs.columns, "n_lines", "n_dropped"]
+    assert sorted((tuple(r) for r in line_dedup.digest(out).collect()), key=str) == brute_lines(rows)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("line_run")]
+
+
+def test_settled_lines_are_not_written_again(spark):
+    index = line_dedup.LineRuns(spark, line_dedup.Lines(fanout=3, buckets=2))
+    for batch in range(5):
+        docs = [(100 - batch * 10 - d, 1, 1) for d in range(10)] + [(100 - batch * 10, 2, batch)]
+        index.add(spark.createDataFrame(docs, "doc_id long, h1 long, h2 long"))
+    assert [len(level) for level in index.levels] == [2, 1]
+    held = sum(spark.table(n).where("h1 = 1").count() for n in index.runs())
+    assert held == 1  # frequent after the first batch
+    assert [tuple(r) for r in index.frequent().collect()] == [(1, 1, 100)]
+    index.close()
+
+
+def test_runs_of_lines_merge_without_a_shuffle(spark):
+    index = line_dedup.LineRuns(spark, line_dedup.Lines(fanout=9, buckets=2))
+    for batch in range(2):
+        index.add(spark.createDataFrame([(9 - batch, 1, 1)], "doc_id long, h1 long, h2 long"))
+    plan = index._merge(index.runs())._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan, plan
+    index.close()
+
+
+def test_lines_edge_cases(edge, nothing):
+    rows = [(r.doc_id, r.text) for r in edge.collect()]
+    out = line_dedup.without_lines(edge)
+    assert out.columns == [*edge.columns, "n_lines", "n_dropped"]
+    assert sorted((tuple(r) for r in line_dedup.digest(out).collect()), key=str) == brute_lines(rows)
+    assert line_dedup.without_lines(nothing).count() == 0

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, periodic_runs, pii, quality_rules, secret_scan, sentencepiece_codec, sharding, simhash, token_counts, topk, warc
+from . import line_dedup, packing, periodic_runs, pii, quality_rules, secret_scan, sentencepiece_codec, sharding, simhash, token_counts, topk, warc
 from .common import table
 
 
@@ -59,6 +59,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digest(periodic_runs.periodic_runs(periodic_runs.planted(table(spark, sf_dir, "documents"))))
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(line_dedup.without_lines(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_token_counts": op2_token_counts,
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_simhash": op10_simhash,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_line_dedup": op12_line_dedup,
 }
 
 SHARDING_SQL = f"""
@@ -133,4 +138,16 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM scored QUALIFY rank <= 5
 """
 
-ORACLE_SQL: dict[str, str] = {"op5_sharding": SHARDING_SQL, "op7_topk": TOPK_SQL, "op8_quality_rules": QUALITY_SQL}
+LINE_SQL = r"""
+WITH rows AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM rows),
+keyed AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+frequent AS (SELECT k, max(doc_id) AS holder FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+told AS (SELECT r, i, line, frequent.k IS NOT NULL AND doc_id IS DISTINCT FROM holder AS dropped FROM keyed LEFT JOIN frequent USING (k))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
+FROM told JOIN rows USING (r) GROUP BY r
+"""
+
+ORACLE_SQL: dict[str, str] = {"op5_sharding": SHARDING_SQL, "op7_topk": TOPK_SQL, "op8_quality_rules": QUALITY_SQL, "op12_line_dedup": LINE_SQL}
