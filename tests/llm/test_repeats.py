@@ -4,11 +4,12 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
-from tripmart.llm import catalog, line_dedup, periodic_runs
+from tripmart.llm import catalog, line_dedup, periodic_runs, spelling
 from tripmart.llm.common import table
 
 from ..conftest import SF_SMALL
@@ -200,3 +201,99 @@ def test_lines_edge_cases(edge, nothing):
     assert out.columns == [*edge.columns, "n_lines", "n_dropped"]
     assert sorted((tuple(r) for r in line_dedup.digest(out).collect()), key=str) == brute_lines(rows)
     assert line_dedup.without_lines(nothing).count() == 0
+
+
+def brute_near(a, b):
+    """Exactly one inserted, deleted or replaced code point."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return any(b[:i] + b[i + 1 :] == a for i in range(len(b))) if len(b) == len(a) + 1 else False
+
+
+def brute_variants(counts, ratio=5):
+    """Near words by shared deletions, each pair checked by its definition."""
+    holders = defaultdict(set)
+    for w in counts:
+        for i in range(len(w)):
+            holders[w[:i] + w[i + 1 :]].add(w)
+        holders[w].add(w)
+    near = defaultdict(set)
+    for some in holders.values():
+        for a in some:
+            near[a] |= {b for b in some if brute_near(a, b)}
+    form = {}
+    for w, n in counts.items():
+        best = min(near[w], key=lambda x: (-counts[x], x), default=None)
+        form[w] = best if best is not None and counts[best] >= ratio * n else None
+    out = []
+    for w, n in counts.items():
+        root = w
+        while form[root]:
+            root = form[root]
+        out.append((w, form[w], root, n, len(near[w]), counts.get(form[w])))
+    return sorted(out)
+
+
+def some_vocabulary(rng, n, letters="abÀé"):
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(6, 9))) for _ in range(n)]
+    for _ in range(n):
+        w = rng.choice(words)
+        i = rng.randrange(len(w))
+        words.append(rng.choice((w[:i] + rng.choice(letters) + w[i:], w[:i] + w[i + 1 :], w[:i] + "z" + w[i + 1 :])))
+    return {w: rng.choice((5, 6, 25, 30, 125, 700, 4000)) for w in words if len(w) >= 6}
+
+
+def test_acceptor_is_minimal_and_finds_all_pairs():
+    rng = random.Random(13)
+    for _ in range(60):
+        strings = sorted({"".join(rng.choice("abc") for _ in range(rng.choice((4, 4, 5)))) for _ in range(rng.randint(1, 60))})
+        machine = spelling.Acceptor(strings)
+        rights = {s[i:] for s in strings for i in range(len(s) + 1)}
+        languages = {frozenset(x[len(p) :] for x in strings if x.startswith(p)) for s in strings for p in (s[:i] for i in range(len(s) + 1))}
+        assert len(machine.arcs) == len(languages) and rights
+        for low, high in ((0, 99), (2, 99), (0, 2), (1, 3)):
+            first = lambda a, b: next((i for i in range(4) if a[i] != b[i]), 4)
+            want = sorted(tuple(sorted((a, b))) for a in strings for b in strings if a < b and min(len(a), len(b)) == 4 and brute_near(a, b) and low <= first(*sorted((a, b), key=len)) < high)
+            assert sorted(tuple(sorted(x)) for x in machine.near(4, low, high)) == want
+
+
+@pytest.mark.parametrize("most_words", [20_000, 6])
+def test_variants_are_brute_force(spark, most_words):
+    counts = some_vocabulary(random.Random(most_words), 700)
+    counts |= {"x" * 3000: 5, "x" * 3001: 25, "x" * 2999 + "y": 125, "aaaaaa": 5, "aaaaaaa": 25, "aaaaaaaa": 125}
+    words = spark.createDataFrame(list(counts.items()), "word string, n long")
+    got = spelling.variants(words, spelling.Spelling(most_words=most_words))
+    assert got.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    assert sorted(tuple(r) for r in got.collect()) == brute_variants(counts)
+    assert any(x[1] != x[2] and x[1] for x in brute_variants(counts))
+
+
+def brute_words(rows):
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", text or ""):
+            w = run.translate(lower)
+            h = None if doc_id is None else zlib.crc32(f"{doc_id}:{w}".encode())
+            if h is not None and h % 199 == 0:
+                w = w[: h % len(w)] + w[h % len(w) + 1 :]
+            counts[w] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 6 and n >= 5}
+
+
+def test_variants_of_documents_are_brute_force(spark):
+    docs = table(spark, SF_SMALL, "documents")
+    counts = brute_words([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+    want = brute_variants(counts)
+    assert sorted(tuple(r) for r in catalog.op13_spelling_variants(spark, SF_SMALL).collect()) == want
+    assert sum(x[1] is not None for x in want) > 10
+
+
+def test_variants_edge_cases(spark, edge, nothing):
+    docs = edge.unionByName(spark.createDataFrame([(i, "Straße ÀBCDEF àbcdef abcdef Abcdefg wordly x" * 3) for i in range(60)], "doc_id long, text string"), allowMissingColumns=True)
+    found = spelling.variants(spelling.vocabulary(spelling.slipped(spelling.occurrences(docs))))
+    counts = brute_words([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+    assert sorted(tuple(r) for r in found.collect()) == brute_variants(counts)
+    assert spelling.variants(spelling.vocabulary(spelling.slipped(spelling.occurrences(nothing)))).count() == 0

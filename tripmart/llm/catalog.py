@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, packing, periodic_runs, pii, quality_rules, secret_scan, sentencepiece_codec, sharding, simhash, token_counts, topk, warc
+from . import line_dedup, packing, periodic_runs, pii, quality_rules, secret_scan, sentencepiece_codec, sharding, simhash, spelling, token_counts, topk, warc
 from .common import table
 
 
@@ -63,6 +63,10 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(line_dedup.without_lines(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(spelling.slipped(spelling.occurrences(table(spark, sf_dir, "documents")))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_token_counts": op2_token_counts,
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": op10_simhash,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_line_dedup": op12_line_dedup,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 SHARDING_SQL = f"""
