@@ -48,8 +48,17 @@ def same(a: Column, b: Column) -> Column:
 
 def as_binary(col: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column, without decoding."""
-    kind = pa.large_binary() if pa.types.is_large_string(col.type) else pa.binary()
-    return col.cast(kind).to_pylist()
+    large = pa.types.is_large_string(col.type) or pa.types.is_large_binary(col.type)
+    col = col.cast(pa.large_binary() if large else pa.binary())
+    offsets = np.frombuffer(col.buffers()[1], np.int64 if large else np.int32)[col.offset : col.offset + len(col) + 1] if len(col) else np.zeros(1, np.int64)
+    if offsets[-1] == offsets[0]:
+        return [x.as_py() for x in col]
+    raw = col.buffers()[2][int(offsets[0]) : int(offsets[-1])].to_pybytes()
+    bounds = (offsets - offsets[0]).tolist()
+    out = [raw[a:b] for a, b in zip(bounds, bounds[1:])]
+    for i in np.flatnonzero(col.is_null().to_numpy(zero_copy_only=False)).tolist() if col.null_count else ():
+        out[i] = None
+    return out
 
 
 def splittable(df: DataFrame) -> DataFrame:
