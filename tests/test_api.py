@@ -27,6 +27,6 @@ def test_month_by_month_api(spark):
     assert api.build_location_gold(spark, t).agg({"total_trips": "sum"}).first()[0] == n
     assert api.build_shared_ride_gold(spark, t).agg({"total_trips": "sum"}).first()[0] == n
     checks = dict(api.run_data_quality_checks(spark, m, t))
-    assert checks["Silver row count"] == "PASS" and checks["Silver to Fact row reconciliation"] == "PASS"
+    assert checks["Silver row count"] == "PASS" and checks["Silver → Fact row reconciliation"] == "PASS"
     again = dict(api.run_month(spark, m, t, raw, lookup_csv=lookup))
     assert again == checks

@@ -41,7 +41,7 @@ EXTRACT_ROWS = 20
 # Names of the data-quality checks, in check order.
 CHECK_NAMES = {
     "N1": "Silver row count",
-    "N2": "Silver to Fact row reconciliation",
+    "N2": "Silver → Fact row reconciliation",
     "N3": "Duplicate trip key check",
     "N4": "Provider key coverage",
     "N5": "Location key coverage",

@@ -26,6 +26,11 @@ def dim_location(lookup: DataFrame) -> DataFrame:
     )
 
 
+def new_locations(zones: DataFrame, existing: DataFrame) -> DataFrame:
+    """Zones of a newer lookup that the dimension does not hold yet (those it holds never change)."""
+    return zones.join(existing.select("location_key"), "location_key", "left_anti").select(*existing.columns)
+
+
 def provider_name(code: Column, names: dict[str, str] | None = None) -> Column:
     """Licence code -> provider name through a literal map; unmapped -> Unknown."""
     names = names or C.PROVIDER_NAMES

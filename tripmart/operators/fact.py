@@ -23,14 +23,16 @@ def trip_key_ext() -> F.Column:
 
 
 def build_fact(silver: DataFrame, provider: DataFrame | None, location: DataFrame | None,
-               dispatch: DataFrame | None, settings: Settings = Settings(), columns: list[str] | None = None) -> DataFrame:
+               dispatch: DataFrame | None, settings: Settings = Settings(), columns: list[str] | None = None,
+               unresolved: str | None = None) -> DataFrame:
     """five left lookups (provider, pickup/dropoff location, dispatching/originating base).
 
     Each dimension is size- and uniqueness-checked once, then broadcast, so the
     fact side is never shuffled; rows are never dropped or multiplied. A dimension
     that is not given is not looked up, and its key columns are left out: a mart
     asks only for the keys it groups by. ``columns`` limits the output (and so what ``silver``
-    must hold) to some fact columns.
+    must hold) to some fact columns. ``unresolved`` names a helper column with the number of the row's
+    ids that no dimension has (ids that are there, but whose key is NULL).
     """
     f = silver.withColumns({"trip_key": trip_key(), "date_key": date_key("pickup_datetime")})
     cols = columns or FACT_COLUMNS
@@ -50,7 +52,7 @@ def build_fact(silver: DataFrame, provider: DataFrame | None, location: DataFram
                 "originating_base_key": F.col("originating_base_num"),
             }
         )
-        return f.select(*cols)
+        return f.select(*cols, *([F.lit(0).alias(unresolved)] if unresolved else []))
     looked_up = [
         (provider, "provider_code", "provider_key", {"hvfhs_license_num": "provider_key"}),
         (location, "location_id", "location_key", {"PULocationID": "pickup_location_key", "DOLocationID": "dropoff_location_key"}),
@@ -63,4 +65,9 @@ def build_fact(silver: DataFrame, provider: DataFrame | None, location: DataFram
         for fact_col, out in columns.items():
             f = lookup(f, side, fact_col, code, {key: out}, lim, verified=True, spread_nulls=not broadcast)
     left_out = {out for d, _, _, columns in looked_up if d is None for out in columns.values()}
-    return f.select(*[c for c in cols if c not in left_out])
+    extra = []
+    if unresolved:
+        pairs = [x for d, _, _, columns in looked_up if d is not None for x in columns.items()]
+        missing = [(F.col(i).isNotNull() & F.col(key).isNull()).cast("int") for i, key in pairs]
+        extra = [sum(missing, F.lit(0)).alias(unresolved)]
+    return f.select(*[c for c in cols if c not in left_out], *extra)

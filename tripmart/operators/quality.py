@@ -58,6 +58,37 @@ def daily_calendar_trips(daily: DataFrame) -> DataFrame:
     )
 
 
+SPILL_COLUMNS = ["source_month", "calendar_month", "date", "direction", "trips"]
+
+
+def spill_rows(parts: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """The dates by which N9's two sides differ, from month partials (``_source_month``, ``date_key``, ``total_trips``).
+
+    N9 holds the daily mart's trips of a calendar month against the fact rows of the file of that month.
+    Trips of the file whose date lies in another calendar month, in none that the calendar has, or is missing, are ``out`` rows of the
+    file's month; trips of other files whose date lies in the calendar month are ``in`` rows of it. One row per file month, date and
+    direction: (source_month, calendar_month, date, direction, trips). For every month that has a file,
+    N9's observed minus expected is the sum of ``in`` minus the sum of ``out``.
+    """
+    per_day = parts.groupBy("_source_month", "date_key").agg(F.sum("total_trips").alias("trips"))
+    dated = per_day.join(dim_date.select("date_key", "date"), "date_key", "left")
+    dated = dated.withColumn("calendar_month", F.date_format("date", "yyyy-MM"))
+    off = dated.where(~F.col("calendar_month").eqNullSafe(F.col("_source_month")))
+    out = off.select(F.col("_source_month").alias("source_month"), "calendar_month", "date", F.lit("out").alias("direction"), "trips")
+    months = parts.select(F.col("_source_month").alias("source_month")).distinct()
+    into = off.where(F.col("calendar_month").isNotNull()).groupBy(F.col("calendar_month").alias("source_month"), "calendar_month", "date").agg(F.sum("trips").alias("trips"))
+    into = into.join(months, "source_month", "left_semi").withColumn("direction", F.lit("in"))
+    # dates without a calendar entry are one row per file month
+    out = out.groupBy("source_month", "calendar_month", "date", "direction").agg(F.sum("trips").alias("trips"))
+    return out.select(*SPILL_COLUMNS).unionByName(into.select(*SPILL_COLUMNS))
+
+
+def spill_per_month(spilled: DataFrame) -> DataFrame:
+    """(source_month, spill_rows, spill_out, spill_in): ``spill_rows`` is what N9 is off by."""
+    n = lambda d: F.sum(F.when(F.col("direction") == d, F.col("trips")).otherwise(0)).cast("long")
+    return spilled.groupBy("source_month").agg((n("in") - n("out")).alias("spill_rows"), n("out").alias("spill_out"), n("in").alias("spill_in"))
+
+
 def _check(cid: str, status: Column, observed: Column, expected: Column) -> Column:
     return F.struct(
         F.lit(cid).alias("check_id"),

@@ -156,8 +156,9 @@ def q_scan_csv_lookup(spark, sf):
 
 
 def q_month_slice(spark, sf, month: str = "1995-01"):
-    """A4: partition-pruned month slice of the written Silver table."""
-    return readers.month_slice(Inputs(spark, sf).silver_by_month, month).drop(*RUN_DEPENDENT)
+    """A4: one month of Silver; the month is a range of order dates at the landing scan, nothing is written."""
+    prepare(spark)
+    return readers.month_slice(to_silver(bronze_view(spark, sf, [month])), month).drop(*RUN_DEPENDENT)
 
 
 def q_source_inventory(spark, sf):
@@ -171,25 +172,33 @@ def q_source_inventory(spark, sf):
 
 
 def q_rows_per_month(spark, sf):
-    """Rows per month of the persisted Silver table (read-back after the write)."""
-    return profile.group_count(Inputs(spark, sf).silver_by_month, ["_source_month"], "row_count")
+    """Rows per month of a persisted month table (read-back after the write); one narrow column besides the month is written."""
+    i = Inputs(spark, sf)
+    path = i.scratch("rows_per_month")
+    sinks.write_months(i.silver.select("hvfhs_license_num", "_source_month"), path)
+    return profile.group_count(readers.read_table(spark, path), ["_source_month"], "row_count")
 
 
 def q_schema_drift(spark, sf):
-    """Land a month, then a drifted copy (one column missing, one new, one retyped); report."""
+    """Two months land, the later one drifted (a column missing, one new, one retyped); the report names, from the
+    landed files of each month, the columns that differ and in how many of its rows they are filled."""
     from tripmart.schemas import drift
-    i = Inputs(spark, sf)
-    root = i.scratch("drift")
-    land_months(spark, sf, root)
-    good = readers.read_months(spark, root, schema=None).drop("month")
-    drifted = good.drop("cbd_congestion_fee").withColumn("surge_fee", F.lit(0.0)).withColumn(
-        "trip_time", F.col("trip_time").cast("double"))
-    dpath = i.scratch("drift_landing")
-    drifted.write.parquet(dpath)
-    rows = [("declared", *d) for d in drift(TRIP_SOURCE, good.schema)]
-    rows += [("drifted", *d) for d in drift(TRIP_SOURCE, spark.read.parquet(dpath).schema)]
-    return spark.createDataFrame(
-        rows, "landing string, column_name string, change string, expected_type string, actual_type string")
+    prepare(spark)
+    root = scratch_root(spark, "drift")
+    a, b = spark.read.parquet(f"{sf}/orders.parquet").agg(*(F.date_format(f("o_orderdate"), "yyyy-MM") for f in (F.min, F.max))).first()
+    land_months(spark, sf, root, [a])
+    surge = F.when(F.col("trip_time") > 600, F.lit(1.5))
+    drifted = bronze_view(spark, sf, [b]).select(*TRIP_SOURCE.names).drop("cbd_congestion_fee").withColumn("surge_fee", surge)
+    drifted.withColumn("trip_time", F.col("trip_time").cast("double")).write.parquet(f"{root}/raw/month={b}")
+    out = None
+    for month in (a, b):
+        landed = readers.read_months(spark, root, [month], schema=None, merge_schema=True).drop("month")
+        for name, change, expected, actual in drift(TRIP_SOURCE, landed.schema):
+            filled = F.count(F.col(name) if actual else F.lit(None)).alias("filled_rows")
+            row = landed.agg(filled).select(F.lit(name).alias("column_name"), F.lit(change).alias("change"), F.lit(expected).cast("string").alias("expected_type"),
+                                            F.lit(actual).cast("string").alias("actual_type"), "filled_rows", F.lit(month).alias("month"))
+            out = row if out is None else out.unionByName(row)
+    return out
 
 
 # ---------------------------------------------------------------------------
@@ -574,7 +583,9 @@ CHECK_KEYS = ["trip_key", "date_key", "provider_key", "pickup_location_key", "dr
 def _check_silver(i: Inputs) -> DataFrame:
     """The Silver columns that the checks and marts read, written once: several passes follow."""
     cols = dict.fromkeys([*TRIP_KEY_COLUMNS, "dispatching_base_num", "originating_base_num", *CHECK_MEASURES])
-    return i.materialize(i.silver.select(*cols), "check_silver")
+    written = i.materialize(i.silver.select(*cols), "check_silver")
+    i.members = dims.member_values(written).checkpoint(eager=True)  # from the table, not from a second landing join
+    return written
 
 
 def _check_fact(silver: DataFrame, provider: DataFrame, location: DataFrame, dispatch: DataFrame) -> DataFrame:
@@ -638,6 +649,25 @@ def q_dq_gold_reconciliation(spark, sf):
     return r.where(F.col("check_id").isin("N9", "N10", "N11"))
 
 
+def _spilled(spark, sf) -> tuple[Inputs, DataFrame]:
+    """Trips per file month and date, written: the calendar and both sides of the spill come from it."""
+    i = Inputs(spark, sf)
+    per_day = i.fact_of().groupBy("_source_month", "date_key").agg(F.count(F.lit(1)).alias("total_trips"))
+    parts = i.materialize(per_day, "spill_parts")
+    days = parts.select(F.to_timestamp(F.col("date_key").cast("string"), "yyyyMMdd").alias("pickup_datetime"))
+    return i, quality.spill_rows(parts, dims.dim_date_for(days))
+
+
+def q_dq_spill_rows(spark, sf):
+    """Which dates of a file month's trips lie in another calendar month, from both months' sides."""
+    return _spilled(spark, sf)[1]
+
+
+def q_dq_spill_months(spark, sf):
+    """By how many rows N9's two sides differ in each month that trips spill out of or into."""
+    return quality.spill_per_month(_spilled(spark, sf)[1])
+
+
 # ---------------------------------------------------------------------------
 # 2.14 orchestration
 
@@ -686,6 +716,62 @@ def q_published_gold_location(spark, sf):
     return r._read("gold_location")
 
 
+def q_landing_reissue(spark, sf):
+    """Skip mode notices changed landing files. After a first run the first month is re-issued without the trips
+    of zones 0 to 4, the second gets one more file (its shared requests again) and a file of the third (zones 0 to 12) is taken away;
+    the second run loads just these. One row per month: what the second run did and Silver's rows."""
+    prepare(spark)
+    root = scratch_root(spark, "reissue")
+    land_months(spark, sf, root)
+    months = landing_months(spark, root)
+    raw = readers.read_months(spark, root, months[:3]).checkpoint(eager=True)  # its files are about to be replaced
+    zone = F.col("PULocationID")
+    third = f"{root}/raw/month={months[2]}"
+    lower = raw.where((F.col("month") == months[2]) & (zone < 13)).drop("month").coalesce(1)
+    sinks.relay(raw.where((F.col("month") == months[2]) & (zone >= 13)).drop("month"), third)
+    others = set(sinks.data_files(spark, third))
+    lower.write.mode("append").parquet(third)
+    r = MonthRunner(spark, Tables(root=root), root)
+    r.silver(r.bronze(months))
+    sinks.relay(raw.where((F.col("month") == months[0]) & (zone >= 5)).drop("month"), f"{root}/raw/month={months[0]}")
+    raw.where((F.col("month") == months[1]) & (F.col("shared_request_flag") == "Y")).drop("month").write.mode("append").parquet(f"{root}/raw/month={months[1]}")
+    sinks.remove_files(spark, set(sinks.data_files(spark, third)) - others)
+    again = MonthRunner(spark, Tables(root=root), root)
+    again.bronze(months)
+    again.silver(months)
+    did = again.results_frame().where(F.col("stage") == "silver").select("month", F.col("status").alias("second_run"))
+    rows = again._read("silver").groupBy(F.col("_source_month").alias("month")).agg(F.count(F.lit(1)).alias("silver_rows"))
+    return did.join(rows, "month")
+
+
+def q_late_members(spark, sf):
+    """A fact built while the zone lookup lacks zones 20 to 24 and the dispatch dimension its smallest base; when
+    both arrive, only the months with trips of these are rewritten. Per month: rewritten or not, ids without key before and after, fact rows."""
+    prepare(spark)
+    r, months = _runner(spark, sf, "late_members")
+    zones, lookup = r.lookup_csv, f"{r.raw}/first_zones"
+    readers.read_lookup_csv(spark, zones).where("LocationID < 20").write.option("header", True).csv(lookup)
+    r.bronze(months)
+    r.silver(months)
+    r.lookup_csv = lookup
+    r.dimensions(months)
+    known = r._read("dim_dispatch")
+    early = known.where(F.col("base_num") > known.agg(F.min("base_num")).first()[0]).checkpoint(eager=True)
+    sinks.rebuild(early, r.t.path("dim_dispatch"))
+    r.fact(months)
+    before = {m: e.unresolved for m, e in r._entries()["fact"].items()}
+    r.lookup_csv = zones
+    again = MonthRunner(spark, r.t, r.raw, Settings(load_mode="replace"), lookup_csv=zones)
+    again.dimensions(months)
+    late = MonthRunner(spark, r.t, r.raw, lookup_csv=zones)
+    rewritten = late.resolve_late_members()
+    entries = late._entries()["fact"]
+    rows = [(m, m in rewritten, before[m], entries[m].unresolved) for m in months]
+    told = spark.createDataFrame(rows, "source_month string, rewritten boolean, unresolved_before long, unresolved_after long")
+    facts = late._read("fact").groupBy(F.col("_source_month").alias("source_month")).agg(F.count(F.lit(1)).alias("fact_rows"))
+    return told.join(facts, "source_month")
+
+
 def q_idempotent_reload(spark, sf):
     """O3: run all months, then run them again; row counts of every table after the replay."""
     prepare(spark)

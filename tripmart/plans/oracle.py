@@ -262,7 +262,7 @@ def _checks(silver: str, fact: str, with_gold: bool, overall: bool, zones: str =
 , rep AS (
   SELECT m AS source_month, 'N1' AS check_id, 'Silver row count' AS check_name,
          CASE WHEN sr > 0 THEN 'PASS' ELSE 'FAIL' END AS status, sr AS observed, CAST(1 AS BIGINT) AS expected FROM mm
-  UNION ALL SELECT m, 'N2', 'Silver to Fact row reconciliation', CASE WHEN fr = sr THEN 'PASS' ELSE 'FAIL' END, fr, sr FROM mm
+  UNION ALL SELECT m, 'N2', 'Silver → Fact row reconciliation', CASE WHEN fr = sr THEN 'PASS' ELSE 'FAIL' END, fr, sr FROM mm
   UNION ALL SELECT m, 'N3', 'Duplicate trip key check', CASE WHEN dup = 0 THEN 'PASS' ELSE 'FAIL' END, dup, 0 FROM mm
   UNION ALL SELECT m, 'N4', 'Provider key coverage', CASE WHEN np = 0 THEN 'PASS' ELSE 'FAIL' END, np, 0 FROM mm
   UNION ALL SELECT m, 'N5', 'Location key coverage', CASE WHEN npu = 0 AND ndo = 0 THEN 'PASS' ELSE 'FAIL' END, npu + ndo, 0 FROM mm
@@ -365,7 +365,19 @@ SELECT CAST((SELECT coalesce(MAX(dispatch_key), 0) FROM k1) + row_number() OVER
 """
 
 
+def _spill(fact: str = "fact") -> str:
+    """Dates of the file months' trips that lie in other calendar months, from both sides."""
+    month = "strftime(dd.date, '%Y-%m')"
+    return f"""SELECT f._source_month AS source_month, {month} AS calendar_month, dd.date AS date, 'out' AS direction, CAST(COUNT(*) AS BIGINT) AS trips
+FROM {fact} f LEFT JOIN dim_date dd ON f.date_key = dd.date_key WHERE {month} IS DISTINCT FROM f._source_month GROUP BY 1, 2, 3
+UNION ALL
+SELECT {month}, {month}, dd.date, 'in', CAST(COUNT(*) AS BIGINT)
+FROM {fact} f JOIN dim_date dd ON f.date_key = dd.date_key
+WHERE {month} <> f._source_month AND {month} IN (SELECT _source_month FROM {fact}) GROUP BY 1, 2, 3"""
+
+
 def queries() -> dict[str, str]:
+    spill = _spill()
     daily = _daily()
     loc = _location()
     shared = _shared()
@@ -550,9 +562,31 @@ def queries() -> dict[str, str]:
         "published_gold_location": loc,
         "scan_csv_lookup": "SELECT * FROM lookup",
         "schema_drift": (
-            "SELECT * FROM (VALUES ('drifted', 'cbd_congestion_fee', 'missing', 'double', NULL), "
-            "('drifted', 'surge_fee', 'new', NULL, 'double'), ('drifted', 'trip_time', 'retyped', 'bigint', 'double')) "
-            "AS t(landing, column_name, change, expected_type, actual_type)"),
+            ", ends AS (SELECT MIN(_source_month) AS a, MAX(_source_month) AS b FROM trips), "
+            "n AS (SELECT CAST(COUNT(*) AS BIGINT) AS landed_rows, CAST(count_if(trip_time > 600) AS BIGINT) AS long_trips "
+            "FROM trips WHERE _source_month = (SELECT b FROM ends)) "
+            "SELECT t.*, CASE WHEN change = 'missing' THEN 0 WHEN change = 'new' THEN long_trips ELSE landed_rows END AS filled_rows, b AS month "
+            "FROM n, ends, (VALUES ('cbd_congestion_fee', 'missing', 'double', NULL), "
+            "('surge_fee', 'new', NULL, 'double'), ('trip_time', 'retyped', 'bigint', 'double')) "
+            "AS t(column_name, change, expected_type, actual_type)"),
+        "dq_spill_rows": spill,
+        "dq_spill_months": (
+            f", spilled AS ({spill}) SELECT source_month, CAST(coalesce(SUM(trips) FILTER (direction = 'in'), 0) - coalesce(SUM(trips) FILTER (direction = 'out'), 0) AS BIGINT) AS spill_rows, "
+            "CAST(coalesce(SUM(trips) FILTER (direction = 'out'), 0) AS BIGINT) AS spill_out, CAST(coalesce(SUM(trips) FILTER (direction = 'in'), 0) AS BIGINT) AS spill_in "
+            "FROM spilled GROUP BY source_month"),
+        "landing_reissue": (
+            ", m AS (SELECT _source_month AS month, row_number() OVER (ORDER BY _source_month) AS i FROM (SELECT DISTINCT _source_month FROM trips)) "
+            "SELECT t._source_month AS month, CASE WHEN i <= 3 THEN 'loaded' ELSE 'skipped' END AS second_run, "
+            "CAST(SUM(CASE WHEN i = 1 THEN CAST(PULocationID >= 5 AS INT) WHEN i = 2 THEN 1 + CAST(coalesce(shared_request_flag = 'Y', false) AS INT) "
+            "WHEN i = 3 THEN CAST(PULocationID >= 13 AS INT) ELSE 1 END) AS BIGINT) AS silver_rows "
+            "FROM trips t JOIN m ON m.month = t._source_month GROUP BY 1, 2"),
+        "late_members": (
+            ", lowest AS (SELECT MIN(base_num) AS b FROM dim_dispatch), o AS (SELECT s._source_month AS source_month, "
+            "coalesce(PULocationID BETWEEN 20 AND 24, false)::INT + coalesce(DOLocationID BETWEEN 20 AND 24, false)::INT "
+            "+ coalesce(dispatching_base_num = b, false)::INT + coalesce(originating_base_num = b, false)::INT AS late, "
+            "coalesce(PULocationID >= 25, false)::INT + coalesce(DOLocationID >= 25, false)::INT AS never FROM silver s, lowest) "
+            "SELECT source_month, SUM(late) > 0 AS rewritten, CAST(SUM(late + never) AS BIGINT) AS unresolved_before, "
+            "CAST(SUM(never) AS BIGINT) AS unresolved_after, CAST(COUNT(*) AS BIGINT) AS fact_rows FROM o GROUP BY 1"),
         "run_month_report": _checks("silver", "fact", with_gold=True, overall=True),
         "incremental_two_months": daily,
         "idempotent_reload": "\nUNION ALL ".join([

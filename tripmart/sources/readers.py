@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +42,34 @@ def read_months(spark: SparkSession, raw_base: str, months: list[str] | None = N
         raise
 
 
+def fingerprints(spark: SparkSession, raw_base: str, months: list[str]) -> dict[str, str]:
+    """What has landed for each month, as a digest of its files' names, sizes and times.
+
+    A listing of these folders, no file is opened; a month without a folder has none.
+    """
+    out = {}
+    for m in sorted(set(months)):
+        fs, path = file_system(spark, f"{raw_base}/raw/month={m}")
+        if fs.exists(path):
+            out[m] = _digest(fs, path)
+    return out
+
+
+def fingerprint(spark: SparkSession, location: str) -> str:
+    """The same digest of one file or folder."""
+    return _digest(*file_system(spark, location))
+
+
+def _digest(fs, path) -> str:
+    files, listing = [], fs.listFiles(path, True)
+    while listing.hasNext():
+        f = listing.next()
+        name = f.getPath().toString()
+        if not name.rsplit("/", 1)[-1].startswith(("_", ".")):
+            files.append(f"{name}\t{f.getLen()}\t{f.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(files)).encode()).hexdigest()
+
+
 def read_lookup_csv(spark: SparkSession, path: str, schema: T.StructType = LOCATION_LOOKUP) -> DataFrame:
     """A2: CSV lookup with header and a declared schema (saves the inference pass)."""
     return spark.read.option("header", True).schema(schema).csv(path)
@@ -66,6 +96,11 @@ def month_slice(df: DataFrame, month: str, col: str = "_source_month") -> DataFr
     return df.where(F.col(col) == month)
 
 
+def folder_exists(spark: SparkSession, location: str) -> bool:
+    fs, path = file_system(spark, location)
+    return fs.exists(path)
+
+
 def table_exists(spark: SparkSession, target: str, fmt: str = "parquet") -> bool:
     """Does the table exist? Only a missing path (or a folder without files) means no; any other failure is raised."""
     if not is_path(target):

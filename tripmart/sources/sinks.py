@@ -11,6 +11,7 @@ executor lost mid-write is simply retried by Spark's commit protocol.
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -26,9 +27,14 @@ def _put(df: DataFrame, target: str, fmt: str, mode: str, part_col: str | None =
 
 
 def write_months(df: DataFrame, target: str, fmt: str = "parquet", part_col: str = "_source_month",
-                 cluster: bool = True) -> None:
+                 cluster: bool = True, months: list[str] | None = None, unresolved: str | None = None) -> dict[str, tuple[int, int]]:
     """B1/B2: write (replace) the frame's months; months that are not in the frame stay.
 
+    With ``months``, the rows of each are counted while they are written (B8, B11: neither the source nor
+    the table is read again) and returned as month -> (rows, sum of ``unresolved``), a helper column that
+    is not written. The counts are taken behind the last shuffle, so a stage that runs again after
+    a lost executor is not counted twice.
+
     ``cluster``: rows not already grouped by month are clustered first, so each
     month gets few files instead of (tasks x months). REBALANCE lets AQE split a
     hot month over several tasks and merge small ones, without a sampling pass.
@@ -38,10 +44,29 @@ def write_months(df: DataFrame, target: str, fmt: str = "parquet", part_col: str
     if cluster:
         df = df.hint("rebalance", part_col)
     spark = df.sparkSession
+    seen = Observation("rows_written") if months else None
+    if seen is not None:
+        # one metric whatever the number of months: the counts of all (month, unresolved) values, which the sketch
+        # keeps exactly as long as there are fewer than three quarters of the items it may track
+        size = max(4096, 16 * len(months))
+        item = F.concat_ws("|", F.col(part_col), F.col(unresolved).cast("long") if unresolved else F.lit(0))
+        df = df.withColumn("__item", item).observe(seen, F.count(F.lit(1)).alias("rows"), F.to_json(F.expr(f"approx_top_k(__item, {size}, {size})")).alias("counts")).drop("__item")
+    if unresolved:
+        df = df.drop(unresolved)
     if not is_path(target) and spark.catalog.tableExists(target):  # a named table keeps its other partitions only this way
         df.select(*spark.table(target).columns).write.mode("overwrite").insertInto(target)
-        return
-    _put(df, target, fmt, "overwrite", part_col, partitionOverwriteMode="dynamic")
+    else:
+        _put(df, target, fmt, "overwrite", part_col, partitionOverwriteMode="dynamic")
+    out = dict.fromkeys(months or [], (0, 0))
+    if seen is not None and seen.get["rows"]:
+        found = [(*x["item"].rsplit("|", 1), x["count"]) for x in json.loads(seen.get["counts"])]
+        if sum(n for _, _, n in found) != seen.get["rows"]:
+            raise RuntimeError("more months than the observed counts can hold")
+        for m, u, n in found:
+            rows, left = out.get(m, (0, 0))
+            out[m] = rows + n, left + n * int(u)
+    return out
+
 
 
 def drop_months(spark: SparkSession, target: str, months: set[str], part_col: str = "_source_month") -> None:
@@ -54,6 +79,19 @@ def drop_months(spark: SparkSession, target: str, months: set[str], part_col: st
             spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({part_col}='{m}')")
 
 
+def month_folders(spark: SparkSession, target: str, part_col: str = "_source_month") -> list[str]:
+    """Months that a table has a partition of: a listing, no job."""
+    if not is_path(target):
+        if not spark.catalog.tableExists(target):
+            return []
+        return sorted(r[0].split(f"{part_col}=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {target}").collect())
+    fs, path = file_system(spark, target)
+    if not fs.exists(path):
+        return []
+    names = (f.getPath().getName() for f in fs.listStatus(path) if f.isDirectory())
+    return sorted(n.removeprefix(f"{part_col}=") for n in names if n.startswith(f"{part_col}="))
+
+
 def month_rows(df: DataFrame, months: list[str], part_col: str = "_source_month") -> dict[str, int]:
     """Rows of each month that has any (on a month-partitioned table: partition pruning and row counts of footers)."""
     got = df.where(F.col(part_col).isin(sorted(set(months)))).groupBy(part_col).agg(F.count(F.lit(1)).alias("n"))
@@ -68,6 +106,24 @@ def rebuild(df: DataFrame, target: str, fmt: str = "parquet") -> int:
     return int(obs.get.get("rows", 0))
 
 
+def relay(df: DataFrame, folder: str) -> None:
+    """Replaces the files of one landing folder (whose rows ``df`` must not read from it)."""
+    _put(df, folder, "parquet", "overwrite", partitionOverwriteMode="static")
+
+
+def data_files(spark: SparkSession, folder: str) -> list[str]:
+    """Files of one folder, without markers and hidden ones."""
+    fs, path = file_system(spark, folder)
+    names = [f.getPath() for f in fs.listStatus(path) if f.isFile()]
+    return sorted(p.toString() for p in names if not p.getName().startswith(("_", ".")))
+
+
+def remove_files(spark: SparkSession, files: set[str]) -> None:
+    for f in sorted(files):
+        fs, path = file_system(spark, f)
+        fs.delete(path, False)
+
+
 def append(df: DataFrame, target: str, fmt: str = "parquet") -> int:
     """B5 replacement: append only a computed delta (never read-modify-overwrite one table)."""
     obs = Observation("rows_appended")
@@ -83,10 +139,16 @@ def months_present(spark: SparkSession, path: str, months: list[str], fmt: str =
     return set(month_rows(read_table(spark, path, fmt), months, part_col))
 
 
-def ledger_append(spark: SparkSession, path: str, rows: list[tuple], fmt: str = "parquet") -> None:
-    """Run ledger: (month, stage, status, rows, finished_at), one row per stage and month,
+LEDGER = "month string, stage string, status string, rows long, finished_at timestamp_ntz, fingerprint string, unresolved long"
+
+
+def ledger_append(spark: SparkSession, path: str, rows: list[tuple], fmt: str = "parquet") -> dt.datetime:
+    """Run ledger: (month, stage, status, rows, fingerprint, unresolved) with the time, one row per stage and month,
     appended right after the stage's write committed; the status of a month without rows is ``empty``."""
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    data = [(m, s, st, int(n), now) for (m, s, st, n) in rows]
-    df = spark.createDataFrame(data, "month string, stage string, status string, rows long, finished_at timestamp_ntz")
+    data = [(m, s, st, int(n), now, fp, un) for (m, s, st, n, fp, un) in rows]
+    df = spark.createDataFrame(data, LEDGER).coalesce(1)
+    if not is_path(path) and spark.catalog.tableExists(path):
+        df = df.select(*spark.table(path).columns)  # a ledger of an earlier version has fewer columns
     _put(df, path, fmt, "append")
+    return now
