@@ -73,6 +73,23 @@ def test_bad_hosts_lose_their_marginal_documents(spark):
     assert [r.bad for r in quality_rules.host_verdicts(quality_rules.measures(spark.createDataFrame(rows, "doc_id long, text string, source string"))).where("host = 'bad' and rule = 'symbols'").collect()] == [True]
 
 
+def _hosts(spark, sizes):
+    """Documents of hosts given as name -> (documents, those that break the symbol rule); the verdict per host."""
+    good = " ".join(f"w{i}" for i in range(60))
+    noisy = good + " ###################"
+    rows = [(n, noisy if i < fails else good, host) for n, (host, docs, fails) in enumerate(sizes) for i in range(docs)]
+    verdicts = quality_rules.host_verdicts(quality_rules.measures(spark.createDataFrame(rows, "doc_id long, text string, source string")))
+    return {r.host: r.bad for r in verdicts.where("rule = 'symbols'").collect()}
+
+
+def test_a_host_is_held_against_all_others(spark):
+    others = [(f"h{i}", 60, 6) for i in range(10)]
+    assert [h for h, bad in _hosts(spark, [("third", 300, 180), *others]).items() if bad] == ["third"]  # a third of all rows
+    many = [(f"h{i}", 60, 33) for i in range(10)]  # most documents of the corpus break the rule
+    assert [h for h, bad in _hosts(spark, [("worse", 300, 285), *many]).items() if bad] == ["worse"]
+    assert not any(_hosts(spark, [("alone", 100, 90)]).values())
+
+
 BASE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",

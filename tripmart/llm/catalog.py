@@ -122,11 +122,11 @@ ruled AS (
     {{'rule': 'word_length', 'broken': word_chars < n_words * 2.0 OR word_chars > n_words * 15.0}},
     {{'rule': 'repeats', 'broken': n_repeat_words * 100 > n_words * 20}}], recursive := true) FROM measured),
 hosts AS (SELECT host, rule, count(*)::DOUBLE AS docs, count(*) FILTER (broken)::DOUBLE AS fails FROM ruled GROUP BY host, rule),
-moments AS (SELECT rule, sum(docs) AS n, sum(fails) / sum(docs) AS m, sum(fails * fails / docs) AS sq, count(*) AS k FROM hosts GROUP BY rule),
-prior AS (SELECT rule, m, least(greatest(m * (1 - m) / greatest(sq / n - m * m - m * (1 - m) * k / n, 1e-9) - 1, 1.0), 1e6) AS k FROM moments),
-bad AS (
-  SELECT host, rule FROM hosts JOIN prior USING (rule)
-  WHERE (fails + m * k) / (docs + k) >= 0.25 AND (fails + m * k) / (docs + k) >= 2.0 * m),
+moments AS (SELECT rule, sum(docs) AS n, sum(fails) AS f, sum(fails) / sum(docs) AS m, sum(fails * fails / docs) AS sq, count(*) AS k FROM hosts GROUP BY rule),
+prior AS (SELECT rule, n, f, least(greatest(m * (1 - m) / greatest(sq / n - m * m - m * (1 - m) * k / n, 1e-9) - 1, 1.0), 1e6) AS k FROM moments),
+against AS (SELECT host, rule, docs, fails, k, CASE WHEN n > docs THEN (f - fails) / (n - docs) END AS o FROM hosts JOIN prior USING (rule)),
+shrunk AS (SELECT host, rule, o, (fails + o * k) / (docs + k) AS rate FROM against),
+bad AS (SELECT host, rule FROM shrunk WHERE rate >= 0.25 AND rate * (1 - o) >= 2.0 * o * (1 - rate)),
 out_of_place AS (SELECT DISTINCT ruled.r FROM ruled JOIN bad ON ruled.host IS NOT DISTINCT FROM bad.host AND ruled.rule = bad.rule WHERE broken)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,

@@ -2,8 +2,10 @@
 
 Each document is measured once (words, symbols, repeated lines and word windows).
 The outcomes of the rules are summed per host, the host's failure rate of each rule
-is shrunk with a beta prior fitted to all hosts (method of moments), and a host whose
-shrunk rate is far above the corpus is *bad* for that rule. The verdict is joined back:
+is shrunk with an empirical beta prior (mean: the rate of all other hosts; strength: fitted to all
+hosts by moments), and a host is *bad* for that rule if its shrunk rate is high and its odds are far above
+those of all other hosts. The host itself is not in what it is held against, so a host of any share of the rows can be bad,
+and odds leave room above every rate. Where there is no other host, none is bad. The verdict is joined back:
 a document is dropped if it breaks a base rule, or if it breaks a host rule for which
 its host is bad. A document that breaks no rule is kept wherever it comes from.
 
@@ -39,7 +41,7 @@ class QualityRules:
     min_mean_word: float = 2.0
     max_mean_word: float = 15.0
     soft_repeat_pct: int = 20
-    #: a host is bad for a rule if its shrunk rate reaches both of these
+    #: a host is bad for a rule if its shrunk rate reaches the first and its odds the second times the other hosts' odds
     bad_rate: float = 0.25
     bad_lift: float = 2.0
 
@@ -94,25 +96,30 @@ def measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host:
 
 
 def host_verdicts(measured: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
-    """One row per host and rule: documents, failures, shrunk rate, ``bad``.
+    """One row per host and rule: documents, failures, shrunk rate, the other hosts' rate, ``bad``.
 
-    The prior of a rule is Beta(m k, (1 - m) k): m is the corpus rate, and k comes from the
-    variance of the host rates beyond what binomial noise explains.
+    The prior of a host and rule is Beta(o k, (1 - o) k): o is the rate of all other hosts, and k comes
+    from the variance of the host rates beyond what binomial noise explains.
     """
     hard = rules.host_rules()
     per_host = measured.groupBy("host").agg(F.count(F.lit(1)).alias("docs"), *(F.count_if(c).alias(r) for r, c in hard.items()))
     long = per_host.select("host", "docs", F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), F.col(r).alias("fails")) for r in hard))).alias("x")).select("host", "docs", "x.*")
     prior = long.groupBy("rule").agg(
         F.sum("docs").cast("double").alias("all_docs"),
+        F.sum("fails").cast("double").alias("all_fails"),
         (F.sum("fails") / F.sum("docs")).alias("m"),
         F.sum(F.col("fails").cast("double") * F.col("fails") / F.col("docs")).alias("squares"),
         F.count(F.lit(1)).alias("hosts"),
     )
     noise = F.col("m") * (1 - F.col("m"))
     between = F.greatest(F.col("squares") / F.col("all_docs") - F.col("m") * F.col("m") - noise * F.col("hosts") / F.col("all_docs"), F.lit(1e-9))
-    prior = prior.select("rule", "m", F.least(F.greatest(noise / between - 1, F.lit(1.0)), F.lit(1e6)).alias("k"))
-    rate = (F.col("fails") + F.col("m") * F.col("k")) / (F.col("docs") + F.col("k"))
-    return long.join(prior, "rule").select("host", "rule", "docs", "fails", rate.alias("rate"), ((rate >= rules.bad_rate) & (rate >= rules.bad_lift * F.col("m"))).alias("bad"))
+    prior = prior.select("rule", "all_docs", "all_fails", F.least(F.greatest(noise / between - 1, F.lit(1.0)), F.lit(1e6)).alias("k"))
+    others = F.when(F.col("all_docs") > F.col("docs"), (F.col("all_fails") - F.col("fails")) / (F.col("all_docs") - F.col("docs")))
+    held = long.join(prior, "rule").withColumn("others", others)
+    rate = (F.col("fails") + F.col("others") * F.col("k")) / (F.col("docs") + F.col("k"))
+    above = F.col("rate") * (1 - F.col("others")) >= rules.bad_lift * F.col("others") * (1 - F.col("rate"))
+    bad = F.coalesce((F.col("rate") >= rules.bad_rate) & above, F.lit(False))
+    return held.withColumn("rate", rate).select("host", "rule", "docs", "fails", "rate", "others", bad.alias("bad"))
 
 
 def apply_rules(docs: DataFrame, rules: QualityRules = QualityRules(), doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
