@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tripmart.sources.readers import file_system, is_path, read_table, table_exists
 
 
-def _put(df: DataFrame, target: str, fmt: str, mode: str, part_col: str | None = None, **options: str) -> None:
+def _put(df: DataFrame, target: str, fmt: str, mode: str, part_col: str | list[str] | None = None, **options: str) -> None:
     w = df.write.format(fmt).mode(mode).options(**options)
     if part_col:
         w = w.partitionBy(part_col)
@@ -27,13 +27,13 @@ def _put(df: DataFrame, target: str, fmt: str, mode: str, part_col: str | None =
 
 
 def write_months(df: DataFrame, target: str, fmt: str = "parquet", part_col: str = "_source_month",
-                 cluster: bool = True, months: list[str] | None = None, unresolved: str | None = None) -> dict[str, tuple[int, int]]:
+                 cluster: bool = True, months: list[str] | None = None, unresolved: str | None = None, outer: str | None = None) -> dict[str, tuple[int, int]]:
     """B1/B2: write (replace) the frame's months; months that are not in the frame stay.
 
     With ``months``, the rows of each are counted while they are written (B8, B11: neither the source nor
     the table is read again) and returned as month -> (rows, sum of ``unresolved``), a helper column that
     is not written. The counts are taken behind the last shuffle, so a stage that runs again after
-    a lost executor is not counted twice.
+    a lost executor is not counted twice. ``outer`` names a column that is partitioned by before the month.
 
     ``cluster``: rows not already grouped by month are clustered first, so each
     month gets few files instead of (tasks x months). REBALANCE lets AQE split a
@@ -56,7 +56,7 @@ def write_months(df: DataFrame, target: str, fmt: str = "parquet", part_col: str
     if not is_path(target) and spark.catalog.tableExists(target):  # a named table keeps its other partitions only this way
         df.select(*spark.table(target).columns).write.mode("overwrite").insertInto(target)
     else:
-        _put(df, target, fmt, "overwrite", part_col, partitionOverwriteMode="dynamic")
+        _put(df, target, fmt, "overwrite", [outer, part_col] if outer else part_col, partitionOverwriteMode="dynamic")
     out = dict.fromkeys(months or [], (0, 0))
     if seen is not None and seen.get["rows"]:
         found = [(*x["item"].rsplit("|", 1), x["count"]) for x in json.loads(seen.get["counts"])]
