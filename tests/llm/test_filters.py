@@ -409,7 +409,6 @@ def test_pipeline_is_brute_force(spark, edge):
     from tokenizers import Tokenizer
 
     tokens = Tokenizer.from_file(packing.Packing().tokenizer)
-    tokens.encode_special_tokens = True
     got = {}
     for p in corpus_pipeline.run(spark, SF_SMALL).collect():
         got.setdefault(p.doc_id, {})[p.start] = p.ids
