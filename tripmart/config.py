@@ -74,6 +74,7 @@ class Tables:
     gold_location: str = "gold_location"
     gold_shared: str = "gold_shared_ride"
     runs: str = "run_ledger"
+    quarantine: str = "quarantine_trips"
     database: str | None = None
 
     def path(self, name: str) -> str:
@@ -93,4 +94,7 @@ class Settings:
     extreme_duration_s: int = EXTREME_DURATION_S
     wide_trip_key: bool = False  # add trip_key_ext: a second, independent 64-bit hash (128-bit identity)
     broadcast_limit_rows: int = 1_000_000  # dimension sides above this are shuffled (AQE may still broadcast)
+    landing_format: str = "parquet"  # "csv": months land as text, rows that do not fit go to the quarantine table
+    landing_header: bool = True  # of text landings: the first line of every file names the columns
+    required_columns: tuple[str, ...] = ()  # of text landings: a row without one of these is quarantined
     provider_names: dict = field(default_factory=lambda: dict(PROVIDER_NAMES))

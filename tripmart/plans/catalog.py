@@ -22,8 +22,8 @@ from tripmart.operators.silver import to_silver
 from tripmart.plans.monthly import MonthRunner, landing_months
 from tripmart.schemas import SILVER_COLUMNS, TRIP_KEY_COLUMNS, TRIP_SOURCE
 from tripmart.session import prepare, scratch_root, shared_dir
-from tripmart.sources import readers, sinks
-from tripmart.sources.fixture import bronze_view, land_months, location_lookup
+from tripmart.sources import quarantine, readers, sinks
+from tripmart.sources.fixture import bronze_view, land_months, land_text_months, location_lookup
 
 RUN_DEPENDENT = ["_source_file", "_ingested_at"]
 
@@ -171,6 +171,25 @@ def q_source_inventory(spark, sf):
     return files.groupBy("month").agg(F.sum("row_count").alias("row_count"), F.min((F.col("file_size") > 0) & (F.col("row_count") > 0)).alias("files_filled"))
 
 
+def _text_run(spark, sf, label: str) -> MonthRunner:
+    """Months that land as text with broken lines, ingested up to Silver."""
+    prepare(spark)
+    root = land_text_months(spark, sf, scratch_root(spark, label))
+    r = MonthRunner(spark, Tables(root=root), root, Settings(landing_format="csv", landing_header=False))
+    r.silver(r.bronze(landing_months(spark, root)))
+    return r
+
+
+def q_quarantine_report(spark, sf):
+    """A2/C11: quarantined lines of text landings per month and reason."""
+    return quarantine.report(_text_run(spark, sf, "quarantine_report")._read("quarantine"))
+
+
+def q_quarantine_good_rows(spark, sf):
+    """A2/C11: Silver of text landings, of the lines that fit their schema."""
+    return _text_run(spark, sf, "quarantine_good")._read("silver").drop(*RUN_DEPENDENT)
+
+
 def q_rows_per_month(spark, sf):
     """Rows per month of a persisted month table (read-back after the write); one narrow column besides the month is written."""
     i = Inputs(spark, sf)

@@ -18,10 +18,11 @@ fingerprint of the landing files and the number of unresolved keys; whole-table
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +32,7 @@ from tripmart.operators import dims, marts, quality
 from tripmart.operators.fact import build_fact
 from tripmart.operators.silver import to_silver
 from tripmart.session import shared_dir
-from tripmart.sources import readers, sinks
+from tripmart.sources import quarantine, readers, sinks
 
 PARTIAL_GRAIN = marts.PARTIAL_GRAIN
 #: the stage that a stage reads
@@ -39,6 +40,12 @@ SOURCE = {"silver": "bronze", "dimensions": "silver", "fact": "silver", "gold_pa
 DIMENSIONS = ("dim_location", "dim_provider", "dim_date", "dim_dispatch")
 
 
+def _bronze_columns() -> list[Column]:
+    """Bronze of a landing scan that has ``month`` and ``_source_file``."""
+    return [*[F.col(f.name).cast(f.dataType) for f in schemas.TRIP_SOURCE.fields], F.col("month").alias("_source_month"),
+            F.col("_source_file"), F.current_timestamp().alias("_ingested_at")]
+
+
 @dataclass(frozen=True)
 class Entry:
     """The latest ledger row of a stage and month."""
@@ -135,8 +142,9 @@ class MonthRunner:
         return [m for m in months if m not in done]
 
     def _loaded(self, name: str, months: list[str], df: DataFrame, cluster: bool = False, landed: dict[str, str] | None = None,
-                unresolved: str | None = None) -> None:
-        """Writes a stage's months and records each with its own row count; months without rows are emptied."""
+                unresolved: str | None = None, before_commit: Callable[[], None] | None = None) -> None:
+        """Writes a stage's months and records each with its own row count; months without rows are emptied.
+        ``before_commit`` runs between the write and the record."""
         path = self.t.path(name)
         new = readers.is_path(path) and name not in self._schemas and not readers.folder_exists(self.spark, path)
         # Bronze/Silver/fact read month-partitioned inputs: already clustered, no extra shuffle.
@@ -147,6 +155,8 @@ class MonthRunner:
             self._schemas[name] = T.StructType([*own, T.StructField("_source_month", T.StringType())])
         if gone and self._exists(name):  # without any rows there may be no table yet
             sinks.drop_months(self.spark, self.t.path(name), gone)
+        if before_commit:
+            before_commit()
         self._record(name, {m: n for m, (n, _) in counts.items()}, landed, {m: u for m, (_, u) in counts.items()} if unresolved else None)
 
     def _record(self, name: str, rows: dict[str, int], landed: dict[str, str] | None = None, unresolved: dict[str, int] | None = None) -> None:
@@ -201,9 +211,20 @@ class MonthRunner:
             self.results = [r for r in self.results if not (r.stage == "bronze" and r.status == "skipped" and r.month in reissued)]
         if not todo:
             return todo
+        if self.s.landing_format == "csv":
+            self._bronze_from_text(todo)
+            return todo
+        self._check_drift(todo)
+        seen = readers.fingerprints(self.spark, self.raw, todo)  # before the read: what lands meanwhile counts as a change next time
+        raw = readers.read_months(self.spark, self.raw, todo, schema=schemas.TRIP_SOURCE)
+        b = raw.withColumn("_source_file", F.col("_metadata.file_path")).select(*_bronze_columns())
+        self._loaded("bronze", todo, b, landed=seen)
+        return todo
+
+    def _check_drift(self, months: list[str]) -> None:
         # Names AND types of every landed file (merged footers), before any data is read
         try:
-            landed = readers.read_months(self.spark, self.raw, todo, schema=None, merge_schema=True).schema
+            landed = readers.read_months(self.spark, self.raw, months, schema=None, merge_schema=True).schema
         except readers.MonthsNotLandedError:
             raise
         except Exception as e:  # noqa: BLE001 - files of the batch disagree on a column's type
@@ -213,16 +234,34 @@ class MonthRunner:
         diffs = schemas.drift(schemas.TRIP_SOURCE, T.StructType([f for f in landed.fields if f.name != "month"]))
         if diffs:
             raise schemas.SchemaDriftError(diffs)
-        seen = readers.fingerprints(self.spark, self.raw, todo)  # before the read: what lands meanwhile counts as a change next time
-        raw = readers.read_months(self.spark, self.raw, todo, schema=schemas.TRIP_SOURCE)
-        b = raw.select(
-            *[F.col(f.name).cast(f.dataType) for f in schemas.TRIP_SOURCE.fields],
-            F.col("month").alias("_source_month"),
-            F.col("_metadata.file_path").alias("_source_file"),
-            F.current_timestamp().alias("_ingested_at"),
-        )
-        self._loaded("bronze", todo, b, landed=seen)
-        return todo
+
+    def _bronze_from_text(self, months: list[str]) -> None:
+        """Months that land as CSV: rows that fit go to Bronze, the others with line and reasons to the quarantine.
+
+        The broken rows are counted while Bronze is written; the files are scanned again only if there are any. A
+        month is committed once both tables hold it, so a run that dies in between does both again.
+        """
+        seen = readers.fingerprints(self.spark, self.raw, months)
+        absent = sorted(set(months) - seen.keys())
+        if absent:
+            raise readers.MonthsNotLandedError(f"no landing folder for {absent}")
+        rows = quarantine.read_months_kept(self.spark, self.raw, months, schemas.TRIP_SOURCE, self.s.landing_header)
+        rows = quarantine.screened(rows.withColumn("_source_file", F.col("_metadata.file_path")), schemas.TRIP_SOURCE, self.s.required_columns)
+        counted = Observation("rows_broken")
+        kept = quarantine.good(rows.observe(counted, F.count_if(F.size(quarantine.REASONS) > 0).alias("broken")))
+
+        def set_aside() -> None:
+            aside = quarantine.broken(rows, schemas.TRIP_SOURCE).select(*quarantine.QUARANTINE_COLUMNS)
+            self._set_aside(months, aside if counted.get["broken"] else None)
+
+        self._loaded("bronze", months, kept.select(*_bronze_columns()), landed=seen, before_commit=set_aside)
+
+    def _set_aside(self, months: list[str], rows: DataFrame | None) -> None:
+        """Replaces the months' quarantined rows; None: there are none."""
+        path = self.t.path("quarantine")
+        found = sinks.write_months(rows, path, self.t.fmt, months=months) if rows is not None else {}
+        gone = {m for m in months if not found.get(m, (0, 0))[0]}
+        sinks.drop_months(self.spark, path, gone & set(sinks.month_folders(self.spark, path)))
 
     def silver(self, months: list[str]) -> list[str]:
         todo = self._todo("silver", months)

@@ -569,6 +569,11 @@ def queries() -> dict[str, str]:
             "FROM n, ends, (VALUES ('cbd_congestion_fee', 'missing', 'double', NULL), "
             "('surge_fee', 'new', NULL, 'double'), ('trip_time', 'retyped', 'bigint', 'double')) "
             "AS t(column_name, change, expected_type, actual_type)"),
+        "quarantine_report": (
+            ", k AS (SELECT _source_month, ((trip_time % 50) + 50) % 50 AS k FROM trips) "
+            "SELECT _source_month, reason, CAST(COUNT(*) AS BIGINT) AS row_count FROM k JOIN (VALUES (1, 'type:trip_time'), (2, 'type:pickup_datetime'), "
+            "(3, 'type:PULocationID'), (3, 'type:tips'), (4, 'fields'), (5, 'fields')) AS r(k_at, reason) ON k = k_at GROUP BY 1, 2"),
+        "quarantine_good_rows": f"SELECT {SILVER_COLS} FROM silver WHERE ((trip_time % 50) + 50) % 50 NOT BETWEEN 1 AND 5",
         "dq_spill_rows": spill,
         "dq_spill_months": (
             f", spilled AS ({spill}) SELECT source_month, CAST(coalesce(SUM(trips) FILTER (direction = 'in'), 0) - coalesce(SUM(trips) FILTER (direction = 'out'), 0) AS BIGINT) AS spill_rows, "

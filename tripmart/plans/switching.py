@@ -28,6 +28,8 @@ from tripmart.sources import sinks
 
 MONTH_TABLES = ("bronze", "silver", "fact", "gold_partials")
 MARTS = ("gold_daily", "gold_location", "gold_shared")
+#: tables written in batches; the quarantine only exists once a text landing had broken rows
+BATCHED = (*MONTH_TABLES, *MARTS, "quarantine")
 LIVE = "live_batches"
 
 
@@ -78,10 +80,10 @@ class SwitchedRunner(MonthRunner):
         return out | {m: self.batch for m in self.staged.get(name, ())}
 
     def _read(self, name: str) -> DataFrame:
-        return self._rows(name, self._batches(name)) if name in (*MONTH_TABLES, *MARTS) else super()._read(name)
+        return self._rows(name, self._batches(name)) if name in BATCHED else super()._read(name)
 
     def _exists(self, name: str) -> bool:
-        if name in (*MONTH_TABLES, *MARTS):
+        if name in BATCHED:
             return self.spark.catalog.tableExists(self._all(name)) and bool(self._batches(name))
         return super()._exists(name)
 
@@ -91,14 +93,22 @@ class SwitchedRunner(MonthRunner):
             return done
         return {m for t, m in self.live() if t == name} & (done or set())  # what the ledger knows but was never switched is built again
 
-    def _loaded(self, name, months, df, cluster=False, landed=None, unresolved=None):
+    def _loaded(self, name, months, df, cluster=False, landed=None, unresolved=None, before_commit=None):
         df = df.withColumn("_batch", F.lit(self.batch))
         target = self._all(name)
         # within the batch's partition, a retried stage replaces its months
         counts = sinks.write_months(df, target, self.t.fmt, cluster=cluster, months=months, unresolved=unresolved, outer="_batch")
         self.staged.setdefault(name, set()).update(months)
+        if before_commit:
+            before_commit()
         self._record(name, {m: n for m, (n, _) in counts.items()}, landed, {m: u for m, (_, u) in counts.items()} if unresolved else None)
 
+    def _set_aside(self, months, rows):
+        if rows is not None:
+            sinks.write_months(rows.withColumn("_batch", F.lit(self.batch)), self._all("quarantine"), self.t.fmt, outer="_batch")
+        if self.spark.catalog.tableExists(self._all("quarantine")):  # a batch without rows hides those of an older one
+            self.staged.setdefault("quarantine", set()).update(months)
+
     def _record(self, name, rows, landed=None, unresolved=None):
         """Months enter the ledger after the switch, in the order of the stages."""
         self.pending.append((name, rows, landed, unresolved))
@@ -158,7 +168,7 @@ class SwitchedRunner(MonthRunner):
     def vacuum(self) -> int:
         """Drops partitions of batches that are not live (of crashed, refused or replaced runs); returns how many."""
         live, gone = set(self.live().items()), 0
-        for name in (*MONTH_TABLES, *MARTS):
+        for name in BATCHED:
             if not self.spark.catalog.tableExists(self._all(name)):
                 continue
             for r in self.spark.sql(f"SHOW PARTITIONS {self._all(name)}").collect():

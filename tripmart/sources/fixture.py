@@ -141,3 +141,30 @@ def land_months(spark: SparkSession, sf_dir: str, raw_base: str, months: list[st
         .parquet(f"{raw_base}/raw")
     )
     return raw_base
+
+
+def land_text_months(spark: SparkSession, sf_dir: str, raw_base: str) -> str:
+    """The landing layout as headerless CSV lines, of which a tenth are broken, by the trip time modulo 50:
+    1 a trip time that is no number, 2 a pick-up time that is no date, 3 a zone beyond its type and tips that are no number,
+    4 a line cut after its twentieth field, 5 a line with a field too many."""
+    trips = landing_trips(spark, sf_dir)
+    k = F.pmod(F.coalesce("trip_time", F.lit(0)), F.lit(50))
+    seeded = {"trip_time": (1, "n/a"), "pickup_datetime": (2, "1995-13-45"), "PULocationID": (3, "99999999999"), "tips": (3, "free")}
+
+    def line(names: list[str]) -> Column:
+        text = {f.name: F.col(f.name).cast("string") for f in TRIP_SOURCE.fields}
+        for name, (at, value) in seeded.items():
+            text[name] = F.when(k == at, F.lit(value)).otherwise(text[name])
+        times = [f.name for f in TRIP_SOURCE.fields if f.dataType.typeName() == "timestamp_ntz"]
+        for name in times:
+            text[name] = F.replace(text[name], F.lit(" "), F.lit("T"))
+        return F.to_csv(F.struct(*[text[n].alias(n) for n in names]), {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+
+    whole = line(TRIP_SOURCE.names)
+    value = F.when(k == 4, line(TRIP_SOURCE.names[:20])).when(k == 5, F.concat(whole, F.lit(",more"))).otherwise(whole)
+    (
+        trips.select(value.alias("value"), F.col("landing_month").alias("month"))
+        .hint("rebalance", "month")
+        .write.mode("overwrite").partitionBy("month").text(f"{raw_base}/raw")
+    )
+    return raw_base
