@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from tripmart import config as C
 from tripmart.config import Settings, Tables
-from tripmart.operators import dims, marts, profile, quality
-from tripmart.operators.fact import build_fact
+from tripmart.operators import dims, identity, marts, profile, quality, sketches
+from tripmart.operators.fact import build_fact, trip_key
 from tripmart.operators.silver import to_silver
 from tripmart.plans.monthly import MonthRunner, landing_months
 from tripmart.schemas import SILVER_COLUMNS, TRIP_KEY_COLUMNS, TRIP_SOURCE
@@ -349,6 +349,19 @@ def q_trip_key_uniqueness(spark, sf):
     return g.agg(F.sum("n").alias("trip_rows"), F.count_if(F.col("n") > 1).alias("duplicate_key_groups"))
 
 
+def q_trip_identity(spark, sf):
+    """Duplicates told from collisions, over all trips and two seeded kinds: the last month's trips again, and the first
+    month's without drop-off zone once as they are and once with the zone in the other column (the key skips NULLs, so both hash alike)."""
+    s = Inputs(spark, sf).silver.select(*TRIP_KEY_COLUMNS, "_source_month")
+    first, last = spark.read.parquet(f"{sf}/orders.parquet").agg(*(F.date_format(f("o_orderdate"), "yyyy-MM") for f in (F.min, F.max))).first()
+    month, zone, none = F.col("_source_month"), F.col("PULocationID"), F.lit(None).cast("int")
+    there, other = (F.struct(zone.alias("pu"), none.alias("do")), F.struct(none.alias("pu"), zone.alias("do")))
+    own = F.struct(zone.alias("pu"), F.col("DOLocationID").alias("do"))
+    copies = F.when(month == last, F.array(own, own)).when(month == first, F.array(own, there, other)).otherwise(F.array(own))
+    seeded = s.select("*", F.explode(copies).alias("z")).withColumns({"PULocationID": F.col("z.pu"), "DOLocationID": F.col("z.do")})
+    return identity.report(seeded.withColumn("trip_key", trip_key()).select("trip_key", *TRIP_KEY_COLUMNS))
+
+
 def q_fact_trip(spark, sf):
     return Inputs(spark, sf).fact.drop(*RUN_DEPENDENT, "trip_key")
 
@@ -499,6 +512,16 @@ def q_summary_trip_time_diff(spark, sf):
     return profile.summary_trip_time_diff(Inputs(spark, sf).bronze)
 
 
+def q_sketch_quantiles(spark, sf):
+    """Quantiles from written month sketches; a value depends on the order of rows, so its measured rank is held against the bound."""
+    i = Inputs(spark, sf)
+    trips = i.materialize(i.silver.select(*sketches.MEASURES, "_source_month"), "sketch_trips")
+    by_month = i.materialize(sketches.month_sketches(trips), "month_sketches")
+    found = sketches.quantiles(sketches.merged(by_month), [0.05, 0.25, 0.5, 0.75, 0.95, 0.99])
+    written = i.materialize(found, "sketch_quantiles")
+    return sketches.within_bound(sketches.rank_intervals_of(trips, written)).select("measure", "probability", "value_count", "within_bound")
+
+
 def q_flag_value_counts(spark, sf):
     return profile.flag_value_counts(Inputs(spark, sf).bronze)
 

