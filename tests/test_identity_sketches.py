@@ -7,11 +7,15 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from tripmart.config import Tables
 from tripmart.operators import identity, sketches
 from tripmart.operators.fact import trip_key
 from tripmart.operators.silver import to_silver
+from tripmart.plans.monthly import MonthRunner, landing_months
 from tripmart.schemas import TRIP_KEY_COLUMNS, TRIP_SOURCE
-from tripmart.sources.fixture import bronze_view
+from tripmart.session import scratch_root
+from tripmart.sources import readers, sinks
+from tripmart.sources.fixture import bronze_view, land_months, location_lookup
 
 from .conftest import SF_SMALL
 
@@ -127,3 +131,49 @@ def test_nulls_nan_and_empty_inputs(spark):
     assert [(r["value_count"], r["value"]) for r in found] == [(1, 3.0)]
     for none in (df.where("false"), df.where("_source_month = 'b'")):
         assert sketches.quantiles(sketches.merged(sketches.month_sketches(none, ["x"])), [0.5]).count() == 0
+
+
+def test_month_runs_keep_sketches_and_tell_repeated_trips(spark):
+    """Only months that are new or re-issued are sketched again; a month loaded with every trip twice is told from collisions."""
+    root = scratch_root(spark, "sketch_run")
+    land_months(spark, SF_SMALL, root)
+    a, b = landing_months(spark, root)[:2]
+    t = Tables(root=root)
+    first = MonthRunner(spark, t, root)
+    first.silver(first.bronze([a, b]))
+    assert first.month_sketches([a, b]) == [a, b]
+    rows = first._read("silver").where(F.col("trip_miles").isNotNull()).count()
+    assert {r["value_count"] for r in first.quantiles([0.5]).where("measure = 'trip_miles'").collect()} == {rows}
+    assert first.repeated_trips([a, b]).count() == 0
+    landed = readers.read_months(spark, root, [b]).drop("month").checkpoint(eager=True)
+    sinks.relay(landed.unionByName(landed), f"{root}/raw/month={b}")
+    again = MonthRunner(spark, t, root)
+    again.bronze([a, b])
+    again.silver([a, b])
+    assert again.month_sketches([a, b]) == [b]
+    n = landed.count()
+    assert {r["value_count"] for r in again.quantiles([0.5]).where("measure = 'trip_miles'").collect()} == {rows + n}
+    assert {r["value_count"] for r in again.quantiles([0.5], [a]).where("measure = 'trip_miles'").collect()} == {rows - n}
+    assert [(r["verdict"], r["row_count"], r["surplus_rows"]) for r in again.repeated_trips([a, b]).collect()] == [("duplicate", 2 * n, n)]
+
+
+def test_a_broken_timestamp_is_flagged_not_fatal(spark):
+    root = scratch_root(spark, "broken_time")
+    land_months(spark, SF_SMALL, root)
+    a = landing_months(spark, root)[0]
+    folder = f"{root}/raw/month={a}"
+    landed = readers.read_months(spark, root, [a]).drop("month").checkpoint(eager=True)
+    zone = landed.agg(F.min("PULocationID")).first()[0]
+    far = F.when(F.col("PULocationID") == zone, F.lit(dt.datetime(9999, 1, 1)).cast("timestamp_ntz")).otherwise(F.col("pickup_datetime"))
+    sinks.relay(landed.withColumn("pickup_datetime", far), folder)
+    lookup = f"{root}/zones"
+    location_lookup(spark, SF_SMALL).write.option("header", True).csv(lookup)
+    r = MonthRunner(spark, Tables(root=root), root, lookup_csv=lookup)
+    r.run([a])
+    broken = landed.where(F.col("PULocationID") == zone).count()
+    fact = r._read("fact")
+    assert broken > 0 and fact.count() == landed.count()
+    assert fact.where("date_key IS NULL").count() == broken
+    assert fact.where("date_key IS NULL AND timestamp_quality_flag = 'OK'").count() == 0
+    assert r._read("dim_date").agg(F.max("year")).first()[0] < 2000
+    assert r.gold_daily().where("date_key IS NULL").agg(F.sum("total_trips")).first()[0] == broken

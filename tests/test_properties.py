@@ -60,13 +60,11 @@ def test_calendar_window_and_broken_span(spark):
     assert [(r.date_key, r.is_weekend) for r in window] == [(20260130, False), (20260131, True), (20260201, True), (20260202, False)]
     assert dims.dim_date_range(spark).count() == 151
     span = "timestamp'2026-01-01', timestamp'2026-01-03', timestamp'{}'"
-    for last, ok in (("2026-01-05", True), ("9999-12-31", False)):
+    for last, days in (("2026-01-05", 5), ("9999-12-31", 3), ("0001-01-01", 3)):  # a broken timestamp has no day
         trips = spark.sql(f"SELECT explode(array({span.format(last)})) AS pickup_datetime")
-        if ok:
-            assert dims.dim_date_for(trips).count() == 5
-        else:
-            with pytest.raises(Exception, match="broken timestamps"):
-                dims.dim_date_for(trips).count()
+        assert dims.dim_date_for(trips).count() == days
+        held = dims.dim_date_range(spark, "2026-01-01", "2026-01-02")
+        assert dims.dim_date_extension(trips, held).count() == days - 2
     assert dims.dim_date_for(spark.sql("SELECT timestamp'2026-01-01' AS pickup_datetime").limit(0)).count() == 0
 
 

@@ -55,6 +55,11 @@ CHECK_NAMES = {
 }
 # ---------------------------------------------------------------------------
 
+# Dates outside this span come from broken timestamps: such trips are flagged and have no date key, and the
+# calendar, one row per day of the data's span, cannot outgrow it.
+CALENDAR_FIRST = "1900-01-01"
+CALENDAR_LAST = "2099-12-31"
+
 
 @dataclass(frozen=True)
 class Tables:
@@ -96,5 +101,6 @@ class Settings:
     broadcast_limit_rows: int = 1_000_000  # dimension sides above this are shuffled (AQE may still broadcast)
     landing_format: str = "parquet"  # "csv": months land as text, rows that do not fit go to the quarantine table
     landing_header: bool = True  # of text landings: the first line of every file names the columns
+    keep_sketches: bool = False  # month runs also keep quantile sketches per month and measure
     required_columns: tuple[str, ...] = ()  # of text landings: a row without one of these is quarantined
     provider_names: dict = field(default_factory=lambda: dict(PROVIDER_NAMES))

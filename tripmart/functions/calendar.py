@@ -5,10 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tripmart import config as C
+
+
+def plausible(ts_col: str = "pickup_datetime") -> Column:
+    """Does a timestamp lie within the calendar's span? NULL if there is none."""
+    first, last = F.to_timestamp_ntz(F.lit(f"{C.CALENDAR_FIRST} 00:00:00")), F.to_timestamp_ntz(F.lit(f"{C.CALENDAR_LAST} 23:59:59.999999"))
+    return F.col(ts_col).between(first, last)
+
+
+def calendar_date(ts_col: str = "pickup_datetime") -> Column:
+    """A timestamp's date; NULL for a broken one."""
+    return F.when(plausible(ts_col), F.to_date(ts_col))
+
 
 def date_key(ts_col: str = "pickup_datetime") -> Column:
-    """Integer yyyyMMdd key of a timestamp's date."""
-    return F.date_format(F.to_date(F.col(ts_col)), "yyyyMMdd").cast("int")
+    """Integer yyyyMMdd key of a timestamp's date (F10); NULL for a broken one, which has no day in the calendar."""
+    return F.date_format(calendar_date(ts_col), "yyyyMMdd").cast("int")
 
 
 def calendar_attributes(date_col: str = "date") -> dict[str, Column]:

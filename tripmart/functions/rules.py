@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tripmart import config as C
+from tripmart.functions.calendar import plausible
 
 YN_FLAGS = {
     "shared_request": "shared_request_flag",
@@ -29,11 +30,13 @@ def seconds_between(start: str, end: str) -> Column:
 
 
 def timestamp_flag() -> Column:
-    """ISSUE if the four timestamps are out of order; NULL comparisons alone never flag."""
+    """ISSUE if the four timestamps are out of order; NULL comparisons alone never flag. A pick-up outside the
+    calendar's span, which gets no date key, is an issue as well."""
     bad = (
         (F.col("request_datetime") > F.col("on_scene_datetime"))
         | (F.col("on_scene_datetime") > F.col("pickup_datetime"))
         | (F.col("pickup_datetime") > F.col("dropoff_datetime"))
+        | ~plausible("pickup_datetime")
     )
     return F.when(bad, F.lit(C.ISSUE)).otherwise(F.lit(C.OK))
 

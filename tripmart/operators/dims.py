@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripmart import config as C
-from tripmart.functions.calendar import calendar_attributes
+from tripmart.functions.calendar import calendar_attributes, calendar_date
 from tripmart.session import shared_dir
 
 DIM_DATE_COLUMNS = [
@@ -63,15 +63,14 @@ def dim_date_range(spark: SparkSession, start: str = C.DIM_DATE_START, end: str
     return days.withColumns(calendar_attributes("date")).select(*DIM_DATE_COLUMNS)
 
 
-# A longer calendar than this comes from a broken timestamp.
-MAX_CALENDAR_DAYS = 200 * 366
+def _days(span: DataFrame) -> DataFrame:
+    """One row per day of a one-row span (d0, d1) of plausible dates."""
+    return span.select(F.explode(F.sequence("d0", "d1", F.expr("interval 1 day"))).alias("date"))
 
 
-def _days(span: DataFrame) -> DataFrame:
-    """One row per day of a one-row span (d0, d1); a span beyond MAX_CALENDAR_DAYS is refused."""
-    broken = F.raise_error(F.concat(F.lit("calendar span "), F.col("d0"), F.lit(" to "), F.col("d1"), F.lit(": broken timestamps")))
-    end = F.when(F.datediff("d1", "d0") <= MAX_CALENDAR_DAYS, F.col("d1")).when(F.col("d1").isNotNull(), broken.cast("date"))
-    return span.select(F.explode(F.sequence("d0", end, F.expr("interval 1 day"))).alias("date"))
+def _span(trips: DataFrame, ts_col: str) -> DataFrame:
+    """First and last date of the trips; broken timestamps have none."""
+    return trips.agg(F.min(calendar_date(ts_col)).alias("d0"), F.max(calendar_date(ts_col)).alias("d1"))
 
 
 def dim_date_for(trips: DataFrame, ts_col: str = "pickup_datetime") -> DataFrame:
@@ -79,8 +78,7 @@ def dim_date_for(trips: DataFrame, ts_col: str = "pickup_datetime") -> DataFrame
 
     The exploded calendar is bounded by the number of days in the span, not by the row count.
     """
-    span = trips.agg(F.min(F.to_date(ts_col)).alias("d0"), F.max(F.to_date(ts_col)).alias("d1"))
-    days = _days(span)
+    days = _days(_span(trips, ts_col))
     return days.withColumns(calendar_attributes("date")).select(*DIM_DATE_COLUMNS)
 
 
@@ -94,7 +92,7 @@ def member_values(trips: DataFrame) -> DataFrame:
             F.struct(F.lit("provider").alias("kind"), F.col("hvfhs_license_num").alias("value")),
             F.struct(F.lit("base").alias("kind"), F.col("dispatching_base_num").alias("value")),
             F.struct(F.lit("base").alias("kind"), F.col("originating_base_num").alias("value")),
-            F.struct(F.lit("date").alias("kind"), F.to_date("pickup_datetime").cast("string").alias("value")),
+            F.struct(F.lit("date").alias("kind"), calendar_date("pickup_datetime").cast("string").alias("value")),
         )).alias("m")).select("m.*").distinct()
 
 
@@ -119,7 +117,7 @@ def dim_date_extension(trips: DataFrame, existing: DataFrame, ts_col: str = "pic
 
     The span is computed from two one-row aggregates; only missing days are returned.
     """
-    new = trips.agg(F.min(F.to_date(ts_col)).alias("d0"), F.max(F.to_date(ts_col)).alias("d1"))
+    new = _span(trips, ts_col)
     old = existing.agg(F.min("date").alias("d0"), F.max("date").alias("d1"))
     span = new.unionByName(old).agg(F.min("d0").alias("d0"), F.max("d1").alias("d1"))
     days = _days(span)

@@ -28,15 +28,15 @@ from pyspark.sql import types as T
 
 from tripmart import schemas
 from tripmart.config import Settings, Tables
-from tripmart.operators import dims, marts, quality
-from tripmart.operators.fact import build_fact
+from tripmart.operators import dims, identity, marts, quality, sketches
+from tripmart.operators.fact import build_fact, trip_key
 from tripmart.operators.silver import to_silver
 from tripmart.session import shared_dir
 from tripmart.sources import quarantine, readers, sinks
 
 PARTIAL_GRAIN = marts.PARTIAL_GRAIN
 #: the stage that a stage reads
-SOURCE = {"silver": "bronze", "dimensions": "silver", "fact": "silver", "gold_partials": "fact"}
+SOURCE = {"silver": "bronze", "month_sketches": "silver", "dimensions": "silver", "fact": "silver", "gold_partials": "fact"}
 DIMENSIONS = ("dim_location", "dim_provider", "dim_date", "dim_dispatch")
 
 
@@ -270,6 +270,24 @@ class MonthRunner:
             self._loaded("silver", todo, to_silver(b))
         return todo
 
+    def month_sketches(self, months: list[str]) -> list[str]:
+        """Quantile sketches of the months that are new or were rebuilt; the others keep theirs."""
+        todo = self._todo("month_sketches", months)
+        if todo:
+            silver = self._read("silver").where(F.col("_source_month").isin(todo))
+            self._loaded("month_sketches", todo, sketches.month_sketches(silver), cluster=True)
+        return todo
+
+    def quantiles(self, probs: list[float], months: list[str] | None = None) -> DataFrame:
+        """Quantiles over all sketched months (or some) from their sketches: no trip is read."""
+        held = self._read("month_sketches")
+        return sketches.quantiles(sketches.merged(held.where(F.col("_source_month").isin(list(months))) if months else held), probs)
+
+    def repeated_trips(self, months: list[str]) -> DataFrame:
+        """When N3 finds repeated keys, which of them are duplicates and which collisions."""
+        silver = self._read("silver").where(F.col("_source_month").isin(list(months))).select(*schemas.TRIP_KEY_COLUMNS)
+        return identity.report(silver.withColumn("trip_key", trip_key()))
+
     def dimensions(self, months: list[str]) -> None:
         """Every dimension grows by an appended delta; existing keys never change.
 
@@ -435,6 +453,8 @@ class MonthRunner:
         months = sorted(set(months))
         self.bronze(months)
         self.silver(months)
+        if self.s.keep_sketches:
+            self.month_sketches(months)
         self.dimensions(months)
         late = self.late_months()
         self.fact(months, late)

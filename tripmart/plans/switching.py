@@ -28,8 +28,9 @@ from tripmart.sources import sinks
 
 MONTH_TABLES = ("bronze", "silver", "fact", "gold_partials")
 MARTS = ("gold_daily", "gold_location", "gold_shared")
-#: tables written in batches; the quarantine only exists once a text landing had broken rows
-BATCHED = (*MONTH_TABLES, *MARTS, "quarantine")
+#: month tables that not every run has: sketches if they are kept, the quarantine once a text landing had broken rows
+SIDE_TABLES = ("month_sketches", "quarantine")
+BATCHED = (*MONTH_TABLES, *MARTS, *SIDE_TABLES)
 LIVE = "live_batches"
 
 
@@ -89,7 +90,7 @@ class SwitchedRunner(MonthRunner):
 
     def _done(self, name: str) -> set[str] | None:
         done = super()._done(name)
-        if name not in MONTH_TABLES:
+        if name not in (*MONTH_TABLES, *SIDE_TABLES):
             return done
         return {m for t, m in self.live() if t == name} & (done or set())  # what the ledger knows but was never switched is built again
 
@@ -115,7 +116,7 @@ class SwitchedRunner(MonthRunner):
 
     def _todo(self, name, months):
         """A month that this run has rebuilt at an earlier stage is rebuilt here."""
-        before = self.staged.get({"silver": "bronze", "fact": "silver", "gold_partials": "fact"}.get(name, ""), set())
+        before = self.staged.get({"silver": "bronze", "month_sketches": "silver", "fact": "silver", "gold_partials": "fact"}.get(name, ""), set())
         return sorted({*super()._todo(name, [m for m in months if m not in before]), *(before & set(months))})
 
     def total_rows(self, name: str) -> int:
