@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.sql import types as T
+
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference for identical results.
 # Provider licence codes and names, in the reference's order; any other code
@@ -87,6 +89,16 @@ class Tables:
         return f"{self.database}.{own}" if self.database else f"{self.root.rstrip('/')}/{own}"
 
 
+@dataclass(frozen=True)
+class SchemaChange:
+    """A declared change of the landed files from month ``since`` on (always, if empty): a nullable column that is
+    new, or a column of the source with a wider type."""
+
+    column: str
+    type: T.DataType
+    since: str = ""
+
+
 @dataclass(frozen=True)
 class Settings:
     """Behaviour switches the reference fixed in code."""
@@ -102,5 +114,6 @@ class Settings:
     landing_format: str = "parquet"  # "csv": months land as text, rows that do not fit go to the quarantine table
     landing_header: bool = True  # of text landings: the first line of every file names the columns
     keep_sketches: bool = False  # month runs also keep quantile sketches per month and measure
+    schema_changes: tuple[SchemaChange, ...] = ()  # additive changes that are carried from Bronze to the fact; all others are refused
     required_columns: tuple[str, ...] = ()  # of text landings: a row without one of these is quarantined
     provider_names: dict = field(default_factory=lambda: dict(PROVIDER_NAMES))

@@ -4,22 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmart.config import Settings
 from tripmart.functions.calendar import date_key
 from tripmart.operators.lookup import checked_many, lookup
-from tripmart.schemas import FACT_COLUMNS, TRIP_KEY_COLUMNS
+from tripmart.schemas import FACT_COLUMNS, TRIP_KEY_COLUMNS, TRIP_SOURCE, added, widened
 
 
-def trip_key() -> F.Column:
-    """xxhash64 over the ten natural-identity columns (NULL inputs are skipped, X14)."""
-    return F.xxhash64(*TRIP_KEY_COLUMNS)
+def _identity(name: str, wide: dict[str, T.DataType]) -> list[F.Column]:
+    """A column's inputs to the trip key. A widened one is hashed as its first type where the value fits that, else as
+    the wide one; NULL inputs are skipped, so a trip keeps the key that it had before the change."""
+    if name not in wide:
+        return [F.col(name)]
+    first = F.col(name).try_cast(TRIP_SOURCE[name].dataType)
+    fits = F.coalesce(first.cast(wide[name]) == F.col(name), F.lit(False))
+    return [F.when(fits, first), F.when(~fits, F.col(name))]
 
 
-def trip_key_ext() -> F.Column:
+def trip_key(wide: dict[str, T.DataType] | None = None) -> F.Column:
+    """xxhash64 over the ten natural-identity columns (NULL inputs are skipped, X14); ``wide``: those of a widened type."""
+    return F.xxhash64(*[x for c in TRIP_KEY_COLUMNS for x in _identity(c, wide or {})])
+
+
+def trip_key_ext(wide: dict[str, T.DataType] | None = None) -> F.Column:
     """Second, independent 64-bit hash of the same ten columns (xxhash64 of the columns in reverse order,
     with a constant prefix so it is not a permutation-free function of the first key)."""
-    return F.xxhash64(F.lit("tripmart-ext"), *reversed(TRIP_KEY_COLUMNS))
+    return F.xxhash64(F.lit("tripmart-ext"), *[x for c in reversed(TRIP_KEY_COLUMNS) for x in _identity(c, wide or {})])
 
 
 def build_fact(silver: DataFrame, provider: DataFrame | None, location: DataFrame | None,
@@ -32,13 +43,15 @@ def build_fact(silver: DataFrame, provider: DataFrame | None, location: DataFram
     that is not given is not looked up, and its key columns are left out: a mart
     asks only for the keys it groups by. ``columns`` limits the output (and so what ``silver``
     must hold) to some fact columns. ``unresolved`` names a helper column with the number of the row's
-    ids that no dimension has (ids that are there, but whose key is NULL).
+    ids that no dimension has (ids that are there, but whose key is NULL). Source columns that
+    ``settings.schema_changes`` add follow the fact's own.
     """
-    f = silver.withColumns({"trip_key": trip_key(), "date_key": date_key("pickup_datetime")})
-    cols = columns or FACT_COLUMNS
+    wide = widened(settings.schema_changes)
+    f = silver.withColumns({"trip_key": trip_key(wide), "date_key": date_key("pickup_datetime")})
+    cols = columns or [*FACT_COLUMNS, *added(settings.schema_changes)]
     if settings.wide_trip_key:
         # 64-bit keys collide by the birthday bound at ~1e10 rows; two independent hashes do not
-        f = f.withColumn("trip_key_ext", trip_key_ext())
+        f = f.withColumn("trip_key_ext", trip_key_ext(wide))
         cols = ["trip_key", "trip_key_ext", *[c for c in cols if c != "trip_key"]]
     lim = settings.broadcast_limit_rows
     if settings.fact_key_mode == "copy":
@@ -46,8 +59,8 @@ def build_fact(silver: DataFrame, provider: DataFrame | None, location: DataFram
         f = f.withColumns(
             {
                 "provider_key": F.col("hvfhs_license_num"),
-                "pickup_location_key": F.col("PULocationID").cast("int"),
-                "dropoff_location_key": F.col("DOLocationID").cast("int"),
+                "pickup_location_key": F.col("PULocationID").cast(wide.get("PULocationID", T.IntegerType())),
+                "dropoff_location_key": F.col("DOLocationID").cast(wide.get("DOLocationID", T.IntegerType())),
                 "dispatching_base_key": F.col("dispatching_base_num"),
                 "originating_base_key": F.col("originating_base_num"),
             }

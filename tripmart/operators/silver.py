@@ -8,8 +8,8 @@ from tripmart.functions import rules as R
 from tripmart.schemas import SILVER_COLUMNS
 
 
-def to_silver(bronze: DataFrame) -> DataFrame:
-    """One narrow projection; no shuffle, no rows dropped."""
+def to_silver(bronze: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """One narrow projection; no shuffle, no rows dropped. ``more`` names added source columns that go along."""
     derived = bronze.withColumns(
         {
             "timestamp_quality_flag": R.timestamp_flag(),
@@ -23,4 +23,4 @@ def to_silver(bronze: DataFrame) -> DataFrame:
     derived = derived.withColumns({name: R.yn_to_bool(src) for name, src in R.YN_FLAGS.items()})
     derived = derived.withColumns({"overall_quality_status": R.overall_status()})
     cols = [c for c in SILVER_COLUMNS if c in derived.columns]
-    return derived.select(*cols)
+    return derived.select(*cols, *more)

@@ -13,9 +13,10 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmart import config as C
-from tripmart.config import Settings, Tables
+from tripmart.config import SchemaChange, Settings, Tables
 from tripmart.operators import dims, identity, marts, profile, quality, sketches
 from tripmart.operators.fact import build_fact, trip_key
 from tripmart.operators.silver import to_silver
@@ -220,6 +221,32 @@ def q_schema_drift(spark, sf):
     return out
 
 
+def q_schema_evolution(spark, sf):
+    """The first half of the months lands as declared; in the rest ``surge_fee`` is new and pick-up zones are 64-bit
+    (the lookup's 26th orphan beyond 32). A second run that declares both loads these beside the first ones, which stay as they
+    are. One row per month, from the tables of both runs."""
+    prepare(spark)
+    first, months = _runner(spark, sf, "evolution")
+    half = len(months) // 2
+    zone = F.col("PULocationID").cast("long")
+    later = readers.read_months(spark, first.raw, months[half:]).withColumns({
+        "PULocationID": F.when(zone == 26, zone + F.lit(2**40)).otherwise(zone),
+        "surge_fee": F.when(F.col("trip_time") > 600, F.floor(F.col("trip_time") / 60) * 0.25)})
+    later.write.partitionBy("month").parquet(f"{first.raw}/changed/raw")
+    changes = (SchemaChange("surge_fee", T.DoubleType(), months[half]), SchemaChange("PULocationID", T.LongType(), months[half]))
+    second = MonthRunner(spark, first.t, f"{first.raw}/changed", Settings(schema_changes=changes), first.lookup_csv)
+    for r, some in ((first, months[:half]), (second, months[half:])):
+        for stage in (r.bronze, r.silver, r.dimensions, r.fact):
+            stage(some)
+    month, rows = F.col("_source_month").alias("source_month"), F.count(F.lit(1))
+    zones = second._read("silver").groupBy(month).agg(
+        F.count_if(F.col("PULocationID") > 2**31).alias("wide_zones"), F.max(F.typeof("PULocationID")).alias("zone_type"))
+    facts = second._read("fact").groupBy(month).agg(
+        rows.alias("fact_rows"), F.count("surge_fee").alias("surge_rows"), F.sum("surge_fee").alias("surge_total"),
+        F.count("pickup_location_key").alias("pickup_keys"), F.count_distinct("trip_key").alias("trip_keys"))
+    return facts.join(zones, "source_month")
+
+
 # ---------------------------------------------------------------------------
 # 2.3 / 2.4 silver
 

@@ -20,6 +20,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -40,9 +41,9 @@ SOURCE = {"silver": "bronze", "month_sketches": "silver", "dimensions": "silver"
 DIMENSIONS = ("dim_location", "dim_provider", "dim_date", "dim_dispatch")
 
 
-def _bronze_columns() -> list[Column]:
+def _bronze_columns(source: T.StructType) -> list[Column]:
     """Bronze of a landing scan that has ``month`` and ``_source_file``."""
-    return [*[F.col(f.name).cast(f.dataType) for f in schemas.TRIP_SOURCE.fields], F.col("month").alias("_source_month"),
+    return [*[F.col(f.name).cast(f.dataType) for f in source.fields], F.col("month").alias("_source_month"),
             F.col("_source_file"), F.current_timestamp().alias("_ingested_at")]
 
 
@@ -71,6 +72,8 @@ class MonthRunner:
         self.spark, self.t, self.raw, self.s = spark, tables, raw_base, settings
         shared_dir(spark)
         self.lookup_csv = lookup_csv
+        changes = settings.schema_changes
+        self.source, self.added, self.wide = schemas.evolve(schemas.TRIP_SOURCE, changes), schemas.added(changes), schemas.widened(changes)
         self.results: list[StageResult] = []
         self._ledger: dict[str, dict[str, Entry]] | None = None
         self._schemas: dict[str, T.StructType] = {}
@@ -82,9 +85,18 @@ class MonthRunner:
         if not readers.is_path(path) or self.t.fmt == "delta":
             return readers.read_table(self.spark, path, self.t.fmt)
         if name not in self._schemas:
-            self._schemas[name] = readers.read_table(self.spark, path, self.t.fmt).schema
+            self._schemas[name] = self._carried(name, readers.read_table(self.spark, path, self.t.fmt).schema)
         return self.spark.read.format(self.t.fmt).schema(self._schemas[name]).load(path)
 
+    def _carried(self, name: str, schema: T.StructType) -> T.StructType:
+        """Month tables are read with the declared schema changes, whichever file the schema comes from. Copied keys are
+        as wide as the ids they copy, in the fact and in the partials that group by them."""
+        if name not in ("bronze", "silver", "fact", "gold_partials"):
+            return schema
+        keys = {"PULocationID": "pickup_location_key", "DOLocationID": "dropoff_location_key"} if self.s.fact_key_mode == "copy" else {}
+        wide = self.wide if name in ("bronze", "silver") else {keys[c]: t for c, t in self.wide.items() if c in keys}
+        return schemas.carried(schema, {} if name == "gold_partials" else self.added, wide)
+
     def _exists(self, name: str) -> bool:
         if name in self._schemas:
             return True
@@ -148,7 +160,7 @@ class MonthRunner:
         path = self.t.path(name)
         new = readers.is_path(path) and name not in self._schemas and not readers.folder_exists(self.spark, path)
         # Bronze/Silver/fact read month-partitioned inputs: already clustered, no extra shuffle.
-        counts = sinks.write_months(df, self.t.path(name), self.t.fmt, cluster=cluster, months=months, unresolved=unresolved)
+        counts = sinks.write_months(df, self.t.path(name), self.t.fmt, cluster=cluster, months=months, unresolved=unresolved, added=self.added)
         gone = {m for m, (n, _) in counts.items() if not n}
         if new and len(gone) < len(counts):  # the schema of a table just made is known
             own = [f for f in df.schema.fields if f.name not in (unresolved, "_source_month")]
@@ -216,13 +228,25 @@ class MonthRunner:
             return todo
         self._check_drift(todo)
         seen = readers.fingerprints(self.spark, self.raw, todo)  # before the read: what lands meanwhile counts as a change next time
-        raw = readers.read_months(self.spark, self.raw, todo, schema=schemas.TRIP_SOURCE)
-        b = raw.withColumn("_source_file", F.col("_metadata.file_path")).select(*_bronze_columns())
+        raw = readers.read_months(self.spark, self.raw, todo, schema=self.source)
+        b = raw.withColumn("_source_file", F.col("_metadata.file_path")).select(*_bronze_columns(self.source))
         self._loaded("bronze", todo, b, landed=seen)
         return todo
 
+    def _versions(self, months: list[str]) -> list[tuple[T.StructType, list[str]]]:
+        """The months by the schema that is declared for them: as many groups as changes begin among them, and one."""
+        begun = sorted({c.since for c in self.s.schema_changes})
+        groups: dict[int, list[str]] = {}
+        for m in sorted(set(months)):
+            groups.setdefault(sum(since <= m for since in begun), []).append(m)
+        return [(schemas.evolve(schemas.TRIP_SOURCE, self.s.schema_changes, some[0]), some) for some in groups.values()]
+
     def _check_drift(self, months: list[str]) -> None:
         # Names AND types of every landed file (merged footers), before any data is read
+        for declared, some in self._versions(months):
+            self._check_version(declared, some)
+
+    def _check_version(self, declared: T.StructType, months: list[str]) -> None:
         try:
             landed = readers.read_months(self.spark, self.raw, months, schema=None, merge_schema=True).schema
         except readers.MonthsNotLandedError:
@@ -231,7 +255,7 @@ class MonthRunner:
             if "CANNOT_MERGE" not in str(e):
                 raise
             raise schemas.SchemaDriftError([("*", "conflict", None, str(e).split("JVM stacktrace")[0].strip())]) from e
-        diffs = schemas.drift(schemas.TRIP_SOURCE, T.StructType([f for f in landed.fields if f.name != "month"]))
+        diffs = schemas.drift(declared, T.StructType([f for f in landed.fields if f.name != "month"]))
         if diffs:
             raise schemas.SchemaDriftError(diffs)
 
@@ -245,16 +269,20 @@ class MonthRunner:
         absent = sorted(set(months) - seen.keys())
         if absent:
             raise readers.MonthsNotLandedError(f"no landing folder for {absent}")
-        rows = quarantine.read_months_kept(self.spark, self.raw, months, schemas.TRIP_SOURCE, self.s.landing_header)
-        rows = quarantine.screened(rows.withColumn("_source_file", F.col("_metadata.file_path")), schemas.TRIP_SOURCE, self.s.required_columns)
+        screened = []  # one scan per declared schema
+        for declared, some in self._versions(months):
+            rows = quarantine.read_months_kept(self.spark, self.raw, some, declared, self.s.landing_header)
+            required = tuple(c for c in self.s.required_columns if c in declared.names)
+            screened.append((quarantine.screened(rows.withColumn("_source_file", F.col("_metadata.file_path")), declared, required), declared))
         counted = Observation("rows_broken")
-        kept = quarantine.good(rows.observe(counted, F.count_if(F.size(quarantine.REASONS) > 0).alias("broken")))
+        whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [rows for rows, _ in screened])
+        kept = quarantine.good(whole.observe(counted, F.count_if(F.size(quarantine.REASONS) > 0).alias("broken")))
 
         def set_aside() -> None:
-            aside = quarantine.broken(rows, schemas.TRIP_SOURCE).select(*quarantine.QUARANTINE_COLUMNS)
-            self._set_aside(months, aside if counted.get["broken"] else None)
+            aside = [quarantine.broken(rows, declared).select(*quarantine.QUARANTINE_COLUMNS) for rows, declared in screened]
+            self._set_aside(months, reduce(DataFrame.unionByName, aside) if counted.get["broken"] else None)
 
-        self._loaded("bronze", months, kept.select(*_bronze_columns()), landed=seen, before_commit=set_aside)
+        self._loaded("bronze", months, kept.select(*_bronze_columns(self.source)), landed=seen, before_commit=set_aside)
 
     def _set_aside(self, months: list[str], rows: DataFrame | None) -> None:
         """Replaces the months' quarantined rows; None: there are none."""
@@ -267,7 +295,7 @@ class MonthRunner:
         todo = self._todo("silver", months)
         if todo:
             b = self._read("bronze").where(F.col("_source_month").isin(todo))
-            self._loaded("silver", todo, to_silver(b))
+            self._loaded("silver", todo, to_silver(b, tuple(self.added)))
         return todo
 
     def month_sketches(self, months: list[str]) -> list[str]:
@@ -286,7 +314,7 @@ class MonthRunner:
     def repeated_trips(self, months: list[str]) -> DataFrame:
         """When N3 finds repeated keys, which of them are duplicates and which collisions."""
         silver = self._read("silver").where(F.col("_source_month").isin(list(months))).select(*schemas.TRIP_KEY_COLUMNS)
-        return identity.report(silver.withColumn("trip_key", trip_key()))
+        return identity.report(silver.withColumn("trip_key", trip_key(self.wide)))
 
     def dimensions(self, months: list[str]) -> None:
         """Every dimension grows by an appended delta; existing keys never change.

@@ -569,6 +569,15 @@ def queries() -> dict[str, str]:
             "FROM n, ends, (VALUES ('cbd_congestion_fee', 'missing', 'double', NULL), "
             "('surge_fee', 'new', NULL, 'double'), ('trip_time', 'retyped', 'bigint', 'double')) "
             "AS t(column_name, change, expected_type, actual_type)"),
+        "schema_evolution": (
+            ", m AS (SELECT _source_month AS source_month, row_number() OVER (ORDER BY _source_month) > (COUNT(*) OVER ()) // 2 AS changed "
+            "FROM (SELECT DISTINCT _source_month FROM trips)) "
+            "SELECT source_month, CAST(COUNT(*) AS BIGINT) AS fact_rows, CAST(count_if(changed AND trip_time > 600) AS BIGINT) AS surge_rows, "
+            "SUM(CASE WHEN changed AND trip_time > 600 THEN floor(trip_time / 60) * 0.25 END) AS surge_total, "
+            "CAST(COUNT(location_key) AS BIGINT) AS pickup_keys, "
+            "CAST(COUNT(DISTINCT (hvfhs_license_num, request_datetime, pickup_datetime, dropoff_datetime, PULocationID, DOLocationID, trip_miles, trip_time, "
+            "base_passenger_fare, driver_pay)) AS BIGINT) AS trip_keys, CAST(count_if(changed AND PULocationID = 26) AS BIGINT) AS wide_zones, 'bigint' AS zone_type "
+            "FROM trips JOIN m ON source_month = _source_month LEFT JOIN dim_location ON location_id = PULocationID GROUP BY source_month"),
         "quarantine_report": (
             ", k AS (SELECT _source_month, ((trip_time % 50) + 50) % 50 AS k FROM trips) "
             "SELECT _source_month, reason, CAST(COUNT(*) AS BIGINT) AS row_count FROM k JOIN (VALUES (1, 'type:trip_time'), (2, 'type:pickup_datetime'), "

@@ -98,7 +98,7 @@ class SwitchedRunner(MonthRunner):
         df = df.withColumn("_batch", F.lit(self.batch))
         target = self._all(name)
         # within the batch's partition, a retried stage replaces its months
-        counts = sinks.write_months(df, target, self.t.fmt, cluster=cluster, months=months, unresolved=unresolved, outer="_batch")
+        counts = sinks.write_months(df, target, self.t.fmt, cluster=cluster, months=months, unresolved=unresolved, outer="_batch", added=self.added)
         self.staged.setdefault(name, set()).update(months)
         if before_commit:
             before_commit()
@@ -149,11 +149,12 @@ class SwitchedRunner(MonthRunner):
         if not self.spark.catalog.tableExists(self._live_view()):
             self._replace_live({})
         for name in self.staged:
-            if not self.spark.catalog.tableExists(self.t.path(name)):
-                hidden = ("_batch", "_source_month") if name in MARTS else ("_batch",)
-                columns = ", ".join(f"t.{c}" for c in self.spark.table(self._all(name)).columns if c not in hidden)
+            hidden = ("_batch", "_source_month") if name in MARTS else ("_batch",)
+            shown = [c for c in self.spark.table(self._all(name)).columns if c not in hidden]
+            if not self.spark.catalog.tableExists(self.t.path(name)) or self.spark.table(self.t.path(name)).columns != shown:
+                columns = ", ".join(f"t.`{c}`" for c in shown)
                 self.spark.sql(
-                    f"CREATE VIEW {self.t.path(name)} AS SELECT {columns} FROM {self._all(name)} t LEFT SEMI JOIN {self._live_view()} l "
+                    f"CREATE OR REPLACE VIEW {self.t.path(name)} AS SELECT {columns} FROM {self._all(name)} t LEFT SEMI JOIN {self._live_view()} l "
                     f"ON l.table_name = '{name}' AND l.month = t._source_month AND l.batch = t._batch"
                 )
         self._replace_live(live)  # the switch

@@ -1,10 +1,15 @@
-"""Declared schemas per table and the schema-drift check."""
+"""Declared schemas per table, the schema-drift check and declared schema changes.
+
+A change that is not declared is refused. Declared ones are additive: a new nullable column, or a type that holds every
+value of the old one. Months before ``since`` must still land as they did, later ones as changed. The tables need no
+rewrite: months written before a change are read with the changed schema (NULL, or the value as the wider type).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
-from tripmart.config import LINEAGE_COLUMNS
+from tripmart.config import LINEAGE_COLUMNS, SchemaChange
 
 S, TS, L, I, D, B = T.StringType(), T.TimestampNTZType(), T.LongType(), T.IntegerType(), T.DoubleType(), T.BooleanType()
 
@@ -123,6 +128,47 @@ LOCATION_LOOKUP = T.StructType(
 )
 
 
+# Types by the wider types that hold each of their values and that a Parquet scan reads their files as.
+WIDER = {"tinyint": ("smallint", "int", "bigint", "double"), "smallint": ("int", "bigint", "double"), "int": ("bigint", "double"), "float": ("double",)}
+# Names that an added column cannot take, whatever their case.
+TAKEN = {c.lower() for c in [*SILVER_COLUMNS, *FACT_COLUMNS, *LINEAGE_COLUMNS, "trip_key_ext", "month"]}
+
+
+def evolve(declared: T.StructType, changes: tuple[SchemaChange, ...], month: str | None = None) -> T.StructType:
+    """The schema with the changes in force in ``month`` (all, if None), in the order of their months; new columns come last.
+
+    A change that is no addition and no wider type, or an addition under a name that the tables use, is a ValueError.
+    """
+    types = {f.name: f.dataType for f in declared.fields}
+    for c in sorted(changes, key=lambda c: c.since):
+        if month is not None and c.since > month:
+            continue
+        old = types.get(c.column)
+        if old is None and (c.column.lower() in TAKEN or c.column.lower() in {n.lower() for n in types} or c.column.startswith("_")):
+            raise ValueError(f"column {c.column} cannot be added: the name is in use")
+        if old not in (None, c.type) and c.type.simpleString() not in WIDER.get(old.simpleString(), ()):
+            raise ValueError(f"column {c.column} cannot go from {old.simpleString()} to {c.type.simpleString()}: values may be lost")
+        types[c.column] = c.type
+    return T.StructType([T.StructField(n, t) for n, t in types.items()])
+
+
+def added(changes: tuple[SchemaChange, ...]) -> dict[str, T.DataType]:
+    """Columns that the changes add to the source, with their last types."""
+    return {f.name: f.dataType for f in evolve(TRIP_SOURCE, changes).fields if f.name not in TRIP_SOURCE.names}
+
+
+def widened(changes: tuple[SchemaChange, ...]) -> dict[str, T.DataType]:
+    """Columns of the source whose type the changes widen, with their last types."""
+    return {f.name: f.dataType for f in evolve(TRIP_SOURCE, changes).fields if f.name in TRIP_SOURCE.names and f.dataType != TRIP_SOURCE[f.name].dataType}
+
+
+def carried(table: T.StructType, more: dict[str, T.DataType], wide: dict[str, T.DataType]) -> T.StructType:
+    """The schema to read a month table with, whichever of its files it was taken from: added columns and last types."""
+    last = wide | more
+    own = [T.StructField(f.name, last.get(f.name, f.dataType)) for f in table.fields]
+    return T.StructType(own + [T.StructField(n, t) for n, t in more.items() if n not in table.names])
+
+
 def drift(expected: T.StructType, actual: T.StructType, ignore: tuple[str, ...] = LINEAGE_COLUMNS) -> list[tuple[str, str, str, str]]:
     """Differences between two schemas by name and type, lineage columns ignored.
 

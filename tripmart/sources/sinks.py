@@ -15,6 +15,7 @@ import json
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmart.sources.readers import file_system, is_path, read_table, table_exists
 
@@ -27,13 +28,15 @@ def _put(df: DataFrame, target: str, fmt: str, mode: str, part_col: str | list[s
 
 
 def write_months(df: DataFrame, target: str, fmt: str = "parquet", part_col: str = "_source_month",
-                 cluster: bool = True, months: list[str] | None = None, unresolved: str | None = None, outer: str | None = None) -> dict[str, tuple[int, int]]:
+                 cluster: bool = True, months: list[str] | None = None, unresolved: str | None = None, outer: str | None = None,
+                 added: dict[str, T.DataType] | None = None) -> dict[str, tuple[int, int]]:
     """B1/B2: write (replace) the frame's months; months that are not in the frame stay.
 
     With ``months``, the rows of each are counted while they are written (B8, B11: neither the source nor
     the table is read again) and returned as month -> (rows, sum of ``unresolved``), a helper column that
     is not written. The counts are taken behind the last shuffle, so a stage that runs again after
-    a lost executor is not counted twice. ``outer`` names a column that is partitioned by before the month.
+    a lost executor is not counted twice. ``outer`` names a column that is partitioned by before the month. ``added`` names columns of the frame
+    that a named table is given if it lacks them.
 
     ``cluster``: rows not already grouped by month are clustered first, so each
     month gets few files instead of (tasks x months). REBALANCE lets AQE split a
@@ -54,6 +57,7 @@ def write_months(df: DataFrame, target: str, fmt: str = "parquet", part_col: str
     if unresolved:
         df = df.drop(unresolved)
     if not is_path(target) and spark.catalog.tableExists(target):  # a named table keeps its other partitions only this way
+        _fit(df, target, added or {})
         df.select(*spark.table(target).columns).write.mode("overwrite").insertInto(target)
     else:
         _put(df, target, fmt, "overwrite", [outer, part_col] if outer else part_col, partitionOverwriteMode="dynamic")
@@ -69,6 +73,19 @@ def write_months(df: DataFrame, target: str, fmt: str = "parquet", part_col: str
 
 
 
+def _fit(df: DataFrame, target: str, added: dict[str, T.DataType]) -> None:
+    """Gives a named table the columns that a declared change adds; another type than the table's is an error before anything
+    is written (tables of the session catalog cannot change a column's type; those by location are read with the wider one)."""
+    spark, types = df.sparkSession, {f.name: f.dataType for f in df.schema.fields}
+    held = {f.name: f.dataType for f in spark.table(target).schema.fields}
+    other = sorted(n for n in types.keys() & held.keys() if types[n] != held[n])
+    if other:
+        raise ValueError(f"table {target} holds other types of {other}; rebuild it, or keep tables by location")
+    missing = [n for n in added if n in types and n not in held]
+    if missing:
+        spark.sql(f"ALTER TABLE {target} ADD COLUMNS ({', '.join(f'`{n}` {types[n].simpleString()}' for n in missing)})")
+
+
 def drop_months(spark: SparkSession, target: str, months: set[str], part_col: str = "_source_month") -> None:
     """Removes the partitions of months that a replacing write brought no rows for."""
     for m in sorted(months):
