@@ -7,6 +7,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+import regex
 import xxhash
 
 import corpus_pipeline
@@ -157,6 +158,47 @@ def test_disclosure_is_brute_force(spark, edge, nothing):
     assert pii.sanitising_spans(edge).count() == edge.count() and pii.sanitising_spans(nothing).count() == 0
 
 
+def brute_term_spans(texts, how):
+    """Every document's term spans from counts over whole documents; plain Python, base spans by the contract's patterns."""
+    held, words = [], []
+    for t in texts:
+        spans = [(m.start(), m.end(), m.group().lower()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", t)]
+        held.append(spans)
+        words.append([(m.start(), m.end(), m.group().lower()) for m in regex.finditer(r"\p{L}[\p{L}\p{N}]{2,}+", t)])
+    n = len(texts)
+    ents, terms = [{e for *_, e in h} for h in held], [{w for *_, w in ws} for ws in words]
+    df_e, df_t = Counter(e for s in ents for e in s), Counter(w for s in terms for w in s)
+    both = Counter((e, w) for es, ws in zip(ents, terms) for e in es for w in ws)
+    share = {p: np.log2(n * k / (df_e[p[0]] * df_t[p[1]])) / np.log2(n / df_e[p[0]]) for p, k in both.items() if k >= how.min_documents and df_e[p[0]] < n}
+    out = []
+    for es, spans, ws in zip(ents, held, words):
+        best = {w: max((share.get((e, w), -1e9) for e in es), default=-1e9) for *_, w in ws}
+        out.append([(a, b, best[w] >= how.remove_at) for a, b, w in ws if best[w] >= how.generalise_at and not any(x < b and a < y for x, y, _ in spans)])
+    return out
+
+
+@pytest.mark.parametrize("how", [pii.Sanitising(), pii.Sanitising(generalise_at=0.3, remove_at=0.6), pii.Sanitising(min_documents=4, generalise_at=-1.0, remove_at=0.1)])
+def test_term_spans_are_brute_force(spark, how):
+    """Whole documents: classes of entities with the same documents, copies, an entity in a third of all, one in every long text."""
+    rng = np.random.default_rng(3)
+    texts = []
+    for i in range(150):
+        body = list(rng.choice([f"w{chr(97 + j % 26)}{j}" for j in range(200)], 25))
+        if i % 3 == 0:
+            body.insert(5, "hot@all.org mine")
+        if i % 7 == 0:
+            body[3:3] = ["twin.a@x.org", "Twin.B@x.org", f"clan{i % 14}", "house"]  # same documents: one class
+        if i % 11 == 0:
+            body.append(f"me{i % 4}@y.net Émile{i % 4} émile{i % 4}")
+        texts.append(" ".join(body))
+    texts += [texts[21]] * 4 + ["", " ".join(f"p{j}@dir.org name{j}" for j in range(120))] + [" ".join(f"p{j}@dir.org name{j} other" for j in range(0, 120, 2))] * 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: [tuple(s) for s in r.term_spans] for r in pii.sanitising_spans(docs, how).collect()}
+    want = brute_term_spans(texts, how)
+    assert sum(map(len, want)) > 100
+    assert got == dict(enumerate(want))
+
+
 def test_sanitised_texts(spark, edge):
     rows = [(i, f"the owner zorro lives here a{i % 2}@x.org and {'alpha' * (i + 1)} more", i) for i in range(6)] + [(100 + i, "the owner lives here and more", i) for i in range(50)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, changes long")

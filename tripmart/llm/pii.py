@@ -14,8 +14,9 @@ an entity in it. Documents without an entity are left alone.
 
 Texts are read once for the mentions (checkpointed: only documents with mentions carry their
 text and the hashes of their terms) and once for the document frequencies of all terms, which
-are summed per task before they are shuffled, by 64-bit hash. Only entities that enough
-documents hold meet the terms of these. An entity of any frequency is handled by partial sums
+are summed per task before they are shuffled, by 64-bit hash. Entities and terms meet as narrow
+rows: entities held by the same documents as one class, and only terms rare enough to reach the
+lower threshold, which changes no result. An entity of any frequency is handled by partial sums
 and by equi-joins that adaptive execution can split.
 
 Positions come from splitting the text at the pattern and adding up the lengths of pieces
@@ -65,7 +66,6 @@ def located(text: Column, pattern: str, taken: Callable[[Column], Column] = lamb
     """Matches (those ``taken``) with their code-point positions (the end exclusive)."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out"))
 
     def add(acc: Column, x: Column) -> Column:
         begin = acc["at"] + F.length(x["0"])
@@ -73,7 +73,34 @@ def located(text: Column, pattern: str, taken: Callable[[Column], Column] = lamb
         span = F.array(F.struct(begin.alias("start"), end.alias("stop"), x["1"].alias("value")))
         return F.struct(end.alias("at"), F.when(x["1"].isNotNull() & taken(x["1"]), F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
 
-    return F.aggregate(F.arrays_zip(pieces, found), start, add, lambda acc: acc["out"])
+    def shifted(acc: Column, block: Column) -> Column:
+        moved = F.transform(block["out"], lambda s: F.struct((s["start"] + acc["at"]).alias("start"), (s["stop"] + acc["at"]).alias("stop"), s["value"].alias("value")))
+        return F.struct((acc["at"] + block["at"]).alias("at"), F.concat(acc["out"], F.array(moved)).alias("out"))
+
+    def placed(both: Column) -> Column:
+        """Positions within blocks of as many matches as there are blocks, then the blocks': no long array grows by one."""
+        size = F.greatest(F.lit(64), F.ceil(F.sqrt(F.size(both))).cast("int"))
+        first = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out"))
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(both) - 1) / size).cast("int")), lambda b: F.aggregate(F.slice(both, b * size + 1, size), first, add))
+        return F.aggregate(blocks, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPANS}>").alias("out")), shifted, lambda acc: F.flatten(acc["out"]))
+
+    return F.transform(F.array(F.arrays_zip(pieces, found)), placed)[0]
+
+
+def boxes(spans: Column) -> Column:
+    """The spans in order, as many to a box as there are boxes, with each box's first start and last stop."""
+    size = F.greatest(F.lit(16), F.ceil(F.sqrt(F.size(spans))).cast("int"))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.size(spans) / size).cast("int")), lambda b: F.slice(spans, b * size + 1, size))
+    return F.transform(blocks, lambda x: F.struct(F.array_min(F.transform(x, lambda s: s["start"])).alias("start"), F.array_max(F.transform(x, lambda s: s["stop"])).alias("stop"), x.alias("spans")))
+
+
+def overlaps(held: Column, word: Column) -> Column:
+    """Whether a span of the boxes overlaps the word; only boxes that do are looked into."""
+
+    def meets(s: Column) -> Column:
+        return (s["start"] < word["stop"]) & (word["start"] < s["stop"])
+
+    return F.exists(held, lambda box: F.coalesce(meets(box), F.lit(False)) & F.exists(box["spans"], meets))
 
 
 def digits(value: Column) -> Column:
@@ -113,12 +140,15 @@ def terms_in(text: Column) -> Column:
 
 
 def entities_in(found: DataFrame) -> DataFrame:
-    """(doc_id, row_key, entity, terms): one row for each entity that a row holds."""
-    return found.where(F.size("spans") > 0).select("doc_id", "row_key", "terms", F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity"))
+    """(row, entity): one row for each entity that a row holds."""
+    return found.where(F.size("spans") > 0).select("row", F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity"))
 
 
 def mentions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, row_key, spans, terms, text): base spans by kind, then start; terms and text of rows with a span."""
+    """(row, doc_id, row_key, spans, terms, text): base spans by kind, then start; terms and text of rows with a span.
+
+    ``row`` numbers the rows; cut the result before it is read twice.
+    """
     out = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     out = out.withColumn("row_key", row_key(F.col("text")))
     for kind in KINDS:
@@ -133,36 +163,67 @@ def mentions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     out = out.select("doc_id", "row_key", "text", F.concat(*(named(k) for k in KINDS)).alias("spans"))
 
     some = F.size("spans") > 0
-    return out.select("doc_id", "row_key", "spans", F.when(some, terms_in(F.col("text"))).alias("terms"), F.when(some, F.col("text")).alias("text"))
+    return out.select(F.monotonically_increasing_id().alias("row"), "doc_id", "row_key", "spans", F.when(some, terms_in(F.col("text"))).alias("terms"), F.when(some, F.col("text")).alias("text"))
 
 
-def disclosures(docs: DataFrame, found: DataFrame, how: Sanitising = Sanitising(), text: str = "text") -> DataFrame:
-    """(entity, term, disclosure) of every pair with enough support, over all documents."""
+def entity_classes(found: DataFrame, how: Sanitising = Sanitising()) -> DataFrame:
+    """(entity, stands, with_entity) of the entities that enough rows hold, but not all: those held by the same rows (as many, of
+    equal hash sums) disclose alike, so the smallest stands for its class."""
+    held = entities_in(found).groupBy("entity").agg(
+        F.count(F.lit(1)).alias("with_entity"), F.bit_xor(F.xxhash64("row")).alias("mix"), F.sum(F.xxhash64(F.lit(1), "row").cast("decimal(20,0)")).alias("total"))
+    held = cut(held.where((F.col("with_entity") >= how.min_documents) & (F.col("with_entity") < found.count())))
+    alike = ["with_entity", "mix", "total"]
+    return held.join(splittable(held.groupBy(*alike).agg(F.min("entity").alias("stands"))), alike).select("entity", "stands", "with_entity")
+
+
+def shared_terms(docs: DataFrame, found: DataFrame, classes: DataFrame, how: Sanitising, least: float, text: str) -> DataFrame:
+    """(row, entity, with_entity, term, with_term) of all terms beside standing entities that can disclose ``least`` of them.
+
+    As df(e, t) <= df(e), only terms with df(t) <= n (df(e) / n)^least can; all others are dropped before entities and
+    terms of a row meet, first by the most frequent entity's bound, then by each entity's own.
+    """
     n = found.count()
-    of_entity = entities_in(found).groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity"))
-    repeated = splittable(of_entity.where(F.col("with_entity") >= how.min_documents))
-    met = entities_in(found).join(repeated, "entity").select("entity", "with_entity", F.explode("terms").alias("term"))
-    pairs = cut(met.groupBy("entity", "with_entity", "term").agg(F.count(F.lit(1)).alias("both")).where(F.col("both") >= how.min_documents))
+
+    def bound(with_entity: Column) -> Column:
+        return F.pow(with_entity / float(n), F.lit(least)) * n * (1 + 1e-9)
+
+    stands = classes.where("entity = stands").select("entity", "with_entity")
+    most = stands.agg(F.max(bound(F.col("with_entity")))).first()[0] or 0.0
     of_term = docs.select(F.explode(terms_in(F.col(text).cast("string"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
+    of_term = of_term.where((F.col("with_term") >= how.min_documents) & (F.col("with_term") <= F.lit(most)))
+    terms = found.where(F.size("spans") > 0).select("row", F.explode("terms").alias("term")).join(splittable(of_term), "term")
+    beside = entities_in(found).join(splittable(stands), "entity")
+    return beside.join(terms, "row").where(F.col("with_term") <= bound(F.col("with_entity"))).select("row", "entity", "with_entity", "term", "with_term")
+
+
+def disclosed(shared: DataFrame, n: int, how: Sanitising) -> DataFrame:
+    """(entity, term, disclosure) of the pairs that enough rows share."""
+    pairs = shared.groupBy("entity", "with_entity", "term", "with_term").agg(F.count(F.lit(1)).alias("both")).where(F.col("both") >= how.min_documents)
     pmi = F.log2(F.lit(float(n)) * F.col("both") / (F.col("with_entity").cast("double") * F.col("with_term")))
     information = F.log2(F.lit(float(n)) / F.col("with_entity"))
-    return pairs.join(of_term, "term").where(F.col("with_entity") < n).select("entity", "term", (pmi / information).alias("disclosure"))
+    return pairs.select("entity", "term", (pmi / information).alias("disclosure"))
+
+
+def disclosures(docs: DataFrame, found: DataFrame, how: Sanitising = Sanitising(), text: str = "text", least: float = 0.0) -> DataFrame:
+    """(entity, term, disclosure) of every pair with enough support, over all documents; of those below ``least``, some are left out."""
+    classes = cut(entity_classes(found, how))
+    per_class = disclosed(shared_terms(docs, found, classes, how, least, text), found.count(), how)
+    return per_class.withColumnRenamed("entity", "stands").join(classes, "stands").select("entity", "term", "disclosure")
 
 
 def sanitising_spans(docs: DataFrame, how: Sanitising = Sanitising(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, row_key, spans, term_spans) of every row; term_spans have start, stop and ``remove``."""
     found = cut(mentions(docs, doc_id, text))
-    telling = cut(disclosures(docs, found, how, text).where(F.col("disclosure") >= how.generalise_at).select("entity", "term", (F.col("disclosure") >= how.remove_at).alias("remove")))
-    told = entities_in(found).join(splittable(telling.select("entity").distinct()), "entity").select("doc_id", "row_key", "entity", F.explode("terms").alias("term"))
-    once = told.join(telling, ["entity", "term"]).groupBy("doc_id", "row_key", "term").agg(F.max("remove").alias("remove"))
-    of_row = once.groupBy("doc_id", "row_key").agg(F.collect_list("term").alias("telling"), F.collect_list(F.when(F.col("remove"), F.col("term"))).alias("removed"))
-    of_row = of_row.select(F.col("doc_id").alias("of_id"), F.col("row_key").alias("of_key"), "telling", "removed")
-    rows = found.join(splittable(of_row), same(F.col("doc_id"), F.col("of_id")) & (F.col("row_key") == F.col("of_key")), "left")
+    shared = cut(shared_terms(docs, found, cut(entity_classes(found, how)), how, how.generalise_at, text))
+    telling = disclosed(shared, found.count(), how).where(F.col("disclosure") >= how.generalise_at).select("entity", "term", (F.col("disclosure") >= how.remove_at).alias("remove"))
+    once = shared.join(splittable(telling), ["entity", "term"]).groupBy("row", "term").agg(F.max("remove").alias("remove"))
+    of_row = once.groupBy("row").agg(F.collect_list("term").alias("telling"), F.collect_list(F.when(F.col("remove"), F.col("term"))).alias("removed"))
+    rows = found.join(splittable(of_row), "row", "left")
     placed = F.transform(
         located(F.col("text"), TERM, lambda w: F.array_contains("telling", term_key(w))),
         lambda w: F.struct(w["start"].alias("start"), w["stop"].alias("stop"), F.array_contains("removed", term_key(w["value"])).alias("remove")),
     )
-    apart = F.filter(placed, lambda w: ~F.exists("spans", lambda s: (s["start"] < w["stop"]) & (w["start"] < s["stop"])))
+    apart = F.transform(F.array(boxes(F.col("spans"))), lambda held: F.filter(placed, lambda w: ~overlaps(held, w)))[0]
     none = F.array().cast("array<struct<start:int,stop:int,remove:boolean>>")
     return rows.select("doc_id", "row_key", "spans", F.when(F.col("telling").isNull(), none).otherwise(apart).alias("term_spans"))
 
