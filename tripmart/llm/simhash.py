@@ -36,6 +36,8 @@ from .components import star_components
 
 SHINGLE_WORDS, SEED, RADIUS = 4, 42, 4
 TILE_ROWS = 32768
+#: pairs of tiles that one task compares, once there are more than a few thousand
+TASK_PAIRS = 16
 BLOCK_ROWS = 512
 
 
@@ -167,6 +169,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) ->
         return nodes.sparkSession.createDataFrame([], "u long, v long")
     n_tiles = F.create_map(*(F.lit(x) for kv in sizes.items() for x in kv))
     n_pairs = sum(n * sizes.get(c + d, 0) for c, n in sizes.items() for d in range(radius + 1))
+    n_tasks = max(min(n_pairs, 4096), -(-n_pairs // TASK_PAIRS))  # the pairs of a task stay bounded however many there are
     tiles = cut(classed.withColumn("tile", F.pmod(F.xxhash64("fp"), n_tiles[F.col("ones")]).cast("int")).groupBy("ones", "tile").agg(F.collect_list("fp").alias("fps")))
 
     def dealt(fps: str, own: tuple[str, str], other: tuple[str, str], sign: int) -> DataFrame:
@@ -178,7 +181,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) ->
             numbers = F.when(count.isNotNull(), F.sequence(F.lit(0), count - 1))
             met.append(F.arrays_zip(F.transform(numbers, lambda t: ones).alias(other[0]), numbers.alias(other[1])))  # noqa: B023 - evaluated at once
         out = tiles.select(F.col("ones").alias(own[0]), F.col("tile").alias(own[1]), F.col("fps").alias(fps), F.explode(F.flatten(F.array_compact(F.array(*met)))).alias("p"))
-        return out.select(*own, fps, "p.*").where("ones2 > ones1 or tile2 >= tile1").repartition(min(n_pairs, 4096), "ones1", "tile1", "ones2", "tile2")
+        return out.select(*own, fps, "p.*").where("ones2 > ones1 or tile2 >= tile1").repartition(n_tasks, "ones1", "tile1", "ones2", "tile2")
 
     first = dealt("one", ("ones1", "tile1"), ("ones2", "tile2"), 1)
     second = dealt("two", ("ones2", "tile2"), ("ones1", "tile1"), -1)
