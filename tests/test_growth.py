@@ -57,3 +57,10 @@ def test_month_slice_leaves_other_trips_out_before_it_aggregates(spark):
 def test_fact_checks_write_only_what_they_read(spark):
     i = catalog.Inputs(spark, SF_SMALL)
     assert {"customer_wait_seconds", "shared_request", "overall_quality_status"}.isdisjoint(catalog._check_silver(i, catalog.FACT_CHECK_MEASURES).columns)
+
+
+def test_text_landings_are_compressed_and_read_back(spark):
+    root = fixture.land_text_months(spark, SF_SMALL, scratch_root(spark, "text_codec"))
+    files = [f for m in glob.glob(f"{root}/raw/month=*".removeprefix("file:")) for f in sinks.data_files(spark, m)]
+    assert files and all(f.endswith(".txt.lz4") for f in files)
+    assert spark.read.text(f"{root}/raw").count() == fixture.landing_trips(spark, SF_SMALL).count()
