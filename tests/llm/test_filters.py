@@ -296,6 +296,27 @@ def sample_of_secrets(n, missed):
     return rows + [(secret_scan.RUN_ONLY, "some words ", of("0123456789", 16), " and more") for _ in range(n - missed)] + [(secret_scan.RUN_ONLY, "some words ", v, " and more") for v in hexes[n:]]
 
 
+def test_network_is_trained_on_every_value(spark):
+    rng = np.random.default_rng(3)
+    texts = [f"some words {secret_scan.KEYWORDS[i % 4]} = {''.join(rng.choice(list('0123456789abcdef'), 20))} and run{i:05d}x more" for i in range(1800)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = secret_scan.training_rows(docs).collect()
+    want = {(s, w[1]) for s, *w in secret_scan._labelled(iter(texts), secret_scan.SecretScan())}
+    assert {(r.stratum, r.value) for r in rows} == want and len(rows) == len(want)  # far more than 1,500 of a stratum
+    for side in (True, False):
+        halves = [r.first for r in rows if (r.stratum == secret_scan.FINDING) == side]
+        assert abs(2 * sum(halves) - len(halves)) <= 1
+    how = secret_scan.SecretScan(shard_rows=400, steps=200)  # several shards
+    net = secret_scan.train(docs, how)
+    codes, marks = char_cnn.encode([(r.before, r.value, r.after) for r in rows])
+    labels = np.array([r.stratum == secret_scan.FINDING for r in rows], np.float32)
+    held = np.array([r.first for r in rows])
+    by_hand = char_cnn.CharCnn(weights=net.weights).calibrate(codes[held], marks[held], labels[held], how.min_recall)
+    assert (net.recall, net.precision) == pytest.approx((by_hand.recall, by_hand.precision), abs=2e-3)
+    assert (net.slope, net.shift, net.threshold) == pytest.approx((by_hand.slope, by_hand.shift, by_hand.threshold), rel=1e-2)
+    assert net.recall >= 0.95 and net.precision >= 0.95
+
+
 @pytest.mark.parametrize("n, missed", [(100, 40), (8, 0)])
 def test_missed_and_few_findings_do_not_stop_the_network(n, missed):
     rows = sample_of_secrets(n, missed)

@@ -1,7 +1,7 @@
 """A small character convolutional network in numpy: one convolution, two poolings, one output.
 
 Input is a window of characters around a candidate and a mark on the candidate's own
-characters. Training is deterministic for a given sample and seed.
+characters. Training is deterministic for given rows and a seed.
 """
 
 from __future__ import annotations
@@ -38,6 +38,12 @@ def encode(windows: list[tuple[str, str, str]]) -> tuple[np.ndarray, np.ndarray]
     return codes, marks
 
 
+def newton(curvature: np.ndarray, slope: np.ndarray) -> np.ndarray:
+    """A damped Newton step of the calibration."""
+    move = np.linalg.solve(curvature + 1e-6 * np.eye(2), slope)
+    return move / max(1.0, np.abs(move).max())
+
+
 @dataclass
 class CharCnn:
     channels: int = 8
@@ -66,14 +72,29 @@ class CharCnn:
         pooled = np.concatenate((peak, (act * share).sum(axis=1)), axis=1)
         return pooled @ w["out"] + w["out_b"][0], (cols, act, top, share, pooled)
 
-    def fit(self, codes: np.ndarray, marks: np.ndarray, labels: np.ndarray, steps: int = 1500, batch: int = 64, rate: float = 3e-3) -> CharCnn:
-        rng = np.random.default_rng(self.seed)
-        c, f = self.channels, self.filters
-        shape = {"embed": (SYMBOLS, c), "conv": (self.span * (c + 1), f), "conv_b": (f,), "out": (2 * f,), "out_b": (1,)}
+    def start(self) -> CharCnn:
+        """Random weights, the same for a seed."""
+        rng, shape = np.random.default_rng(self.seed), self._shape()
         self.weights = {k: (rng.normal(0, 0.3, s) if k[-2:] != "_b" else np.zeros(s)).astype(np.float32) for k, s in shape.items()}
+        return self
+
+    def _shape(self) -> dict[str, tuple[int, ...]]:
+        c, f = self.channels, self.filters
+        return {"embed": (SYMBOLS, c), "conv": (self.span * (c + 1), f), "conv_b": (f,), "out": (2 * f,), "out_b": (1,)}
+
+    def fit(self, codes: np.ndarray, marks: np.ndarray, labels: np.ndarray, steps: int = 1500, batch: int = 64, rate: float = 3e-3,
+            share: float | None = None, turn: tuple[int, ...] = (1,)) -> CharCnn:
+        """Goes on from the weights there are (from ``start`` if there are none). ``share`` is the mean label where these rows are
+        a part of the training rows; ``turn`` seeds the order of the rows."""
+        if not self.weights:
+            self.start()
+        rng = np.random.default_rng((self.seed, *turn))
+        c, f = self.channels, self.filters
+        shape = self._shape()
+        mean = float(labels.mean()) if share is None else share
         moments = {k: (np.zeros(s, np.float32), np.zeros(s, np.float32)) for k, s in shape.items()}
         # labels between 0 and 1 count for both classes
-        weight = (labels * (0.5 / max(labels.mean(), 1e-6)) + (1 - labels) * (0.5 / max(1 - labels.mean(), 1e-6))).astype(np.float32)
+        weight = (labels * (0.5 / max(mean, 1e-6)) + (1 - labels) * (0.5 / max(1 - mean, 1e-6))).astype(np.float32)
         step = 0
         while step < steps:
             order = rng.permutation(len(labels))
@@ -119,8 +140,7 @@ class CharCnn:
         line = np.zeros(2)
         for _ in range(100):  # logistic regression on the logit with smoothed targets, damped Newton steps
             p = 1 / (1 + np.exp(-np.clip(x @ line, -30, 30)))
-            move = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2), x.T @ (soft - p))
-            line += move / max(1.0, np.abs(move).max())
+            line += newton((x * (p * (1 - p))[:, None]).T @ x, x.T @ (soft - p))
         self.slope, self.shift = map(float, line)
         found = np.sort(self.probability(codes, marks)[labels == 1])
         self.threshold = float(found[int(np.floor((1 - min_recall) * len(found)))])
@@ -130,4 +150,7 @@ class CharCnn:
         return self
 
     def probability(self, codes: np.ndarray, marks: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.logits(codes, marks) + self.shift, -30, 30)))
+        return self.sigmoid(self.slope * self.logits(codes, marks))
+
+    def sigmoid(self, height: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(height + self.shift, -30, 30)))
