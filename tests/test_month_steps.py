@@ -2,13 +2,16 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.functions.calendar import calendar_date, date_key
 from tripmart.functions.rules import decimal_sum
 from tripmart.operators import marts
-from tripmart.sources import fixture
+from tripmart.operators.fact import trip_key
+from tripmart.schemas import TRIP_KEY_COLUMNS, TRIP_SOURCE
+from tripmart.sources import fixture, sinks
 
 from .conftest import SF_SMALL
 
@@ -17,6 +20,23 @@ def _plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+@pytest.mark.parametrize("wide, values", [
+    (T.LongType(), [0, -1, 2**31 - 1, 2**31, -(2**31), -(2**31) - 1, 2**40 + 26, None]),
+    (T.DoubleType(), [0.0, -0.0, 1.5, 2147483647.0, 2147483647.5, 2147483648.0, -2147483648.0, -2147483648.5, float("nan"), float("inf"), None]),
+])
+def test_widened_ids_are_hashed_without_failing_casts(spark, wide, values):
+    rows = spark.createDataFrame([(v,) for v in values], T.StructType([T.StructField("PULocationID", wide)]))
+    rest = {c: F.lit(None).cast(TRIP_SOURCE[c].dataType) for c in TRIP_KEY_COLUMNS if c != "PULocationID"}
+    rows = rows.withColumns(rest)
+    got = trip_key({"PULocationID": wide})
+    tried = F.col("PULocationID").try_cast("int")
+    fits = F.coalesce(tried.cast(wide) == F.col("PULocationID"), F.lit(False))
+    want = F.xxhash64(*[x for c in TRIP_KEY_COLUMNS for x in ([F.when(fits, tried), F.when(~fits, F.col(c))] if c == "PULocationID" else [F.col(c)])])
+    assert rows.where(~got.eqNullSafe(want)).count() == 0
+    plan = _plan(rows.select(got)).lower()
+    assert "try_cast" not in plan and "tryeval" not in plan
+
+
 def test_decimal_sums_round_every_value_as_the_cast_does(spark):
     odd = [0.1, 0.2, 0.00005, 0.00015, -0.00005, 0.00004999999, 1.00005, 2.5, -3.25, 214748.3647, 214748.3648, 214748.36485, -214748.3648, 1e9, -1e9,
            123456789.12345, 99999999999.99995, 1e-300, 0.0, -0.0, 0.30000000000000004, 1.1 + 2.2, 4.35, 1.005, None]
@@ -50,3 +70,18 @@ def test_the_landing_month_is_formatted_per_order(spark):
     lines = _plan(fixture._by_month(spark, SF_SMALL)).splitlines()
     join = next(i for i, x in enumerate(lines) if "Join Inner" in x)
     assert [i > join for i, x in enumerate(lines) if "date_format(" in x] == [True]
+
+
+def test_month_writes_split_their_scans_finer_than_the_cores(spark, tmp_path):
+    files = 6 * spark.sparkContext.defaultParallelism
+    spark.range(0, 100 * files, 1, files).write.parquet(str(tmp_path / "t"))
+    with sinks.unsorted_months(spark):
+        inside = spark.read.parquet(str(tmp_path / "t")).rdd.getNumPartitions()
+    outside = spark.read.parquet(str(tmp_path / "t")).rdd.getNumPartitions()
+    assert inside > outside and spark.conf.get(sinks.SPLITS, None) is None
+    spark.conf.set(sinks.SPLITS, "2")
+    try:
+        with sinks.unsorted_months(spark):
+            assert spark.conf.get(sinks.SPLITS) == "2"
+    finally:
+        spark.conf.unset(sinks.SPLITS)
