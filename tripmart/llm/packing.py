@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import map_batches, slices
 from .word_ids import WordIds
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -139,4 +139,4 @@ def pack_documents(docs: DataFrame, how: Packing = Packing(), doc_id: str = "doc
             yield emit(pool, sequences)[0]
 
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return named.mapInArrow(run, PIECES + (", ids array<int>" if how.with_ids else ""))
+    return map_batches(named, run, PIECES + (", ids array<int>" if how.with_ids else ""))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .char_cnn import CharCnn, encode, newton, window, window_starts
-from .common import cut, slices
+from .common import cut, map_batches, slices
 
 #: fixed values: kinds in order, their patterns and least lengths
 KINDS = ("assign", "access", "hex")
@@ -130,7 +130,7 @@ def training_rows(docs: DataFrame, how: SecretScan = SecretScan(), text: str = "
             columns = list(zip(*rows)) or [()] * 4
             yield pa.record_batch([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.string()) for c in columns[1:])], names=["stratum", "before", "value", "after"])
 
-    found = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, WINDOW)
+    found = map_batches(docs.select(F.col(text).cast("string").alias("text")), run, WINDOW)
     distinct = cut(found.groupBy("stratum", "value").agg(F.min(F.struct("before", "after")).alias("c")).select("stratum", "c.before", "value", "c.after"))
     finding = F.col("stratum") == FINDING
     ordered = distinct.select("*", finding.cast("double").alias("target"), F.xxhash64("value", F.lit(how.seed)).alias("shard"))
@@ -185,7 +185,7 @@ def scored(rows: DataFrame, net: CharCnn) -> DataFrame:
                 logits = net.logits(*encode(list(zip(*(some.column(c).to_pylist() for c in ("before", "value", "after"))))))
                 yield some.append_column("logit", pa.array(logits.astype(float), pa.float64()))
 
-    return rows.mapInArrow(run, f"{WINDOW}, target double, shard long, first boolean, logit double")
+    return map_batches(rows, run, f"{WINDOW}, target double, shard long, first boolean, logit double")
 
 
 def calibrated(net: CharCnn, held: DataFrame, how: SecretScan) -> CharCnn:
@@ -301,7 +301,7 @@ def scan_documents(docs: DataFrame, how: SecretScan = SecretScan(), doc_id: str
             yield pa.record_batch([batch.column("doc_id"), *counts, pa.array(digests, pa.string()), pa.array([joined(x) for x in found], pa.string())], names=["doc_id", "n_assign", "n_access", "n_hex", "n_learned", "base_sha256", "spans"])
 
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return named.mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, n_learned long, base_sha256 string, spans string")
+    return map_batches(named, run, "doc_id long, n_assign long, n_access long, n_hex long, n_learned long, base_sha256 string, spans string")
 
 
 def mask_documents(docs: DataFrame, how: SecretScan = SecretScan(), text: str = "text") -> DataFrame:
@@ -315,4 +315,4 @@ def mask_documents(docs: DataFrame, how: SecretScan = SecretScan(), text: str =
             clean = [masked(x, s) if s else x for x, s in zip(texts, found)]
             yield batch.set_column(batch.schema.get_field_index(text), text, pa.array(clean, batch.schema.field(text).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_binary, cut, free, same, slices, splittable
+from .common import as_binary, cut, free, map_batches, same, slices, splittable
 from .components import star_components
 
 SHINGLE_WORDS, SEED, RADIUS = 4, 42, 4
@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
             yield pa.record_batch([batch.column("doc_id"), batch.column("row_key"), pa.array(found.view(np.int64))], names=["doc_id", "row_key", "fp"])
 
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return named.withColumn("row_key", row_key(F.col("doc_id"), F.col("text"))).mapInArrow(run, "doc_id long, row_key long, fp long")
+    return map_batches(named.withColumn("row_key", row_key(F.col("doc_id"), F.col("text"))), run, "doc_id long, row_key long, fp long")
 
 
 def _byte_counts(x: np.ndarray) -> np.ndarray:
@@ -195,7 +195,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) ->
                 u, v = tile_links(one.values.to_numpy().view(np.uint64), two.values.to_numpy().view(np.uint64) if two.is_valid else None, radius)
                 yield pa.record_batch([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], names=["u", "v"])
 
-    return met.mapInArrow(run, "u long, v long")
+    return map_batches(met, run, "u long, v long")
 
 
 def _marked(docs: DataFrame, doc_id: str, text: str, shingle: int, seed: int, radius: int, tile_rows: int) -> DataFrame:
